@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,25 @@ from pyspark.sql import functions as F
 from ..plans.store import Store
 from . import store_rules as rules
 
+KEYS_PER_SCAN = 12
+
+
+class Side:
+    """The tables of one side. Each frame is built when first asked for: plans cost time too."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._builders:
+            raise AttributeError(name)
+        frame = self._builders[name]()
+        setattr(self, name, frame)
+        return frame
+
+    def store(self) -> Store:
+        return Store(**{name: getattr(self, name) for name in self._builders})
+
 
 class DerivedStore:
     """Both sides of the store, derived lazily from the driver tables in ``sf_dir``."""
@@ -21,43 +41,41 @@ class DerivedStore:
     def driver(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    # --- source side -------------------------------------------------------------------
+    def src(self) -> Side:
+        return Side(
+            {
+                "users": self.src_users,
+                "usermeta": self.src_usermeta,
+                "posts": self.src_posts,
+                "postmeta": self.src_postmeta,
+                "order_items": self.src_items,
+                "order_itemmeta": lambda: self.itemmeta(self.src_items()),
+                **self._shared(),
+            }
+        )
+
+    def dst(self) -> Side:
+        return Side(
+            {
+                "users": self.dst_users,
+                "usermeta": self.dst_usermeta,
+                "posts": self.dst_posts,
+                "postmeta": self.dst_postmeta,
+                "order_items": self.dst_items,
+                "order_itemmeta": lambda: self.itemmeta(self.dst_items()),
+                **self._shared(),
+            }
+        )
+
+    def _shared(self) -> dict:
+        return {
+            "options": self.dst_options,
+            "terms": self.terms,
+            "term_taxonomy": self.term_taxonomy,
+            "term_relationships": self.term_relationships,
+        }
 
-    def src(self) -> Store:
-        items = self.src_items()
-        return Store(
-            users=self.src_users(),
-            usermeta=self.src_usermeta(),
-            posts=self.src_posts(),
-            postmeta=self.src_postmeta(),
-            order_items=items,
-            order_itemmeta=self.src_itemmeta(items),
-            options=self.dst_options(),
-            terms=self.terms(),
-            term_taxonomy=self.term_taxonomy(),
-            term_relationships=self.term_relationships(),
-        )
-
-    def dst(self) -> Store:
-        posts = self.dst_posts()
-        post_ids = posts.select("id")
-        items = self.src_items().join(
-            post_ids.withColumnRenamed("id", "order_id"), "order_id", "left_semi"
-        ).select(*rules.ITEMS)
-        return Store(
-            users=self.dst_users(),
-            usermeta=self.dst_usermeta(),
-            posts=posts,
-            postmeta=self.src_postmeta()
-            .join(post_ids.withColumnRenamed("id", "post_id"), "post_id", "left_semi")
-            .select("meta_id", "post_id", "meta_key", "meta_value"),
-            order_items=items,
-            order_itemmeta=self.src_itemmeta(items),
-            options=self.dst_options(),
-            terms=self.terms(),
-            term_taxonomy=self.term_taxonomy(),
-            term_relationships=self.term_relationships(),
-        )
+    # --- source side -------------------------------------------------------------------
 
     def src_users(self) -> DataFrame:
         return self._users("customer").unionByName(self._users("supplier"))
@@ -94,7 +112,14 @@ class DerivedStore:
         )
 
     def src_postmeta(self) -> DataFrame:
-        return _union(*(self._postmeta(*source) for source in rules.POSTMETA_FROM))
+        # A few keys per scan: one projection over all keys is too large a method to be compiled.
+        return _union(
+            *(
+                self._postmeta(table, owner, keys[first : first + KEYS_PER_SCAN])
+                for table, owner, keys in rules.POSTMETA_FROM
+                for first in range(0, len(keys), KEYS_PER_SCAN)
+            )
+        )
 
     def src_items(self) -> DataFrame:
         grouped = (
@@ -104,7 +129,7 @@ class DerivedStore:
         )
         return _project(grouped, rules.ITEMS)
 
-    def src_itemmeta(self, items: DataFrame) -> DataFrame:
+    def itemmeta(self, items: DataFrame) -> DataFrame:
         entries = _array(
             f"named_struct('k', {k}, 'meta_key', '{key}', 'meta_value', {value})"
             for k, key, value in rules.ITEM_META
@@ -137,6 +162,16 @@ class DerivedStore:
             .withColumn("post_status", F.expr(rules.DST_POST_STATUS))
         )
 
+    def dst_postmeta(self) -> DataFrame:
+        return self._with_dst_post(self.src_postmeta(), "post_id")
+
+    def dst_items(self) -> DataFrame:
+        return self._with_dst_post(self.src_items(), "order_id")
+
+    def _with_dst_post(self, frame: DataFrame, column: str) -> DataFrame:
+        known = self.dst_posts().select(F.col("id").alias(column))
+        return frame.join(known, column, "left_semi").select(*frame.columns)
+
     def dst_options(self) -> DataFrame:
         names = ["option_id", "option_name", "option_value", "autoload"]
         fixed = self._literal_rows([rules.FIXED_OPTION], names)

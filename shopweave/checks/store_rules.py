@@ -302,7 +302,8 @@ ITEM_META = [
 # --- taxonomy --------------------------------------------------------------------------
 
 FIXED_TERMS = [(1, "buynow"), (2, "30days"), (3, "sale")]
-BRAND = "CAST(substr(p_brand, 7) AS BIGINT)"
+# try_cast: a plain cast can fail on another row's text once the optimizer folds constants.
+BRAND = "TRY_CAST(substr(p_brand, 7) AS BIGINT)"
 TERM_TAXONOMY = {
     "term_taxonomy_id": "term_id + 1000",
     "term_id": "term_id",

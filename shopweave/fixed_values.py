@@ -200,3 +200,7 @@ MIN_USERS = 2
 FULL_PERCENT = 95
 PARTIAL_PERCENT = 80
 MAX_ORDERS_WITHOUT_CUSTOMER = 100
+
+# --- Fixed values: labels of the entity report -------------------------------------------
+
+ENTITY_LABELS = ["Traditional Orders", "HPOS Orders", "Customers"]
