@@ -37,9 +37,13 @@ class DerivedStore:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._scans: dict[str, DataFrame] = {}
 
     def driver(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver table; its files are looked at once."""
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._scans[name]
 
     def src(self) -> Side:
         return Side(
@@ -243,7 +247,7 @@ def _array(parts) -> str:
 
 
 def _project(frame: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return frame.select(*(F.expr(e).alias(name) for name, e in columns.items()))
+    return frame.selectExpr(*(f"{e} AS {name}" for name, e in columns.items()))
 
 
 def _union(*frames: DataFrame) -> DataFrame:
