@@ -246,7 +246,7 @@ def in_stock_products(q: Inputs) -> DataFrame:
 
 @query
 def products_with_image(q: Inputs) -> DataFrame:
-    return catalog.products_with_image(q.products, q.src.postmeta)
+    return catalog.products_with_image(q.products.select("id"), q.src.postmeta)
 
 
 @query
@@ -305,7 +305,7 @@ def orders_left_pivot(q: Inputs) -> DataFrame:
 
 @query
 def product_images(q: Inputs) -> DataFrame:
-    return catalog.product_images(q.products, q.src.postmeta)
+    return catalog.product_images(q.products.select("id"), q.src.postmeta)
 
 
 @query
@@ -610,9 +610,10 @@ def import_reconciliation(q: Inputs) -> DataFrame:
 
 @query
 def customer_import_stats(q: Inputs) -> DataFrame:
-    exported = customers.export_users(q.src.users, q.missing)
+    missing = q.workspace.keep(q.missing, "missing_customers")
+    exported = customers.export_users(q.src.users, missing)
     users = merge.insert_ignore(q.dst.users, exported, "id", unique=True)
-    return customers.customer_import_stats(q.missing, users, q.dst.postmeta)
+    return customers.customer_import_stats(missing, users, q.dst.postmeta)
 
 
 # --- jobs ------------------------------------------------------------------------------

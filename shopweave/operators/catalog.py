@@ -23,18 +23,18 @@ from ..fixed_values import (
 from ..functions import clean_text, image_url, price_fallback, product_type, to_unsigned
 from .counting import counted
 from .eav import pivot_first
-from .filters import in_stock_products, published_products
+from .filters import published_products, without_blocked
 from .ordering import numbered
 
 # --- images ----------------------------------------------------------------------------
 
 
 def product_images(products: DataFrame, postmeta: DataFrame) -> DataFrame:
-    """(id, image_path) by two hops: product to thumbnail id, thumbnail to file; null if none.
+    """``products`` with image_path by two hops: product to thumbnail id, thumbnail to file.
 
     The metadata side is joined first, on image ids that are never null, so products without a
-    thumbnail do not pile up under a null key. An image shared by very many products makes one
-    large join partition, which adaptive execution splits.
+    thumbnail, whose path is null, do not pile up under a null key. An image shared by very many
+    products makes one large join partition, which adaptive execution splits.
     """
     key, value = F.col("meta_key"), F.col("meta_value")
     thumbnails = postmeta.where(key == THUMBNAIL_KEY).select(
@@ -44,7 +44,7 @@ def product_images(products: DataFrame, postmeta: DataFrame) -> DataFrame:
         F.col("post_id").alias("image_id"), value.alias("image_path")
     )
     linked = thumbnails.join(files, "image_id", "left")
-    return products.select("id").join(linked, "id", "left").select("id", "image_path")
+    return products.join(linked.select("id", "image_path"), "id", "left")
 
 
 def products_with_image(products: DataFrame, postmeta: DataFrame) -> DataFrame:
@@ -127,16 +127,18 @@ def _term_summary(named: DataFrame) -> DataFrame:
 # --- catalogue -------------------------------------------------------------------------
 
 
-def exportable_products(posts: DataFrame, postmeta: DataFrame, in_stock: bool = False) -> DataFrame:
-    """(id, image_path), a row per product and image, of the products to export."""
-    products = published_products(posts)
+def exportable_products(
+    products: DataFrame, postmeta: DataFrame, in_stock: bool = False
+) -> DataFrame:
+    """A row per published product to export and image of it."""
     if in_stock:
-        products = in_stock_products(products, postmeta)
+        products = without_blocked(products, postmeta)
     return products_with_image(products, postmeta)
 
 
 def catalog_count(posts: DataFrame, postmeta: DataFrame, in_stock: bool = False) -> DataFrame:
-    return counted(exportable_products(posts, postmeta, in_stock))
+    products = published_products(posts).select("id")
+    return counted(exportable_products(products, postmeta, in_stock))
 
 
 def catalog_rows(
@@ -149,27 +151,26 @@ def catalog_rows(
 ) -> DataFrame:
     """The catalogue columns and ``post_date_gmt``, the column they are ordered by.
 
-    Selection works on narrow rows. All later joins are on the product id, so the long texts are
-    shuffled once. With a limit the newest products are chosen before anything else is read.
+    All joins are on the product id, so the long texts are shuffled once. With a limit the newest
+    products are chosen from narrow rows first, and the rest is read for those only.
     """
-    listed = exportable_products(posts, postmeta, in_stock)
-    texts = published_products(posts)
-    if limit is not None:
-        dated = listed.join(texts.select("id", "post_date_gmt"), "id")
-        listed = (
-            dated.orderBy(F.desc("post_date_gmt"), "id", "image_path")
-            .limit(limit)
-            .select("id", "image_path")
-        )
-        chosen = listed.select("id").distinct()
-        postmeta = postmeta.join(chosen.withColumnRenamed("id", "post_id"), "post_id", "left_semi")
-        named = named.join(chosen.withColumnRenamed("id", "object_id"), "object_id", "left_semi")
+    products = published_products(posts).select(
+        "id", "post_title", "post_name", "post_excerpt", "post_content", "post_date_gmt"
+    )
+    if limit is None:
+        chosen = exportable_products(products, postmeta, in_stock)
+    else:
+        dated = exportable_products(products.select("id", "post_date_gmt"), postmeta, in_stock)
+        newest = dated.orderBy(F.desc("post_date_gmt"), "id", "image_path").limit(limit)
+        chosen = products.join(newest.select("id", "image_path"), "id")
+        ids = newest.select("id").distinct()
+        postmeta = postmeta.join(ids.withColumnRenamed("id", "post_id"), "post_id", "left_semi")
+        named = named.join(ids.withColumnRenamed("id", "object_id"), "object_id", "left_semi")
     values = pivot_first(
         postmeta, {"own_price": PRICE_KEY, "regular_price": REGULAR_PRICE_KEY, "own_sku": SKU_KEY}
     ).withColumnRenamed("post_id", "id")
     return (
-        texts.join(listed, "id")
-        .join(values, "id", "left")
+        chosen.join(values, "id", "left")
         .join(_term_summary(named), "id", "left")
         .select(
             F.col("id").alias("product_id"),

@@ -25,3 +25,8 @@ def count_row(counts: Mapping[str, DataFrame]) -> DataFrame:
     return labelled_counts(counts).agg(
         *(F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in counts)
     )
+
+
+def with_counts(row: DataFrame, counts: Mapping[str, DataFrame]) -> DataFrame:
+    """A one-row frame with further one-row counts ``n`` as scalar subqueries."""
+    return row.withColumns({name: frame.scalar() for name, frame in counts.items()})

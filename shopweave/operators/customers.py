@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import CUSTOMER_KEY, PREFIXED_USER_KEYS, PREVIEW_ROWS
 from ..functions import to_unsigned
-from .counting import count_row, counted
+from .counting import counted, with_counts
 from .filters import non_guest_meta, order_ids
 
 
@@ -62,11 +62,14 @@ def distinct_customer_count(postmeta: DataFrame) -> DataFrame:
 
 def customer_import_stats(missing: DataFrame, dst_users: DataFrame, postmeta: DataFrame) -> DataFrame:
     """One row: how many were missing, how many of them are there now, and the new totals."""
-    return count_row(
+    present = dst_users.select("id", F.lit(1).alias("found"))
+    row = missing.join(present, "id", "left").agg(
+        F.count("*").alias("missing_customers"), F.count("found").alias("imported_customers")
+    )
+    return with_counts(
+        row,
         {
-            "missing_customers": counted(missing),
-            "imported_customers": counted(existing_customers(missing, dst_users)),
             "total_users": counted(dst_users),
             "customers_with_orders": distinct_customer_count(postmeta),
-        }
+        },
     )

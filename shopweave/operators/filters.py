@@ -78,19 +78,23 @@ def stock_flags(postmeta: DataFrame) -> DataFrame:
     )
 
 
-def in_stock_products(posts: DataFrame, postmeta: DataFrame) -> DataFrame:
-    """Products that are not out of stock, or are in stock as well.
+def without_blocked(products: DataFrame, postmeta: DataFrame) -> DataFrame:
+    """Drop products that are out of stock and not in stock as well.
 
-    A product without a stock row, or on backorder, passes. One aggregate over the stock rows
-    answers both existence questions, and leaves one row per product to join.
+    One aggregate over the stock rows answers both existence questions, and leaves one row per
+    product to join.
     """
-    products = posts.where(F.col("post_type") == PRODUCT_TYPE)
     blocked = (
         stock_flags(postmeta).where("has_out AND NOT has_in").select(F.col("post_id").alias("id"))
     )
     return products.join(blocked, "id", "left_anti")
 
 
+def in_stock_products(posts: DataFrame, postmeta: DataFrame) -> DataFrame:
+    """Products that pass the stock filter; one without a stock row, or on backorder, passes."""
+    return without_blocked(posts.where(F.col("post_type") == PRODUCT_TYPE), postmeta)
+
+
 def purge_transients(options: DataFrame) -> DataFrame:
     return _without(options, TRANSIENT_PATTERNS)
 

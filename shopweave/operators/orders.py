@@ -27,7 +27,7 @@ from ..functions import (
 )
 from .counting import counted, labelled_counts
 from .eav import core_values, pivot_billing, pivot_first, pivot_operational, pivot_shipping
-from .filters import order_ids, orders_only
+from .filters import is_order, order_ids, orders_only
 
 # --- exports ---------------------------------------------------------------------------
 
@@ -159,7 +159,7 @@ def order_operational(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
 # --- counts and integrity --------------------------------------------------------------
 
 
-def _rows_per_post(postmeta: DataFrame) -> DataFrame:
+def rows_per_post(postmeta: DataFrame) -> DataFrame:
     """Row count per post: what the counts below join instead of the rows themselves."""
     return postmeta.groupBy("post_id").agg(F.count("*").alias("n"))
 
@@ -172,7 +172,7 @@ def orphaned_meta(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
 
 def orphaned_meta_count(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
     known = posts.select(F.col("id").alias("post_id"))
-    orphans = _rows_per_post(postmeta).join(known, "post_id", "left_anti")
+    orphans = rows_per_post(postmeta).join(known, "post_id", "left_anti")
     return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
@@ -190,8 +190,40 @@ def orders_without_customer(posts: DataFrame, postmeta: DataFrame) -> DataFrame:
     return joined.agg(F.coalesce(F.sum(F.coalesce("blanks", F.lit(1))), F.lit(0)).alias("n"))
 
 
+def integrity_counts(posts: DataFrame, postmeta: DataFrame) -> DataFrame:
+    """Both integrity counts in one row, from one pass over each table.
+
+    Metadata shrinks to a row per post before it meets the posts, so a post with very many rows
+    is no hot key in the full join, and both sides hold each key once.
+    """
+    is_customer = F.col("meta_key") == CUSTOMER_KEY
+    per_post = postmeta.groupBy(F.col("post_id").alias("id")).agg(
+        F.count("*").alias("n"),
+        F.count_if(is_customer).alias("named"),
+        F.count_if(is_customer & F.col("meta_value").isNull()).alias("blanks"),
+    )
+    known = posts.select("id", F.coalesce(is_order(), F.lit(False)).alias("is_order"))
+    unnamed = F.when(F.coalesce("named", F.lit(0)) == 0, 1).otherwise(F.col("blanks"))
+    return known.join(per_post, "id", "full").agg(
+        F.coalesce(F.sum(F.when(F.col("is_order").isNull(), F.col("n"))), F.lit(0)).alias(
+            "orphaned_meta"
+        ),
+        F.coalesce(F.sum(F.when(F.col("is_order"), unnamed)), F.lit(0)).alias(
+            "orders_without_customer"
+        ),
+    )
+
+
+def order_and_meta_counts(posts: DataFrame, postmeta: DataFrame) -> DataFrame:
+    """One row: orders, and metadata rows of orders."""
+    joined = order_ids(posts, "post_id").join(rows_per_post(postmeta), "post_id", "left")
+    return joined.agg(
+        F.count("*").alias("orders"), F.coalesce(F.sum("n"), F.lit(0)).alias("order_meta")
+    )
+
+
 def order_meta_joined_count(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
-    of_orders = _rows_per_post(postmeta).join(order_ids(posts, "post_id"), "post_id", "left_semi")
+    of_orders = rows_per_post(postmeta).join(order_ids(posts, "post_id"), "post_id", "left_semi")
     return of_orders.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
@@ -199,15 +231,10 @@ def table_counts(
     posts: DataFrame, postmeta: DataFrame, items: DataFrame, itemmeta: DataFrame
 ) -> DataFrame:
     """(table_name, n): orders, their metadata, and all items and item metadata."""
-    return labelled_counts(
-        {
-            "orders": counted(orders_only(posts)),
-            "order_meta": order_meta_joined_count(postmeta, posts),
-            "order_items": counted(items),
-            "order_itemmeta": counted(itemmeta),
-        },
-        label="table_name",
-    )
+    pair = order_and_meta_counts(posts, postmeta)
+    of_orders = pair.unpivot([], ["orders", "order_meta"], "table_name", "n")
+    rest = {"order_items": counted(items), "order_itemmeta": counted(itemmeta)}
+    return of_orders.unionByName(labelled_counts(rest, label="table_name"))
 
 
 def entity_counts_report(posts: DataFrame, wc_orders: DataFrame, users: DataFrame) -> DataFrame:

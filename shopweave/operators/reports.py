@@ -15,9 +15,9 @@ from ..fixed_values import (
     TOTAL_KEY,
 )
 from ..functions import int_pct
-from .counting import count_row, counted
+from .counting import count_row, counted, with_counts
 from .filters import meta_of_keys, orders_only
-from .orders import order_meta_joined_count, orders_without_customer, orphaned_meta_count
+from .orders import integrity_counts, order_and_meta_counts
 
 
 def user_validation(src_users: DataFrame, dst_users: DataFrame, dst_usermeta: DataFrame) -> DataFrame:
@@ -35,13 +35,16 @@ def user_validation(src_users: DataFrame, dst_users: DataFrame, dst_usermeta: Da
 def order_validation(
     src_posts: DataFrame, dst_posts: DataFrame, dst_postmeta: DataFrame, dst_items: DataFrame
 ) -> DataFrame:
-    counts = count_row(
+    pair = order_and_meta_counts(dst_posts, dst_postmeta).select(
+        F.col("orders").alias("destination_orders"),
+        F.col("order_meta").alias("destination_order_meta"),
+    )
+    counts = with_counts(
+        pair,
         {
             "source_orders": counted(orders_only(src_posts)),
-            "destination_orders": counted(orders_only(dst_posts)),
-            "destination_order_meta": order_meta_joined_count(dst_postmeta, dst_posts),
             "destination_order_items": counted(dst_items),
-        }
+        },
     )
     percent = F.col("percent")
     return counts.withColumn(
@@ -73,12 +76,7 @@ def meta_validation(postmeta: DataFrame) -> DataFrame:
 
 
 def integrity_check(posts: DataFrame, postmeta: DataFrame) -> DataFrame:
-    counts = count_row(
-        {
-            "orphaned_meta": orphaned_meta_count(postmeta, posts),
-            "orders_without_customer": orders_without_customer(posts, postmeta),
-        }
-    )
+    counts = integrity_counts(posts, postmeta)
     good = (F.col("orphaned_meta") == 0) & (
         F.col("orders_without_customer") < MAX_ORDERS_WITHOUT_CUSTOMER
     )
