@@ -707,7 +707,9 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
     "int_pct": (
         "SELECT post_excerpt, count(*) FILTER (WHERE post_status = 'wc-completed') * 100 // "
         "nullif(count(*) FILTER (WHERE post_status = 'wc-cancelled'), 0) AS pct, "
-        f"CAST(NULL AS BIGINT) AS no_pct FROM {ORDERS} GROUP BY post_excerpt"
+        "coalesce(count(*) FILTER (WHERE post_status = 'wc-completed') * 100 // "
+        "nullif(count(*) FILTER (WHERE post_status = 'wc-trash'), 0), -1) AS no_pct "
+        f"FROM {ORDERS} GROUP BY post_excerpt"
     ),
     "now_stamp": f"SELECT id, {NOW} AS stamp FROM {ORDERS}",
 }

@@ -757,7 +757,7 @@ def int_pct(q: Inputs) -> DataFrame:
     return counts.select(
         "post_excerpt",
         fn.int_pct(F.col("done"), F.col("lost")).alias("pct"),
-        fn.int_pct(F.col("done"), F.col("none")).alias("no_pct"),
+        F.coalesce(fn.int_pct(F.col("done"), F.col("none")), F.lit(-1)).alias("no_pct"),
     )
 
 

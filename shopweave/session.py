@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "shopwe
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
