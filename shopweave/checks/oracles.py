@@ -31,7 +31,7 @@ def unix(x: str) -> str:
 
 
 def largest(key: str, name: str) -> str:
-    return f"max(CASE WHEN meta_key = '{key}' THEN meta_value END) AS {name}"
+    return f"max(meta_value) FILTER (WHERE meta_key = '{key}') AS {name}"
 
 
 def clean(x: str) -> str:
@@ -166,10 +166,8 @@ OPERATIONAL_SQL = (
 )
 
 CUSTOMERS = (
-    "SELECT DISTINCT u.id FROM src_users AS u "
-    f"JOIN src_postmeta AS pm ON u.id = {unsigned('pm.meta_value')} "
-    "JOIN src_posts AS p ON pm.post_id = p.id "
-    "WHERE pm.meta_key = '_customer_user' AND p.post_type = 'shop_order'"
+    f"SELECT id FROM src_users WHERE id IN (SELECT {unsigned('meta_value')} FROM src_postmeta "
+    f"WHERE meta_key = '_customer_user' AND post_id IN {ORDER_IDS})"
 )
 MISSING = {
     "customers": CUSTOMERS,
@@ -212,30 +210,26 @@ TAGS = (
     "SELECT object_id, string_agg(name, ', ' ORDER BY name) AS tags FROM named "
     "WHERE taxonomy = 'product_tag' AND name IN ('buynow', '30days') GROUP BY object_id"
 )
+# Every published product with each path that one of its thumbnail ids leads to.
 IMAGES = (
-    "FROM src_posts AS p "
-    "LEFT JOIN src_postmeta AS th ON th.post_id = p.id AND th.meta_key = '_thumbnail_id' "
-    f"LEFT JOIN src_postmeta AS im ON im.post_id = {unsigned('th.meta_value')} "
-    "AND im.meta_key = '_wp_attached_file' "
-    "WHERE p.post_type = 'product' AND p.post_status = 'publish'"
+    "FROM (SELECT * FROM src_posts WHERE post_type = 'product' AND post_status = 'publish') AS p "
+    "LEFT JOIN (SELECT t.post_id AS owner, f.meta_value AS path FROM "
+    f"(SELECT post_id, {unsigned('meta_value')} AS image FROM src_postmeta WHERE meta_key = '_thumbnail_id') AS t "
+    "LEFT JOIN (SELECT post_id, meta_value FROM src_postmeta WHERE meta_key = '_wp_attached_file') AS f "
+    "ON f.post_id = t.image) AS im ON im.owner = p.id"
 )
-WITH_IMAGE = f"{IMAGES} AND im.meta_value IS NOT NULL AND im.meta_value <> ''"
+WITH_IMAGE = f"{IMAGES} WHERE im.path <> ''"
 STOCK = (
-    "(NOT EXISTS (SELECT 1 FROM src_postmeta AS s WHERE s.post_id = p.id "
-    "AND s.meta_key = '_stock_status' AND s.meta_value = 'outofstock') "
-    "OR EXISTS (SELECT 1 FROM src_postmeta AS s WHERE s.post_id = p.id "
-    "AND s.meta_key = '_stock_status' AND s.meta_value = 'instock'))"
+    "p.id NOT IN (SELECT post_id FROM src_postmeta WHERE meta_key = '_stock_status' GROUP BY post_id "
+    "HAVING bool_or(meta_value = 'outofstock') AND NOT bool_or(meta_value = 'instock'))"
 )
 
 
-def tag_count(tag: str) -> str:
-    return (
-        "(SELECT count(*) FROM named AS n WHERE n.object_id = p.id "
-        f"AND n.taxonomy = 'product_tag' AND n.name = '{tag}') > 0"
-    )
+def tagged(tag: str) -> str:
+    return f"p.id IN (SELECT object_id FROM named WHERE taxonomy = 'product_tag' AND name = '{tag}')"
 
 
-KIND = f"CASE WHEN {tag_count('30days')} THEN '30days' WHEN {tag_count('buynow')} THEN 'buynow' ELSE '30days' END"
+KIND = f"CASE WHEN {tagged('buynow')} AND NOT {tagged('30days')} THEN 'buynow' ELSE '30days' END"
 PRICE = (
     f"coalesce({first_value('src_postmeta', 'p.id', '_price')}, "
     f"{first_value('src_postmeta', 'p.id', '_regular_price')}, '0')"
@@ -246,7 +240,7 @@ def catalog(extra: str = "") -> str:
     return (
         f"SELECT p.id AS product_id, {clean('p.post_title')} AS post_title, p.post_name AS slug, "
         f"{clean('p.post_excerpt')} AS short_description, {clean('p.post_content')} AS description, "
-        f"{URL} || im.meta_value AS image_url, {PRICE} AS price, "
+        f"{URL} || im.path AS image_url, {PRICE} AS price, "
         f"coalesce({first_value('src_postmeta', 'p.id', '_sku')}, '') AS sku, "
         f"coalesce((SELECT c.category FROM ({CATEGORIES}) AS c WHERE c.object_id = p.id), "
         f"'Uncategorized') AS category, {KIND} AS product_type, "
@@ -339,8 +333,8 @@ def integrity(side: str) -> str:
     return (
         "SELECT *, CASE WHEN orphaned_meta = 0 AND orders_without_customer < 100 THEN 'good' "
         "ELSE 'issues' END AS result FROM (SELECT "
-        f"(SELECT count(*) FROM {side}_postmeta AS m LEFT JOIN {side}_posts AS p ON m.post_id = p.id "
-        "WHERE p.id IS NULL) AS orphaned_meta, "
+        f"(SELECT count(*) FROM {side}_postmeta WHERE post_id NOT IN (SELECT id FROM {side}_posts)) "
+        "AS orphaned_meta, "
         f"(SELECT count(*) FROM {side}_posts AS p LEFT JOIN {side}_postmeta AS m ON p.id = m.post_id "
         "AND m.meta_key = '_customer_user' WHERE p.post_type = 'shop_order' AND m.meta_value IS NULL) "
         "AS orders_without_customer) AS c"
@@ -440,7 +434,7 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
     ),
     "non_guest_meta": "SELECT * FROM src_postmeta WHERE meta_key = '_customer_user' AND meta_value <> '0'",
     "in_stock_products": f"SELECT id, post_status FROM src_posts AS p WHERE post_type = 'product' AND {STOCK}",
-    "products_with_image": f"SELECT p.id, im.meta_value AS image_path {WITH_IMAGE}",
+    "products_with_image": f"SELECT p.id, im.path AS image_path {WITH_IMAGE}",
     "purge_transients": PURGED,
     "purge_transients_any": "SELECT * FROM dst_options WHERE option_name NOT LIKE '%_transient_%'",
     "distinct_statuses": f"SELECT DISTINCT post_status FROM {ORDERS}",
@@ -458,10 +452,10 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
         f"SELECT o.id, o.post_status, {', '.join(c for _, c in CORE)} FROM {ORDERS} "
         f"LEFT JOIN ({pivot(CORE)}) AS m ON o.id = m.post_id"
     ),
-    "product_images": f"SELECT p.id, im.meta_value AS image_path {IMAGES}",
+    "product_images": f"SELECT p.id, im.path AS image_path {IMAGES}",
     "product_terms": ("SELECT * FROM named", NAMED),
     "orphaned_meta": (
-        "SELECT m.* FROM src_postmeta AS m LEFT JOIN src_posts AS p ON m.post_id = p.id WHERE p.id IS NULL"
+        "SELECT * FROM src_postmeta WHERE post_id NOT IN (SELECT id FROM src_posts)"
     ),
     "orders_without_customer": (
         "SELECT count(*) AS n FROM src_posts AS p LEFT JOIN src_postmeta AS m ON p.id = m.post_id "
@@ -472,7 +466,7 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
         f"FROM {ORDERS}"
     ),
     "has_tag": (
-        f"SELECT p.id, CASE WHEN {tag_count('buynow')} THEN 1 ELSE 0 END AS has_tag FROM src_posts AS p "
+        f"SELECT p.id, CASE WHEN {tagged('buynow')} THEN 1 ELSE 0 END AS has_tag FROM src_posts AS p "
         "WHERE p.post_type = 'product' AND p.post_status = 'publish'",
         NAMED,
     ),
@@ -523,9 +517,9 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
     ),
     # sorts, limits, pages
     "status_distribution_sorted": f"{DISTRIBUTION} ORDER BY n DESC, post_status",
-    "latest_products": (catalog(" ORDER BY p.post_date_gmt DESC, p.id, im.meta_value LIMIT 10"), NAMED),
+    "latest_products": (catalog(" ORDER BY p.post_date_gmt DESC, p.id, im.path LIMIT 10"), NAMED),
     "catalog_batches": (
-        "SELECT p.id AS product_id, (row_number() OVER (ORDER BY p.post_date_gmt DESC, p.id, im.meta_value) "
+        "SELECT p.id AS product_id, (row_number() OVER (ORDER BY p.post_date_gmt DESC, p.id, im.path) "
         f"- 1) // 100 + 1 AS batch {WITH_IMAGE}"
     ),
     "orders_by_id": f"SELECT id, post_status AS status FROM {ORDERS} ORDER BY id",
