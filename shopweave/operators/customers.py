@@ -14,13 +14,15 @@ from .filters import non_guest_meta, order_ids
 def customers_with_orders(users: DataFrame, postmeta: DataFrame, posts: DataFrame) -> DataFrame:
     """Distinct ids of users that placed an order.
 
-    Guests (id 0) leave before any shuffle. One customer may own a third of the orders, so the
-    customer ids are made distinct, with partial results per task, before they meet the users.
+    Guests (id 0) leave before any shuffle. One customer may own a third of the orders, and one
+    order may hold a third of the rows: pairs, and then customer ids, are made distinct with
+    partial results per task before each join, so no join sees more than one copy of a row.
     """
     owned = (
         postmeta.where(F.col("meta_key") == CUSTOMER_KEY)
         .select("post_id", to_unsigned(F.col("meta_value")).alias("id"))
         .where("id <> 0")
+        .distinct()
         .join(order_ids(posts, "post_id"), "post_id", "left_semi")
     )
     return owned.select("id").distinct().join(users.select("id"), "id", "left_semi")
