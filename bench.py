@@ -1,8 +1,9 @@
 """Benchmark: headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``, one JSON line.
 
-Each query is timed from building its frame to computing every output row and column, including
-the derivation of its store tables from the driver's files. The first query of a new session
-also pays for starting Spark's code paths, so one untimed query runs before.
+``store_tables`` is the time to derive both stores from the driver's files and to write them as
+Parquet tables; the operators then run over those tables, as they would over a stored shop. Each
+query is timed from building its frame to computing every output row and column. All times,
+``store_tables`` too, are part of the total. Nothing runs twice and nothing is cached.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from shopweave.checks.queries import all_queries  # noqa: E402
-from shopweave.session import local_session  # noqa: E402
+from shopweave.checks.queries import QUERIES, Inputs  # noqa: E402
+from shopweave.checks.store_frames import DerivedStore, StoredStore  # noqa: E402
+from shopweave.session import Workspace, local_session  # noqa: E402
 
 HEADLINES = [
     "orders_wide",
@@ -57,12 +59,13 @@ def main() -> None:
     memory = os.environ.get("BENCH_MEMORY", "12g")
     names = sys.argv[1:] or HEADLINES
     spark = local_session(cpus, memory, "bench")
-    queries = all_queries()
-    run(queries["status_distribution"](spark, sf_dir))
-    seconds = {}
+    start = time.perf_counter()
+    root = Workspace(spark).location("stores")
+    store = StoredStore(spark, DerivedStore(spark, sf_dir), root)
+    seconds = {"store_tables": round(time.perf_counter() - start, 3)}
     for name in names:
         start = time.perf_counter()
-        run(queries[name](spark, sf_dir))
+        run(QUERIES[name](Inputs(spark, store)))
         seconds[name] = round(time.perf_counter() - start, 3)
     spark.stop()
     print(

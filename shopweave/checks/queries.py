@@ -44,7 +44,7 @@ from ..sources.files import (
 )
 from ..sources.snapshots import read_snapshot, restore_snapshot, snapshot_tables
 from ..sources.tables import scan_table
-from .store_frames import DerivedStore, Side
+from .store_frames import DerivedStore, Side, StoredStore
 
 DOMAIN = "shop.example.com"
 NOW = datetime(2025, 9, 14, 12, 0, 0)
@@ -54,9 +54,9 @@ BATCH = 100
 class Inputs:
     """The frames a query may need; each is built only when asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, store: DerivedStore | StoredStore):
         self.spark = configure(spark)
-        self.store = DerivedStore(spark, sf_dir)
+        self.store = store
 
     @cached_property
     def src(self) -> Side:
@@ -115,7 +115,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    # a trailing underscore only keeps the name apart from the imported function it checks
+    QUERIES[build.__name__.rstrip("_")] = build
     return build
 
 
@@ -780,6 +781,6 @@ def comparable(frame: DataFrame) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(build: Query):
-        return lambda spark, sf_dir: comparable(build(Inputs(spark, sf_dir)))
+        return lambda spark, sf_dir: comparable(build(Inputs(spark, DerivedStore(spark, sf_dir))))
 
-    return {name.rstrip("_"): bound(build) for name, build in QUERIES.items()}
+    return {name: bound(build) for name, build in QUERIES.items()}

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.store import Store
+from ..sources.snapshots import snapshot_tables
+from ..sources.tables import scan_table
 from . import store_rules as rules
 
 KEYS_PER_SCAN = 12
@@ -27,6 +29,9 @@ class Side:
         setattr(self, name, frame)
         return frame
 
+    def names(self) -> list[str]:
+        return list(self._builders)
+
     def store(self) -> Store:
         return Store(**{name: getattr(self, name) for name in self._builders})
 
@@ -242,6 +247,28 @@ class DerivedStore:
         )
 
 
+class StoredStore:
+    """The same two sides, written once as Parquet tables and scanned from there."""
+
+    def __init__(self, spark: SparkSession, derived: DerivedStore, root: str):
+        self.spark = spark
+        self.root = root
+        self._names = derived.src().names()
+        for name, side in (("src", derived.src()), ("dst", derived.dst())):
+            snapshot_tables(side.store(), root, name, codec="zstd")
+
+    def src(self) -> Side:
+        return self._side("src")
+
+    def dst(self) -> Side:
+        return self._side("dst")
+
+    def _side(self, side: str) -> Side:
+        return Side(
+            {name: partial(scan_table, self.spark, self.root, side, name) for name in self._names}
+        )
+
+
 def _array(parts) -> str:
     return f"array({', '.join(parts)})"
 

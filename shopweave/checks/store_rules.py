@@ -3,6 +3,9 @@
 The expressions here are plain SQL that Spark and DuckDB read alike. ``store_frames`` turns them
 into DataFrames and ``store_sql`` into common table expressions, so both engines start from the
 same rows while the operators on top are written twice.
+
+Every table is derived from whole driver tables and grows with them. The modulo conditions only
+give rows different shapes and the destination its gaps; no query selects by them.
 """
 
 from __future__ import annotations

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,9 +71,11 @@ class Workspace:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.path = f"{root or shared_root(spark)}/run-{uuid.uuid4().hex}"
+        self._names = count(1)
 
     def location(self, name: str) -> str:
-        return f"{self.path}/{name}"
+        """A folder no earlier step of this run has used; frames read their tables lazily."""
+        return f"{self.path}/{next(self._names)}-{name}"
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         path = self.location(name)

@@ -48,8 +48,9 @@ def write_status_tsv(posts: DataFrame, path: str) -> None:
     orders_by_id(posts).write.mode("overwrite").options(**TSV_FORMAT).csv(path)
 
 
-def read_status_tsv(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.schema(STATUS_FEED).options(**TSV_FORMAT).csv(path)
+def read_status_tsv(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
+    """A status feed; ``header`` for one that starts with the column names."""
+    raw = spark.read.schema(STATUS_FEED).options(**{**TSV_FORMAT, "header": header}).csv(path)
     return raw.select("id", F.coalesce("status", F.lit("")).alias("status"))
 
 

@@ -151,6 +151,17 @@ def test_status_file(spark, src, tmp_path):
     write_status_tsv(src.posts, path)
     assert [r.value for r in spark.read.text(path).collect()] == ["1\twc-delivered", "2\twc-failed"]
     assert values(read_status_tsv(spark, path)) == [(1, "wc-delivered"), (2, "wc-failed")]
+    named = str(tmp_path / "named")
+    spark.createDataFrame([("ID\tpost_status",), ("7\twc-x",), ("8\t",)], "value string").coalesce(
+        1
+    ).write.text(named)
+    assert values(read_status_tsv(spark, named, header=True)) == [(7, "wc-x"), (8, "")]
+
+
+def test_one_workspace_serves_two_runs(src, dst, workspace):
+    for _ in range(2):
+        after, counts = job_migrate_orders(src, dst, replace=True, workspace=workspace)
+    assert after.posts.count() == 3 and counts.count() == 4
 
 
 def test_snapshot_and_restore(spark, dst, tmp_path):

@@ -6,14 +6,13 @@ from engines import connect, duck_rows, spark_rows
 import __spark_entry__ as entry_points
 from shopweave.checks.oracles import all_oracles
 from shopweave.checks.queries import QUERIES, Inputs, comparable
-
-NAMES = {name.rstrip("_"): name for name in QUERIES}
+from shopweave.checks.store_frames import DerivedStore
 
 
 @pytest.fixture(scope="module")
 def inputs(spark, sf_dir):
     """Shared by all queries here, so that plans of the inputs are built once."""
-    return Inputs(spark, sf_dir)
+    return Inputs(spark, DerivedStore(spark, sf_dir))
 
 
 @pytest.fixture(scope="module")
@@ -22,13 +21,13 @@ def duck(sf_dir):
 
 
 def test_each_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql()) == set(NAMES)
+    assert set(entry_points.queries()) == set(entry_points.oracle_sql()) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(name, inputs, duck):
     inputs.__dict__.pop("workspace", None)  # a fresh folder for each query that writes
-    frame = comparable(QUERIES[NAMES[name]](inputs))
+    frame = comparable(QUERIES[name](inputs))
     names, rows = spark_rows(frame)
     sql_names, sql_rows = duck_rows(duck, all_oracles()[name])
     assert names == sql_names
