@@ -9,14 +9,16 @@ from itertools import count
 from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on the first; the others keep plans adaptive: AQE picks broadcast joins from
-# measured sizes, coalesces small partitions and splits skewed join partitions. The last one lets
-# it split even where that costs a shuffle, which several joins on one key would otherwise forbid.
+# measured sizes, coalesces small partitions and splits skewed join partitions. The last two let it
+# split even where that costs a shuffle, which several joins on one key would otherwise forbid, and
+# hash a join side whose every shuffled partition is small in place of sorting both sides.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 

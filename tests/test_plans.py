@@ -69,6 +69,14 @@ def test_reports_read_each_table_once(stored):
     assert text.count("FileScan") == 1
 
 
+def test_small_join_side_is_hashed(stored):
+    """The large side of an export is shuffled but not sorted."""
+    exported = orders.export_order_meta(stored.postmeta, stored.posts)
+    exported.collect()
+    final = plan(exported).split("Initial Plan")[0]
+    assert "ShuffledHashJoin" in final and "Sort " not in final
+
+
 def test_no_cross_or_nested_loop_joins(stored):
     named = catalog.product_terms(stored.term_relationships, stored.term_taxonomy, stored.terms)
     for frame in (
