@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,9 +59,13 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="shopweave-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    """One temporary folder for all runs of this process; the setting itself can't be changed."""
+    return tempfile.mkdtemp(prefix="shopweave-")
 
 
 class Workspace:
