@@ -26,9 +26,9 @@ from tokenizers import Tokenizer
 from .common import slices, strings
 
 #: Cached chunks and words of a task; beyond that the caches start anew. It bounds memory only.
-CACHED = 400_000
+CACHED = 150_000
 #: Characters of text whose chunks are held at once.
-STEP = 2_000_000
+STEP = 1_000_000
 
 # The pre-tokenizer's pattern, the end-of-word mark, and characters that Python's
 # str.split() takes for white space but the tokenizer doesn't.
@@ -271,19 +271,37 @@ def encoded(path: str, texts: pa.Array):
         yield start, *known.encode(rows[start:end])
 
 
+def arrays(steps: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+    """Steps of (ids, counts) as one array of ids for each row."""
+    counts = np.concatenate([np.zeros(1, np.int32), *(x[1] for x in steps)])
+    flat = np.concatenate([np.zeros(0, np.int32), *(x[0] for x in steps)])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(counts, dtype=np.int32)), pa.array(flat))
+
+
 def encode(path: str, text: str = "text") -> Column:
     """Token ids of each whole text, special tokens not added, as an array of ints; never null."""
 
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
-        steps = list(encoded(path, texts))
-        counts = np.concatenate([np.zeros(1, np.int64), *(x[2] for x in steps)])
-        flat = np.concatenate([np.zeros(0, np.int64), *(x[1] for x in steps)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype(np.int32)), pa.array(flat))
+        return arrays([(ids.astype(np.int32), counts) for _, ids, counts in encoded(path, texts)])
 
     return ids_of.asNondeterministic()(F.col(text))
 
 
+def round_trip(path: str, text: str = "text") -> Column:
+    """Struct of a text's ids and of what they decode to; one pass through Python for both."""
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def both_of(texts: pa.Array) -> pa.Array:
+        steps, decoded = [], []
+        for _, ids, counts in encoded(path, texts):
+            steps.append((ids.astype(np.int32), counts))
+            decoded += map(vocabulary(path).decode, np.split(ids, np.cumsum(counts)[:-1]))
+        return pa.StructArray.from_arrays([arrays(steps), pa.array(decoded, pa.string())], ["ids", "decoded"])
+
+    return both_of.asNondeterministic()(F.col(text))
+
+
 def decode(path: str, ids: str = "ids") -> Column:
     """The tokens of each array of ids joined by spaces; a null or empty array gives an empty text."""
 

@@ -6,9 +6,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import configure
+
+
+#: Most text in a batch that Spark hands to Python, whatever the lengths of the texts.
+BATCH_BYTES = "8m"
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """Bound the batches handed to Python by bytes, for this session, and split skewed joins."""
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return bounded(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw(texts: pa.Array) -> list[bytes]:

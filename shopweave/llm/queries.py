@@ -5,36 +5,93 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from . import bpe, packing
-from .common import table
+from . import bpe, embeddings, language, packing, quality, secrets, simhash, suffix_dedup
+from .common import crc32_of, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def hexed(column: str) -> Column:
+    return F.sha2(F.col(column).cast("binary"), 256)
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Workspace(spark))
+    return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op2_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    ids = docs.select("doc_id", bpe.encode(TOKENIZER).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe.decode(TOKENIZER).alias("decoded"))
-    return both.select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip(TOKENIZER).alias("both"))
+    return docs.select(
+        "doc_id",
+        F.size("both.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("both.ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        hexed("both.decoded").alias("decoded_sha256"),
+    )
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out_", crc32_of("doc_id") % 3 == 1)
+    learned = language.learn(docs.where(~F.col("held_out_")), Workspace(spark))
+    scored = docs.select("doc_id", F.col("held_out_").alias("held_out"), language.predict(learned).alias("best"))
+    return scored.select("doc_id", "held_out", "best.lang_pred", "best.score")
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", quality.repetition().alias("s"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return docs.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *(f"s.{c}" for c in base),
+        quality.base_failed("s").alias("base_failed"),
+        quality.kept("s").alias("kept"),
+        "s.dup_line_chars",
+        *(f"s.{c}" for c in quality.COVERED),
     )
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark))
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", fingerprint, F.col("component").alias("component_id"))
+
+
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = suffix_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), Workspace(spark))
+    counts = [f"cut_.{c}" for c in ("n_bytes", "n_removed", "n_spans")]
+    return docs.select("doc_id", *counts, hexed("cut_.kept").alias("kept_sha256"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, Workspace(spark))
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", secrets.scan(F.col("text")).alias("found"))
+    docs = docs.select("doc_id", F.col("found.base").alias("base"), secrets.with_added("found").alias("every"))
+    base = F.col("base")
+    return docs.select(
+        "doc_id",
+        *(secrets.count_of(base, k).alias(f"n_{k}") for k in secrets.KINDS[:3]),
+        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("every")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_embedding_near_dedup,
         op2_bpe_encoding,
+        op3_language_id,
+        op4_quality_rules,
+        op5_simhash_near_dedup,
+        op6_suffix_array_dedup,
         op7_best_fit_packing,
+        op10_secret_scans,
     )
 }
