@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from . import bpe, embeddings, language, packing, quality, secrets, simhash, suffix_dedup
+from . import bpe, embeddings, html_text, language, packing, quality, secrets, simhash, suffix_dedup
 from .common import crc32_of, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +70,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, Workspace(spark))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract(table(spark, sf_dir, "pages"), Workspace(spark))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", secrets.scan(F.col("text")).alias("found"))
     docs = docs.select("doc_id", F.col("found.base").alias("base"), secrets.with_added("found").alias("every"))
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_simhash_near_dedup,
         op6_suffix_array_dedup,
         op7_best_fit_packing,
+        op9_html_extraction,
         op10_secret_scans,
     )
 }
