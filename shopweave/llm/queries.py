@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from . import bpe, embeddings, html_text, language, packing, quality, secrets, simhash, suffix_dedup
+from . import bpe, embeddings, html_text, language, language_model, packing, quality, secrets, simhash, suffix_dedup
 from .common import crc32_of, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +70,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, Workspace(spark))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (crc32_of("doc_id") % 10 != 0).alias("training"))
+    scored = language_model.score_documents(docs, "training", Workspace(spark))
+    return scored.withColumn("training", ~F.col("training")).withColumnRenamed("training", "held_out")
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_text.extract(table(spark, sf_dir, "pages"), Workspace(spark))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_simhash_near_dedup,
         op6_suffix_array_dedup,
         op7_best_fit_packing,
+        op8_lm_scoring,
         op9_html_extraction,
         op10_secret_scans,
     )

@@ -270,9 +270,13 @@ def whole_texts(docs: DataFrame, workspace: Workspace) -> DataFrame:
     return workspace.keep(counts.select("text_key", F.lit(True).alias("whole")), "whole")
 
 
-def cut_of(length: int):
+def cut_of(length: int, whole_characters: bool):
     """UDF: text, ranges of repeated starts, whether the text occurs more than once, to what is left."""
 
+    def rest(parts: list[bytes]) -> bytes:
+        kept = b"".join(parts)
+        return kept.decode("utf-8", "ignore").encode() if whole_characters else kept
+
     @F.arrow_udf("struct<n_bytes: long, n_removed: long, n_spans: long, kept: binary>")
     def cut(texts: pa.Array, starts: pa.Array, whole: pa.Array) -> pa.Array:
         rows = []
@@ -292,7 +296,7 @@ def cut_of(length: int):
                     removed -= at
                 removed += last
                 at = last
-            rows.append((len(text), removed, count, b"".join([*kept, text[at:]]) if count else text))
+            rows.append((len(text), removed, count, rest([*kept, text[at:]]) if count else text))
         columns = list(zip(*rows, strict=True)) or [()] * 4
         kinds = [pa.int64()] * 3 + [pa.binary()]
         return pa.StructArray.from_arrays(
@@ -302,13 +306,16 @@ def cut_of(length: int):
     return cut.asNondeterministic()
 
 
-def deduplicate(docs: DataFrame, workspace: Workspace, text: str = "text", length: int = LENGTH) -> DataFrame:
-    """All rows and columns, and a struct ``cut_``: n_bytes, n_removed, n_spans, and the bytes kept."""
+def deduplicate(docs: DataFrame, workspace: Workspace, text: str = "text", length: int = LENGTH, whole_characters: bool = False) -> DataFrame:
+    """All rows and columns, and a struct ``cut_``: n_bytes, n_removed, n_spans, and the bytes kept.
+
+    ``whole_characters``: bytes of characters that are cut in half are not kept either.
+    """
     texts = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text).alias("text"))
     texts = texts.withColumn("text_key", key_of("text"))
     spans = repeated(texts, workspace, length)
     whole = whole_texts(texts.where(F.octet_length("text") >= length), workspace)
     known = workspace.keep(spans.join(whole, "text_key", "full"), "known")
-    cut: Column = cut_of(length)("text", "starts", "whole")
+    cut: Column = cut_of(length, whole_characters)("text", "starts", "whole")
     joined = texts.join(known, "text_key", "left")
     return joined.select("row", cut.alias("cut_")).select("row.*", "cut_")
