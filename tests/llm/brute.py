@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import html
 import math
 import re
 from collections import Counter, defaultdict
@@ -130,3 +131,11 @@ def base_secrets(text):
 def base_digest(text):
     kinds = ["assign", "access", "hex"]
     return hashlib.sha256(",".join(f"{kinds[k]}:{s}:{e}" for s, k, e in base_secrets(text)).encode()).hexdigest()
+
+
+def article(page):
+    """Blocks of an <article> of paragraphs and headings, as in the driver's pages."""
+    found = re.search("<article>(.*)</article>", page, re.DOTALL)
+    blocks = re.split("</?(?:p|h1)>", found[1]) if found else []
+    plain = [" ".join(html.unescape(re.sub("</?b>", "", b).replace("<br>", " ")).split()) for b in blocks]
+    return "\n".join(b for b in plain if b)
