@@ -21,13 +21,13 @@ def unsigned(x: str) -> str:
 
 
 def decimal(x: str) -> str:
-    head = f"regexp_extract({x}, '^[ ]*([+-]?[0-9]*[.]?[0-9]+)', 1)"
+    head = f"regexp_extract({x}, '^[ ]*([+-]?[0-9]*[.]?[0-9]+([eE][+-]?[0-9]+)?)', 1)"
     return f"CAST(coalesce(try_cast({head} AS DECIMAL(26,8)), 0) AS DOUBLE)"
 
 
 def unix(x: str) -> str:
-    digits = f"try_cast(CASE WHEN regexp_matches({x}, '^[0-9]+$') THEN {x} END AS BIGINT)"
-    return f"make_timestamp({digits} * 1000000)"
+    digits = f"try_cast(regexp_extract({x}, '^[ ]*([0-9]+)', 1) AS BIGINT)"
+    return f"CASE WHEN {digits} <= 32536771199 THEN make_timestamp({digits} * 1000000) END"
 
 
 def largest(key: str, name: str) -> str:
@@ -236,7 +236,7 @@ PRICE = (
 )
 
 
-def catalog(extra: str = "") -> str:
+def catalog(extra: str = "", more: str = "") -> str:
     return (
         f"SELECT p.id AS product_id, {clean('p.post_title')} AS post_title, p.post_name AS slug, "
         f"{clean('p.post_excerpt')} AS short_description, {clean('p.post_content')} AS description, "
@@ -244,7 +244,7 @@ def catalog(extra: str = "") -> str:
         f"coalesce({first_value('src_postmeta', 'p.id', '_sku')}, '') AS sku, "
         f"coalesce((SELECT c.category FROM ({CATEGORIES}) AS c WHERE c.object_id = p.id), "
         f"'Uncategorized') AS category, {KIND} AS product_type, "
-        f"coalesce((SELECT g.tags FROM ({TAGS}) AS g WHERE g.object_id = p.id), '') AS tags "
+        f"coalesce((SELECT g.tags FROM ({TAGS}) AS g WHERE g.object_id = p.id), '') AS tags{more} "
         f"{WITH_IMAGE}{extra}"
     )
 
@@ -254,9 +254,9 @@ def transient(names: list[str]) -> str:
 
 
 PURGED = (
-    "SELECT * FROM dst_options WHERE NOT ("
+    "SELECT * FROM dst_options WHERE NOT coalesce("
     + transient(["_transient_%", "_transient_timeout_%", "_site_transient_%", "_site_transient_timeout_%"])
-    + ")"
+    + ", false)"
 )
 
 DISTRIBUTION = f"SELECT post_status, count(*) AS n FROM {ORDERS} GROUP BY post_status"
@@ -268,10 +268,14 @@ PCT = (
 
 def synced(status: str) -> str:
     return (
-        "SELECT d.id, d.post_type, CASE WHEN s.id IS NOT NULL AND d.post_type = 'shop_order' "
+        "SELECT d.* REPLACE (CASE WHEN s.id IS NOT NULL AND d.post_type = 'shop_order' "
         f"THEN {status} ELSE d.post_status END AS post_status, "
-        "CASE WHEN s.id IS NOT NULL AND d.post_type = 'shop_order' "
-        f"THEN {NOW} ELSE d.post_modified_gmt END AS post_modified_gmt "
+        + ", ".join(
+            "CASE WHEN s.id IS NOT NULL AND d.post_type = 'shop_order' "
+            f"THEN {NOW} ELSE d.{c} END AS {c}"
+            for c in ("post_modified", "post_modified_gmt")
+        )
+        + ") "
         "FROM dst_posts AS d LEFT JOIN src_posts AS s ON s.id = d.id AND s.post_type = 'shop_order'"
     )
 
@@ -433,10 +437,10 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
         "UNION ALL SELECT * FROM src_postmeta WHERE meta_key LIKE '_shipping_%'"
     ),
     "non_guest_meta": "SELECT * FROM src_postmeta WHERE meta_key = '_customer_user' AND meta_value <> '0'",
-    "in_stock_products": f"SELECT id, post_status FROM src_posts AS p WHERE post_type = 'product' AND {STOCK}",
+    "in_stock_products": f"SELECT * FROM src_posts AS p WHERE post_type = 'product' AND {STOCK}",
     "products_with_image": f"SELECT p.id, im.path AS image_path {WITH_IMAGE}",
     "purge_transients": PURGED,
-    "purge_transients_any": "SELECT * FROM dst_options WHERE option_name NOT LIKE '%_transient_%'",
+    "purge_transients_any": "SELECT * FROM dst_options WHERE option_name IS NULL OR option_name NOT LIKE '%_transient_%'",
     "distinct_statuses": f"SELECT DISTINCT post_status FROM {ORDERS}",
     # joins
     "customers_with_orders": CUSTOMERS,
@@ -517,10 +521,11 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
     ),
     # sorts, limits, pages
     "status_distribution_sorted": f"{DISTRIBUTION} ORDER BY n DESC, post_status",
-    "latest_products": (catalog(" ORDER BY p.post_date_gmt DESC, p.id, im.path LIMIT 10"), NAMED),
+    "latest_products": (catalog(" ORDER BY p.post_date DESC, p.id, im.path LIMIT 10"), NAMED),
     "catalog_batches": (
-        "SELECT p.id AS product_id, (row_number() OVER (ORDER BY p.post_date_gmt DESC, p.id, im.path) "
-        f"- 1) // 100 + 1 AS batch {WITH_IMAGE}"
+        f"SELECT *, (row_number() OVER (ORDER BY post_date DESC, product_id, image_url) - 1) // 100 + 1 AS batch "
+        f"FROM ({catalog(more=', p.post_date')}) AS c",
+        NAMED,
     ),
     "orders_by_id": f"SELECT id, post_status AS status FROM {ORDERS} ORDER BY id",
     "missing_preview": ("SELECT id FROM missing ORDER BY id LIMIT 10", MISSING),
@@ -544,11 +549,11 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
         f"UNION ALL SELECT 'postmeta', meta_id FROM dst_postmeta WHERE post_id NOT IN {DST_ORDER_IDS}"
     ),
     "convert_statuses": (
-        f"SELECT id, post_type, CASE WHEN post_type = 'shop_order' THEN {converted('post_status')} "
-        "ELSE post_status END AS post_status FROM src_posts"
+        f"SELECT * REPLACE (CASE WHEN post_type = 'shop_order' THEN {converted('post_status')} "
+        "ELSE post_status END AS post_status) FROM src_posts"
     ),
     "convert_statuses_wide": (
-        f"SELECT id, {converted_bare('status')} AS status, date_updated_gmt FROM wc_orders",
+        f"SELECT * REPLACE ({converted_bare('status')} AS status) FROM wc_orders",
         {"wc_orders": wide("dst")},
     ),
     "convert_statuses_meta": (
@@ -583,7 +588,7 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
         "SELECT o.option_id, o.option_name, coalesce(c.option_value, o.option_value) AS option_value, "
         "o.autoload FROM dst_options AS o LEFT JOIN changes AS c ON c.option_name = o.option_name "
         "UNION ALL SELECT (SELECT max(option_id) FROM dst_options) + place, option_name, option_value, 'yes' "
-        "FROM changes WHERE option_name NOT IN (SELECT option_name FROM dst_options)",
+        "FROM changes AS c WHERE NOT EXISTS (FROM dst_options AS o WHERE o.option_name = c.option_name)",
         CHANGES,
     ),
     "append_addresses": addresses("dst"),

@@ -242,7 +242,7 @@ def non_guest_meta(q: Inputs) -> DataFrame:
 
 @query
 def in_stock_products(q: Inputs) -> DataFrame:
-    return filters.in_stock_products(q.src.posts, q.src.postmeta).select("id", "post_status")
+    return filters.in_stock_products(q.src.posts, q.src.postmeta)
 
 
 @query
@@ -427,7 +427,7 @@ def latest_products(q: Inputs) -> DataFrame:
 @query
 def catalog_batches(q: Inputs) -> DataFrame:
     rows = catalog.catalog_rows(q.src.posts, q.src.postmeta, q.named_terms, DOMAIN)
-    return catalog.catalog_batches(rows, q.workspace, BATCH).select("product_id", "batch")
+    return catalog.catalog_batches(rows, q.workspace, BATCH)
 
 
 @query
@@ -473,12 +473,12 @@ def delete_orders_cascade_(q: Inputs) -> DataFrame:
 
 @query
 def convert_statuses(q: Inputs) -> DataFrame:
-    return statuses.convert_statuses(q.src.posts).select("id", "post_type", "post_status")
+    return statuses.convert_statuses(q.src.posts)
 
 
 @query
 def convert_statuses_wide(q: Inputs) -> DataFrame:
-    return statuses.convert_statuses_wide(q.dst_wide).select("id", "status", "date_updated_gmt")
+    return statuses.convert_statuses_wide(q.dst_wide)
 
 
 @query
@@ -499,8 +499,7 @@ def backup_statuses(q: Inputs) -> DataFrame:
 
 @query
 def sync_statuses_exact(q: Inputs) -> DataFrame:
-    synced = statuses.sync_statuses_exact(q.dst.posts, q.feed, NOW)
-    return synced.select("id", "post_type", "post_status", "post_modified_gmt")
+    return statuses.sync_statuses_exact(q.dst.posts, q.feed, NOW)
 
 
 @query
@@ -510,14 +509,12 @@ def sync_statuses_wide(q: Inputs) -> DataFrame:
 
 @query
 def sync_statuses_converted(q: Inputs) -> DataFrame:
-    synced = statuses.sync_statuses_converted(q.dst.posts, q.feed, NOW)
-    return synced.select("id", "post_type", "post_status", "post_modified_gmt")
+    return statuses.sync_statuses_converted(q.dst.posts, q.feed, NOW)
 
 
 @query
 def sync_statuses_preserved(q: Inputs) -> DataFrame:
-    synced = statuses.sync_statuses_preserved(q.dst.posts, q.feed, NOW)
-    return synced.select("id", "post_type", "post_status", "post_modified_gmt")
+    return statuses.sync_statuses_preserved(q.dst.posts, q.feed, NOW)
 
 
 @query

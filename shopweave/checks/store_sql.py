@@ -29,7 +29,7 @@ DATED_PART = "part LEFT JOIN orders ON o_orderkey = p_partkey"
 TABLES = {
     "src_users": _union(_project(rules.USERS_FROM[t], t) for t in ("customer", "supplier")),
     "dst_users": (
-        f"SELECT id, {rules.DST_LOGIN} AS user_login, user_email, display_name FROM src_users "
+        f"SELECT * REPLACE ({rules.DST_LOGIN} AS user_login) FROM src_users "
         f"WHERE {rules.DST_USER_PRESENT} UNION ALL " + _project(rules.USERS_FROM["nation"], "nation")
     ),
     "src_usermeta": _union(

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import MONEY_TYPE, ORDER_KEY_PREFIX
 
-# The part of a text that counts as a number, and the accepted Unix seconds.
+# The part of a text that counts as a number, and the last second that MySQL's
+# FROM_UNIXTIME accepts (3001-01-18 23:59:59 UTC; later ones are null there too).
 UNSIGNED_HEAD = "^[ ]*([0-9]+)"
-DECIMAL_HEAD = "^[ ]*([+-]?[0-9]*[.]?[0-9]+)"
+DECIMAL_HEAD = "^[ ]*([+-]?[0-9]*[.]?[0-9]+([eE][+-]?[0-9]+)?)"
 LAST_UNIX_SECOND = 32536771199
 
 
@@ -30,11 +31,12 @@ def to_decimal(text: Column) -> Column:
 
 
 def from_unixtime(text: Column) -> Column:
-    """Unix seconds held as text, as a UTC timestamp without zone; null where out of range.
+    """Unix seconds at the head of a text, as a UTC timestamp without zone; null where there are none
+    or they are out of range.
 
     Adds to a zoneless epoch, so the session time zone has no influence.
     """
-    seconds = text.try_cast("bigint")
+    seconds = F.regexp_extract(text, UNSIGNED_HEAD, 1).try_cast("bigint")
     valid = F.when(seconds.between(0, LAST_UNIX_SECOND), seconds)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return epoch + F.make_dt_interval(secs=valid.cast("decimal(18,6)"))

@@ -149,19 +149,19 @@ def catalog_rows(
     in_stock: bool = False,
     limit: int | None = None,
 ) -> DataFrame:
-    """The catalogue columns and ``post_date_gmt``, the column they are ordered by.
+    """The catalogue columns and ``post_date``, the column they are ordered by.
 
     All joins are on the product id, so the long texts are shuffled once. With a limit the newest
     products are chosen from narrow rows first, and the rest is read for those only.
     """
     products = published_products(posts).select(
-        "id", "post_title", "post_name", "post_excerpt", "post_content", "post_date_gmt"
+        "id", "post_title", "post_name", "post_excerpt", "post_content", "post_date"
     )
     if limit is None:
         chosen = exportable_products(products, postmeta, in_stock)
     else:
-        dated = exportable_products(products.select("id", "post_date_gmt"), postmeta, in_stock)
-        newest = dated.orderBy(F.desc("post_date_gmt"), "id", "image_path").limit(limit)
+        dated = exportable_products(products.select("id", "post_date"), postmeta, in_stock)
+        newest = dated.orderBy(F.desc("post_date"), "id", "image_path").limit(limit)
         chosen = products.join(newest.select("id", "image_path"), "id")
         ids = newest.select("id").distinct()
         postmeta = postmeta.join(ids.withColumnRenamed("id", "post_id"), "post_id", "left_semi")
@@ -184,7 +184,7 @@ def catalog_rows(
             F.coalesce("category", F.lit(DEFAULT_CATEGORY)).alias("category"),
             product_type(F.col("has_buynow"), F.col("has_30days")).alias("product_type"),
             F.coalesce("tags", F.lit("")).alias("tags"),
-            "post_date_gmt",
+            "post_date",
         )
     )
 
@@ -203,7 +203,7 @@ def product_catalog(
 
 def newest_first() -> list:
     """Sort order of the export. Ties by product and image make it a total order."""
-    return [F.desc("post_date_gmt"), F.col("product_id"), F.col("image_url")]
+    return [F.desc("post_date"), F.col("product_id"), F.col("image_url")]
 
 
 def latest_products(

@@ -105,7 +105,8 @@ def purge_transients_any(options: DataFrame) -> DataFrame:
 
 def _without(options: DataFrame, patterns: list[str]) -> DataFrame:
     for pattern in patterns:
-        options = options.where(~F.col("option_name").like(pattern))
+        # a row without a name matches no pattern, and stays
+        options = options.where(~F.coalesce(F.col("option_name").like(pattern), F.lit(False)))
     return options
 
 

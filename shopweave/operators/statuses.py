@@ -118,8 +118,11 @@ def sync_statuses_exact(dst_posts: DataFrame, feed: DataFrame, now: datetime) ->
         orders_only(dst_posts)
         .join(_feed(feed), "id", "left")
         .withColumn("post_status", F.coalesce("feed_status", "post_status"))
-        .withColumn(
-            "post_modified_gmt", F.when(found, now_stamp(now)).otherwise(F.col("post_modified_gmt"))
+        .withColumns(
+            {
+                c: F.when(found, now_stamp(now)).otherwise(F.col(c))
+                for c in ("post_modified", "post_modified_gmt")
+            }
         )
     )
     others = dst_posts.where(~F.coalesce(is_order(), F.lit(False)))

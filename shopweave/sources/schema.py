@@ -1,4 +1,4 @@
-"""Schemas of the store tables and their primary keys."""
+"""Columns that the library needs of the store tables, and primary keys. Tables may hold more."""
 
 from __future__ import annotations
 
@@ -8,12 +8,11 @@ SCHEMAS = {
     "posts": (
         "id BIGINT, post_author BIGINT, post_type STRING, post_status STRING, post_title STRING, "
         "post_name STRING, post_excerpt STRING, post_content STRING, "
-        "post_date_gmt TIMESTAMP_NTZ, post_modified_gmt TIMESTAMP_NTZ, post_parent BIGINT"
+        "post_date TIMESTAMP_NTZ, post_date_gmt TIMESTAMP_NTZ, post_modified TIMESTAMP_NTZ, "
+        "post_modified_gmt TIMESTAMP_NTZ, post_parent BIGINT"
     ),
     "postmeta": "meta_id BIGINT, post_id BIGINT, meta_key STRING, meta_value STRING",
-    "order_items": (
-        "order_item_id BIGINT, order_id BIGINT, order_item_type STRING, part BIGINT, qty STRING"
-    ),
+    "order_items": "order_item_id BIGINT, order_id BIGINT, order_item_type STRING",
     "order_itemmeta": "meta_id BIGINT, order_item_id BIGINT, meta_key STRING, meta_value STRING",
     "terms": "term_id BIGINT, name STRING",
     "term_taxonomy": "term_taxonomy_id BIGINT, term_id BIGINT, taxonomy STRING",

@@ -5,17 +5,39 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .schema import SCHEMAS
 
 
 def scan_table(spark: SparkSession, root: str, side: str, name: str) -> DataFrame:
-    """A table of one side, kept as Parquet in ``root/side/name``.
+    """A table of one side, kept as Parquet in ``root/side/name``, with all its stored columns.
 
-    The known schema is given, so nothing is inferred; filters and columns reach the scan.
+    The columns that the library needs must be there, with types it can read as its own; columns it
+    doesn't know pass through as they are.
     """
-    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
-    return reader.parquet(f"{root.rstrip('/')}/{side}/{name}")
+    frame = spark.read.parquet(f"{root.rstrip('/')}/{side}/{name}")
+    return with_known_types(frame, name)
+
+
+def with_known_types(frame: DataFrame, name: str) -> DataFrame:
+    """The known columns of a table in their own types, all others unchanged; raises where a known
+    column is missing. A column that has its type already is not touched, so filters still reach the
+    scan."""
+    if name not in SCHEMAS:
+        return frame
+    known = {f.name: f.dataType for f in StructType.fromDDL(SCHEMAS[name]).fields}
+    if missing := [c for c in known if c not in frame.columns]:
+        raise ValueError(f"table {name} lacks the columns {', '.join(missing)}")
+    return frame.select(
+        *(
+            F.col(f"`{f.name}`").cast(known[f.name]).alias(f.name)
+            if known.get(f.name, f.dataType) != f.dataType
+            else F.col(f"`{f.name}`")
+            for f in frame.schema.fields
+        )
+    )
 
 
 def jdbc_options(

@@ -22,6 +22,8 @@ def post(id, kind="shop_order", status="wc-completed", title="t", date=DAY, **ot
         values["name"],
         values["excerpt"],
         values["content"],
+        values.get("local", date),
+        date,
         date,
         date,
         0,
