@@ -6,6 +6,8 @@ EXISTS, scalar subqueries, windows) and not the way the Spark operators are arra
 
 from __future__ import annotations
 
+from ..sources.schema import SCHEMAS
+from .digests import digest_sql
 from .store_sql import with_tables
 
 ORDERS = "(SELECT * FROM src_posts WHERE post_type = 'shop_order') AS o"
@@ -714,6 +716,127 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
 }
 
 
+# --- what jobs leave behind ------------------------------------------------------------
+
+COLUMNS = {name: [c.split()[0] for c in columns.split(", ")] for name, columns in SCHEMAS.items()}
+COLUMNS["users"] = [*COLUMNS["users"], "user_registered"]
+COLUMNS["order_items"] = [*COLUMNS["order_items"], "part", "qty"]
+LIGHT_COLUMNS = (
+    "id status currency type customer_id date_created_gmt date_updated_gmt total_amount billing_email"
+).split()
+WIDE_COLUMNS = [
+    *LIGHT_COLUMNS,
+    *"tax_amount parent_order_id payment_method payment_method_title transaction_id".split(),
+    *"customer_note ip_address user_agent".split(),
+]
+OPERATIONAL_MONEY = [f"{a}_{b}_amount" for a in ("shipping", "discount") for b in ("tax", "total")]
+OPERATIONAL_COLUMNS = [
+    *"order_id created_via woocommerce_version prices_include_tax coupon_usages_are_counted".split(),
+    *"download_permission_granted cart_hash new_order_email_sent order_key order_stock_reduced".split(),
+    *"date_paid_gmt date_completed_gmt recorded_sales".split(),
+    *OPERATIONAL_MONEY,
+]
+
+
+def left_behind(**queries: str) -> str:
+    """Digests of tables, each given by its query."""
+    wide = {
+        "wc_orders": (WIDE_COLUMNS, ["tax_amount", "total_amount"]),
+        "wc_orders_light": (LIGHT_COLUMNS, ["total_amount"]),
+        "wc_orders_meta": (["order_id", "meta_key", "meta_value"], []),
+        "wc_order_addresses": (["order_id", "address_type", *PLACE, "email", "phone"], []),
+        "wc_order_operational_data": (OPERATIONAL_COLUMNS, OPERATIONAL_MONEY),
+    }
+    tables = {}
+    for name, sql in queries.items():
+        columns, money = wide.get(name) or (COLUMNS[name], [])
+        tables[name.removesuffix("_light")] = (f"({sql}) AS t", columns, money)
+    return digest_sql(tables)
+
+
+CUSTOMERS_LEFT = {
+    "users": "SELECT * FROM dst_users UNION ALL SELECT * FROM src_users WHERE id IN (SELECT id FROM missing)",
+    "usermeta": (
+        "SELECT * FROM dst_usermeta UNION ALL SELECT * FROM incoming "
+        "WHERE umeta_id NOT IN (SELECT umeta_id FROM dst_usermeta)"
+    ),
+    "options": PURGED,
+}
+ORDERS_LEFT = {
+    "posts": "SELECT * FROM converted_posts",
+    "postmeta": "SELECT * FROM meta_after",
+    "order_items": ITEMS,
+    "order_itemmeta": ITEMMETA,
+}
+PURGED_ANY = STATEMENTS["purge_transients_any"]
+DST_CONVERTED = STATEMENTS["convert_statuses"].replace("src_posts", "dst_posts")
+DST_WIDE = {"wc_orders": wide("dst")}
+WIDE_SYNCED = STATEMENTS["sync_statuses_wide"][0]
+STATEMENTS |= {
+    "delete_orders_cascade_tables": left_behind(
+        posts="SELECT * FROM dst_posts WHERE post_type <> 'shop_order'",
+        postmeta=f"SELECT * FROM dst_postmeta WHERE post_id NOT IN {DST_ORDER_IDS}",
+        order_items="SELECT * FROM dst_order_items WHERE false",
+        order_itemmeta="SELECT * FROM dst_order_itemmeta WHERE false",
+    ),
+    "restore_snapshot_tables": left_behind(
+        **{
+            t: f"SELECT * FROM dst_{t}"
+            for t in "users usermeta posts postmeta order_items order_itemmeta options".split()
+        },
+        **{t: f"SELECT * FROM {t}" for t in "terms term_taxonomy term_relationships".split()},
+    ),
+    "job_migrate_customers_tables": (left_behind(**CUSTOMERS_LEFT), MISSING_META),
+    "job_migrate_orders_tables": (left_behind(**ORDERS_LEFT), MIGRATED),
+    "job_convert_wide_tables": (
+        left_behind(
+            wc_orders=wide("dst"),
+            wc_orders_meta=STATEMENTS["copy_order_meta"].replace("src_", "dst_"),
+            wc_order_addresses=addresses("dst"),
+            wc_order_operational_data=OPERATIONAL_SQL.replace("src_", "dst_"),
+            options=STATEMENTS["upsert_options"][0],
+        ),
+        CHANGES,
+    ),
+    "job_full_tables": (
+        left_behind(**CUSTOMERS_LEFT, **ORDERS_LEFT, wc_orders_light=light("converted_posts", "meta_after")),
+        {**MISSING_META, **MIGRATED},
+    ),
+    "job_fix_statuses_tables": (
+        left_behind(
+            status_backup=(
+                f"SELECT id AS order_id, post_status AS original_status, {NOW} AS backup_date FROM {DST_ORDERS}"
+            ),
+            posts=DST_CONVERTED,
+            postmeta=STATEMENTS["convert_statuses_meta"],
+            options=PURGED_ANY,
+            wc_orders=STATEMENTS["convert_statuses_wide"][0],
+        ),
+        DST_WIDE,
+    ),
+    "job_convert_statuses_tables": left_behind(posts=DST_CONVERTED, options=PURGED),
+    "job_sync_exact_tables": (
+        left_behind(posts=synced("s.post_status"), options=PURGED, wc_orders=WIDE_SYNCED),
+        DST_WIDE,
+    ),
+    "job_sync_converted_tables": (
+        left_behind(
+            posts=synced(converted("s.post_status")),
+            options=PURGED_ANY,
+            wc_orders=WIDE_SYNCED.replace(
+                "regexp_replace(s.post_status, '^wc-', '')", f"substr({converted('s.post_status')}, 4)"
+            ),
+        ),
+        DST_WIDE,
+    ),
+    "job_sync_preserved_tables": (
+        left_behind(posts=synced("s.post_status"), options=PURGED_ANY, wc_orders=WIDE_SYNCED),
+        DST_WIDE,
+    ),
+    "job_export_catalog": (catalog(), NAMED),
+}
+
+
 def all_oracles() -> dict[str, str]:
     complete = {}
     for name, statement in STATEMENTS.items():

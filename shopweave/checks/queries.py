@@ -23,6 +23,7 @@ from ..fixed_values import (
 )
 from ..operators import catalog, customers, eav, filters, merge, orders, reports, statuses
 from ..operators.counting import count_row, counted, labelled_counts
+from ..plans.catalog import job_export_catalog
 from ..plans.customers import job_migrate_customers
 from ..plans.orders import (
     delete_orders_cascade,
@@ -31,7 +32,12 @@ from ..plans.orders import (
     job_migrate_orders,
     job_orders_complete,
 )
-from ..plans.statuses import job_fix_statuses, job_sync_exact
+from ..plans.statuses import (
+    job_convert_statuses,
+    job_fix_statuses,
+    job_sync_exact,
+    job_sync_statuses,
+)
 from ..plans.store import Store
 from ..plans.validation import job_validate
 from ..session import Workspace, configure
@@ -44,6 +50,7 @@ from ..sources.files import (
 )
 from ..sources.snapshots import read_snapshot, restore_snapshot, snapshot_tables
 from ..sources.tables import scan_table
+from .digests import digests
 from .store_frames import DerivedStore, Side, StoredStore
 
 DOMAIN = "shop.example.com"
@@ -657,6 +664,90 @@ def job_validate_(q: Inputs) -> DataFrame:
     return job_validate(q.src.store(), q.dst.store())
 
 
+def _left_behind(q: Inputs, after: Store, *names: str) -> DataFrame:
+    """All of the named tables that a job leaves behind, written and read back."""
+    tables = Store(**{n: getattr(after, n) for n in names}).written(q.workspace).tables()
+    return digests(tables)
+
+
+ORDER_TABLES = ("posts", "postmeta", "order_items", "order_itemmeta")
+
+
+@query
+def delete_orders_cascade_tables(q: Inputs) -> DataFrame:
+    return _left_behind(q, delete_orders_cascade(q.dst.store()), *ORDER_TABLES)
+
+
+@query
+def restore_snapshot_tables(q: Inputs) -> DataFrame:
+    folder, store = q.workspace.location("snapshots"), q.dst.store()
+    snapshot_tables(store, folder, "20250914_120000")
+    place = q.workspace.location("restored")
+    return digests(restore_snapshot(q.spark, folder, "20250914_120000", store.tables(), place).tables())
+
+
+@query
+def job_migrate_customers_tables(q: Inputs) -> DataFrame:
+    after, _ = job_migrate_customers(q.src.store(), q.dst.store(), q.workspace)
+    return _left_behind(q, after, "users", "usermeta", "options")
+
+
+@query
+def job_migrate_orders_tables(q: Inputs) -> DataFrame:
+    after, _ = job_migrate_orders(q.src.store(), q.dst.store(), replace=True)
+    return _left_behind(q, after, *ORDER_TABLES)
+
+
+@query
+def job_convert_wide_tables(q: Inputs) -> DataFrame:
+    after, _ = job_convert_wide(q.dst.store())
+    wide = ("wc_orders", "wc_orders_meta", "wc_order_addresses", "wc_order_operational_data")
+    return _left_behind(q, after, *wide, "options")
+
+
+@query
+def job_full_tables(q: Inputs) -> DataFrame:
+    after, _ = job_full(q.src.store(), q.dst.store(), q.workspace)
+    return _left_behind(q, after, "users", "usermeta", "options", *ORDER_TABLES, "wc_orders")
+
+
+@query
+def job_fix_statuses_tables(q: Inputs) -> DataFrame:
+    after, _ = job_fix_statuses(q.dst.store().having(wc_orders=q.dst_wide), NOW)
+    return _left_behind(q, after, "status_backup", "posts", "postmeta", "options", "wc_orders")
+
+
+@query
+def job_convert_statuses_tables(q: Inputs) -> DataFrame:
+    return _left_behind(q, job_convert_statuses(q.dst.store())[0], "posts", "options")
+
+
+def _synced(q: Inputs, job: Callable[..., tuple[Store, DataFrame]], **mode) -> DataFrame:
+    store = q.dst.store().having(wc_orders=q.dst_wide)
+    after, _ = job(q.spark, q.src.store(), store, NOW, q.workspace, **mode)
+    return _left_behind(q, after, "posts", "options", "wc_orders")
+
+
+@query
+def job_sync_exact_tables(q: Inputs) -> DataFrame:
+    return _synced(q, job_sync_exact)
+
+
+@query
+def job_sync_converted_tables(q: Inputs) -> DataFrame:
+    return _synced(q, job_sync_statuses, convert=True)
+
+
+@query
+def job_sync_preserved_tables(q: Inputs) -> DataFrame:
+    return _synced(q, job_sync_statuses, convert=False)
+
+
+@query
+def job_export_catalog_(q: Inputs) -> DataFrame:
+    return job_export_catalog(q.spark, q.src.store(), q.workspace.location("catalog"), DOMAIN)
+
+
 # --- column functions ------------------------------------------------------------------
 
 

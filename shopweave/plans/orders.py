@@ -68,8 +68,11 @@ def job_migrate_orders(
     return after, counts
 
 
-def job_convert_wide(dst: Store) -> tuple[Store, DataFrame]:
-    """The four wide tables rebuilt from posts and metadata, their settings, and the check."""
+def job_convert_wide(dst: Store, workspace: Workspace | None = None) -> tuple[Store, DataFrame]:
+    """The four wide tables rebuilt from posts and metadata, their settings, and the check.
+
+    With a workspace the new tables are written first, and the check counts what is stored.
+    """
     after = dst.having(
         wc_orders=orders_wide(dst.posts, dst.postmeta),
         wc_orders_meta=copy_order_meta(dst.postmeta, dst.posts),
@@ -77,6 +80,8 @@ def job_convert_wide(dst: Store) -> tuple[Store, DataFrame]:
         wc_order_operational_data=order_operational(dst.postmeta, dst.posts),
         options=upsert_options(dst.options, WIDE_TABLE_OPTIONS),
     )
+    if workspace is not None:
+        after = after.written(workspace)
     return after, wide_reconciliation(after.posts, after.wc_orders)
 
 

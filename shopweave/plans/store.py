@@ -6,6 +6,8 @@ from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame
 
+from ..session import Workspace
+
 
 @dataclass(frozen=True)
 class Store:
@@ -30,6 +32,11 @@ class Store:
     def having(self, **tables: DataFrame) -> "Store":
         return replace(self, **tables)
 
+    def written(self, workspace: Workspace) -> "Store":
+        """Every table written to a fresh location and read back: what a job leaves behind. Counts and
+        checks of the written tables then see what is stored, and the old tables stay as they are."""
+        return Store(**{name: workspace.keep(frame, name) for name, frame in self.tables().items()})
+
     def tables(self) -> dict[str, DataFrame]:
         """The tables that are present, by name."""
         named = {f.name: getattr(self, f.name) for f in fields(self)}
