@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from codecs import charmap_decode
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -68,19 +70,12 @@ class Ends:
         if len(text) > NEAR:
             self.long.setdefault(text[-NEAR:], set()).add(len(text))
 
-    def of(self, word: str, end: int) -> list[tuple[int, int]]:
-        """(begin, token) of each token that ends at ``end``, the longest first."""
-        near = word[max(0, end - NEAR) : end]
-        if (known := self.known.get(near)) is None:
-            short = [(n, self.ids[near[-n:]]) for n in range(len(near), 0, -1) if near[-n:] in self.ids]
-            known = self.known[near] = (sorted(self.long.get(near, ()), reverse=True), short)
-        ids = self.ids
-        found = [
-            (end - n, token)
-            for n in known[0]
-            if n <= end and (token := ids.get(word[end - n : end])) is not None
-        ]
-        return found + [(end - n, token) for n, token in known[1]]
+    def near(self, near: str) -> tuple[list[int], list[tuple[int, int]]]:
+        """Of tokens that can end with these letters: lengths of longer ones, and (length, token) of
+        the others, the longest first."""
+        short = [(n, self.ids[near[-n:]]) for n in range(len(near), 0, -1) if near[-n:] in self.ids]
+        known = self.known[near] = (sorted(self.long.get(near, ()), reverse=True), short)
+        return known
 
 
 class Vocabulary:
@@ -101,7 +96,7 @@ class Vocabulary:
             pair = (ids[left], ids[right])
             self.rank[pair] = rank
             self.parts.setdefault(ids[left + right], (rank, *pair))
-        self.letters = byte_letters()
+        self.letters = "".join(byte_letters())
         self.seams: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
         self.inner, self.last = Ends(), Ends()
@@ -169,16 +164,31 @@ class Vocabulary:
             del tokens[shared + 1 :], begins[shared + 1 :]
             for end in range(shared + 1, size + 1):
                 ends = last if end == size else inner
-                for begin, token in ends.of(word, end):
-                    if not begin:
-                        break
-                    pair = (tokens[begin], token)
-                    if (kept := seams.get(pair)) is None:
-                        kept = seams[pair] = seam(*pair)
-                    if kept:
-                        break
+                near = word[end - NEAR if end > NEAR else 0 : end]
+                long, short = ends.known.get(near) or ends.near(near)
+                ids = ends.ids
+                for length in long:
+                    if length <= end and (token := ids.get(word[end - length : end])) is not None:
+                        begin = end - length
+                        if not begin:
+                            break
+                        pair = tokens[begin], token
+                        if (kept := seams.get(pair)) is None:
+                            kept = seams[pair] = seam(*pair)
+                        if kept:
+                            break
                 else:
-                    raise ValueError(f"no token ends {word[:end]!r}")
+                    for length, token in short:
+                        begin = end - length
+                        if not begin:
+                            break
+                        pair = tokens[begin], token
+                        if (kept := seams.get(pair)) is None:
+                            kept = seams[pair] = seam(*pair)
+                        if kept:
+                            break
+                    else:
+                        raise ValueError(f"no token ends {word[:end]!r}")
                 tokens.append(token)
                 begins.append(begin)
             ids, at = [], size
@@ -195,16 +205,20 @@ class Vocabulary:
         """The words of a chunk, as letters for bytes, after normalization."""
         if chunk.isascii():
             lower = chunk.lower()
-            return [lower] if lower.isalpha() else [self.as_bytes(x) for x in WORDS.findall(lower)]
+            if lower.isalpha():
+                return [lower]
+            if lower[:-1].isalpha() and lower[-1] in ".,":
+                return [lower[:-1], lower[-1]]
+            return [self.as_bytes(x) for x in WORDS.findall(lower)]
         if max(chunk) > KNOWN:
             plain = self.tokenizer.normalizer.normalize_str(chunk)
             return [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
-        # one character at a time: a sigma that ends a word isn't treated specially
-        lower = "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
+        # a sigma that ends a word isn't treated specially
+        lower = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         return [self.as_bytes(x) for x in WORDS.findall(lower)]
 
     def as_bytes(self, word: str) -> str:
-        return "".join([self.letters[x] for x in word.encode()])
+        return charmap_decode(word.encode(), "strict", self.letters)[0]
 
     def chunks_of(self, text: str) -> list[str]:
         """Parts of a text without white space; special tokens are parts of their own."""
@@ -216,24 +230,27 @@ class Vocabulary:
             ]
         return CHUNKS.findall(text) if NOT_SPACE.search(text) else text.split()
 
+    def of_special(self, chunk: str) -> tuple[int, ...]:
+        return (self.special[chunk],) if chunk in self.special else ()
+
     def learn(self, chunks: set[str]) -> None:
         """Encode chunks not seen before: their distinct new words by the trie, then the chunks."""
         if len(self.chunks) > CACHED or len(self.words) > CACHED:
             self.clear()
-        new = [x for x in chunks if x not in self.chunks]
-        parts = [() if x in self.special else self.words_of(x) for x in new]
-        words = sorted({w for part in parts for w in part if w not in self.words})
-        self.words.update(zip(words, self.encode_words(words), strict=True))
         known = self.words
+        new = list(chunks.difference(self.chunks))
+        parts = [() if x in self.special else self.words_of(x) for x in new]
+        words = sorted(set(chain.from_iterable(parts)).difference(known))
+        known.update(zip(words, self.encode_words(words), strict=True))
         ids = [
-            (self.special[x],) if x in self.special else [i for w in part for i in known[w]]
+            known[part[0]] if len(part) == 1 else tuple(chain.from_iterable([known[w] for w in part])) or self.of_special(x)
             for x, part in zip(new, parts, strict=True)
         ]
         first = len(self.chunks)
         self.chunks.update(zip(new, range(first, first + len(new)), strict=True))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         starts = len(self.flat) + np.cumsum(sizes) - sizes
-        flat = np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum()))
         self.sizes = np.concatenate([self.sizes, sizes])
         self.starts = np.concatenate([self.starts, starts])
         self.flat = np.concatenate([self.flat, flat])
