@@ -3,7 +3,7 @@
 import random
 import re
 from collections import Counter, defaultdict
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,6 +155,8 @@ def test_number_heads(spark):
         "t", fn.to_unsigned(F.col("t")).alias("u"), fn.to_decimal(F.col("t")).alias("d")
     )
     for row in frame.collect():
-        head = re.match("[ ]*([+-]?[0-9]*[.]?[0-9]+)", row.t)
+        head = re.match("[ ]*([+-]?[0-9]*[.]?[0-9]+(?:e[+-]?[0-9]+)?)", row.t)
+        value = Decimal(head.group(1)) if head else Decimal(0)
+        value = value.quantize(Decimal("1e-8"), ROUND_HALF_UP) if abs(value) < 10**18 else Decimal(0)
         assert row.u == number(row.t)
-        assert row.d == (Decimal(head.group(1)) if head else 0)
+        assert row.d == value

@@ -136,7 +136,7 @@ def test_numbered_equals_a_window(spark, workspace):
 
 def test_batches_are_full_but_the_last(spark, workspace):
     rows = spark.range(23).selectExpr(
-        "id AS product_id", "'u' AS image_url", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS post_date_gmt"
+        "id AS product_id", "'u' AS image_url", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS post_date"
     )
     sizes = catalog.catalog_batches(rows, workspace, 10).groupBy("batch").count()
     assert values(sizes) == [(1, 10), (2, 10), (3, 3)]

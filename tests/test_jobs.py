@@ -36,7 +36,7 @@ def src(spark):
         postmeta=postmeta(
             spark, (1, "_customer_user", "5"), (1, "_order_total", "7.5"), (2, "_customer_user", "0")
         ),
-        order_items=table(spark, "order_items", [(10, 1, "line_item", 3, "1")]),
+        order_items=table(spark, "order_items", [(10, 1, "line_item")]),
         order_itemmeta=table(spark, "order_itemmeta", [(100, 10, "_qty", "1")]),
         options=table(spark, "options", []),
     )
@@ -49,7 +49,7 @@ def dst(spark):
         usermeta=table(spark, "usermeta", [(90, 9, "dst_capabilities", "admin")]),
         posts=posts(spark, post(1, status="wc-pending"), post(8, kind="product", status="publish")),
         postmeta=table(spark, "postmeta", [(801, 1, "old", "x"), (802, 8, "_sku", "s")]),
-        order_items=table(spark, "order_items", [(77, 1, "line_item", 3, "1")]),
+        order_items=table(spark, "order_items", [(77, 1, "line_item")]),
         order_itemmeta=table(spark, "order_itemmeta", [(770, 77, "_qty", "1")]),
         options=table(spark, "options", [(1, "_transient_a", "", "no"), (2, "keep", "", "yes")]),
     )
