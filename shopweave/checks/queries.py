@@ -428,7 +428,9 @@ def status_distribution_sorted(q: Inputs) -> DataFrame:
 
 @query
 def latest_products(q: Inputs) -> DataFrame:
-    return catalog.latest_products(q.src.posts, q.src.postmeta, q.named_terms, DOMAIN)
+    return catalog.latest_products(
+        q.src.posts, q.src.postmeta, q.named_terms, DOMAIN, workspace=q.workspace
+    )
 
 
 @query

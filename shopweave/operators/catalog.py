@@ -21,6 +21,7 @@ from ..fixed_values import (
     THUMBNAIL_KEY,
 )
 from ..functions import clean_text, image_url, price_fallback, product_type, to_unsigned
+from ..session import Workspace
 from .counting import counted
 from .eav import pivot_first
 from .filters import published_products, without_blocked
@@ -148,11 +149,13 @@ def catalog_rows(
     domain: str,
     in_stock: bool = False,
     limit: int | None = None,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """The catalogue columns and ``post_date``, the column they are ordered by.
 
     All joins are on the product id, so the long texts are shuffled once. With a limit the newest
-    products are chosen from narrow rows first, and the rest is read for those only.
+    products are chosen from narrow rows first, and the rest is read for those only; with a workspace
+    the choice is written, so that it isn't made again for each use.
     """
     products = published_products(posts).select(
         "id", "post_title", "post_name", "post_excerpt", "post_content", "post_date"
@@ -162,6 +165,8 @@ def catalog_rows(
     else:
         dated = exportable_products(products.select("id", "post_date"), postmeta, in_stock)
         newest = dated.orderBy(F.desc("post_date"), "id", "image_path").limit(limit)
+        if workspace is not None:
+            newest = workspace.keep(newest, "newest")
         chosen = products.join(newest.select("id", "image_path"), "id")
         ids = newest.select("id").distinct()
         postmeta = postmeta.join(ids.withColumnRenamed("id", "post_id"), "post_id", "left_semi")
@@ -207,10 +212,15 @@ def newest_first() -> list:
 
 
 def latest_products(
-    posts: DataFrame, postmeta: DataFrame, named: DataFrame, domain: str, n: int = PREVIEW_ROWS
+    posts: DataFrame,
+    postmeta: DataFrame,
+    named: DataFrame,
+    domain: str,
+    n: int = PREVIEW_ROWS,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """The newest products of the catalogue."""
-    rows = catalog_rows(posts, postmeta, named, domain, limit=n)
+    rows = catalog_rows(posts, postmeta, named, domain, limit=n, workspace=workspace)
     return rows.orderBy(*newest_first()).select(*CATALOG_COLUMNS)
 
 

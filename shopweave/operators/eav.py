@@ -62,16 +62,34 @@ def _of_orders(per_post: DataFrame, posts: DataFrame) -> DataFrame:
     return per_post.join(order_ids(posts, "post_id"), "post_id", "left_semi")
 
 
-def posts_with_meta(postmeta: DataFrame) -> DataFrame:
-    return postmeta.select("post_id").distinct()
+def _pivot_every_post(postmeta: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """``pivot_max`` with a row for each post that has metadata of any key, in one scan.
 
-
-def _with_every_order(pivot: DataFrame, postmeta: DataFrame, posts: DataFrame) -> DataFrame:
-    """Keep a row for each order that has metadata of any key.
-
-    The distinct ids travel as bare longs; they spare the wide pivot from carrying the other keys.
+    Rows of other keys count for their post alone; their key and value are dropped before anything
+    is sorted or shuffled.
     """
-    return _of_orders(posts_with_meta(postmeta), posts).join(pivot, "post_id", "left")
+    wanted = F.col("meta_key").isin(list(columns.values()))
+    narrow = (F.when(wanted, F.col(c)).alias(c) for c in ("meta_key", "meta_value"))
+    return pivot_max(postmeta.select("post_id", *narrow), columns)
+
+
+def pivot_addresses(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
+    """Billing and shipping columns of each order that has a key of either pattern, from one scan and
+    one aggregate; ``has_billing`` and ``has_shipping`` tell which of the two it has."""
+    sides = {
+        "billing": (BILLING_PATTERN, BILLING_FIELDS),
+        "shipping": (SHIPPING_PATTERN, SHIPPING_FIELDS),
+    }
+    matches = {side: F.col("meta_key").like(pattern) for side, (pattern, _) in sides.items()}
+    per_post = postmeta.where(matches["billing"] | matches["shipping"]).groupBy("post_id").agg(
+        *(
+            F.max(_value_of(f"_{side}_{field}")).alias(f"{side}_{field}")
+            for side, (_, fields) in sides.items()
+            for field in fields
+        ),
+        *(F.bool_or(match).alias(f"has_{side}") for side, match in matches.items()),
+    )
+    return _of_orders(per_post, posts)
 
 
 def core_values(postmeta: DataFrame) -> DataFrame:
@@ -81,7 +99,7 @@ def core_values(postmeta: DataFrame) -> DataFrame:
 
 def pivot_order_core(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
     """Ten core columns for each order that has metadata."""
-    return _with_every_order(core_values(postmeta), postmeta, posts)
+    return _of_orders(_pivot_every_post(postmeta, CORE_KEYS), posts)
 
 
 def pivot_billing(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
@@ -98,5 +116,4 @@ def pivot_shipping(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
 
 def pivot_operational(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
     """Sixteen operational columns for each order that has metadata."""
-    values = pivot_max(meta_of_keys(postmeta, OPERATIONAL_KEYS.values()), OPERATIONAL_KEYS)
-    return _with_every_order(values, postmeta, posts)
+    return _of_orders(_pivot_every_post(postmeta, OPERATIONAL_KEYS), posts)

@@ -14,6 +14,7 @@ from ..fixed_values import (
     EMAIL_KEY,
     ENTITY_LABELS,
     ORDER_TYPE,
+    SHIPPING_FIELDS,
     TOTAL_KEY,
 )
 from ..functions import (
@@ -26,7 +27,7 @@ from ..functions import (
     yes_flag,
 )
 from .counting import counted, labelled_counts
-from .eav import core_values, pivot_billing, pivot_first, pivot_operational, pivot_shipping
+from .eav import core_values, pivot_addresses, pivot_first, pivot_operational
 from .filters import is_order, order_ids, orders_only
 
 # --- exports ---------------------------------------------------------------------------
@@ -130,7 +131,23 @@ def append_addresses(billing: DataFrame, shipping: DataFrame) -> DataFrame:
 
 
 def order_addresses(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
-    return append_addresses(pivot_billing(postmeta, posts), pivot_shipping(postmeta, posts))
+    """Billing and shipping address of each order as rows of one table, from one pass over metadata."""
+
+    def address(side: str, fields) -> Column:
+        parts = [
+            F.coalesce(f"{side}_{field}", F.lit("")) if field in fields else F.lit("")
+            for field in BILLING_FIELDS
+        ]
+        row = F.struct(
+            F.lit(side).alias("address_type"),
+            *(part.alias(field) for part, field in zip(parts, BILLING_FIELDS, strict=True)),
+        )
+        return F.when(F.col(f"has_{side}"), row)
+
+    both = F.array(address("billing", BILLING_FIELDS), address("shipping", SHIPPING_FIELDS))
+    return pivot_addresses(postmeta, posts).select(
+        F.col("post_id").alias("order_id"), F.inline(F.array_compact(both))
+    )
 
 
 def order_operational(postmeta: DataFrame, posts: DataFrame) -> DataFrame:

@@ -52,8 +52,13 @@ def test_filters_and_columns_reach_the_scan(stored):
 
 def test_wide_orders_shuffle_each_side_once(stored):
     assert shuffles(orders.orders_wide(stored.posts, stored.postmeta)) == 2
-    # once per pivot; the two shuffles of the order ids are one at run time
-    assert shuffles(orders.order_addresses(stored.postmeta, stored.posts)) == 4
+    for frame in (
+        orders.order_addresses(stored.postmeta, stored.posts),
+        orders.order_operational(stored.postmeta, stored.posts),
+        eav.pivot_order_core(stored.postmeta, stored.posts),
+    ):
+        assert shuffles(frame) == 2
+        assert plan(frame).count("/postmeta]") == 1
 
 
 def test_catalog_shuffles_the_texts_once(stored):
