@@ -25,7 +25,7 @@ from .components import components
 from .tiles import Forest, deal, runs
 
 THRESHOLD = 0.9
-TILE = 8192
+TILE = 4096
 ROWS = 512
 #: Covers the rounding of the bounds themselves, which are computed in single precision.
 SLACK = 1e-5

@@ -39,7 +39,7 @@ def cluster(rng, size, spread, dim=16):
     return rng.normal(size=dim) + spread * rng.normal(size=(size, dim))
 
 
-@pytest.mark.parametrize("tile", [8, 8192])
+@pytest.mark.parametrize("tile", [8, 4096])
 def test_embeddings(spark, workspace, monkeypatch, tile):
     monkeypatch.setattr(embeddings, "TILE", tile)
     rng = np.random.default_rng(5)
