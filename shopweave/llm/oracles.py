@@ -2,4 +2,76 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from .quality import COVERED_PCT, LINES_PCT, MAX_REPEAT_PCT, MIN_WORDS
+
+SPACE = r"[\x20\x09-\x0D]"
+
+EMBEDDINGS = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors AS a JOIN vectors AS b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reached AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+), least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links, l.component_id,
+    e.vec_id = l.component_id AS kept
+FROM embeddings AS e JOIN least AS l ON l.a = e.vec_id
+"""
+
+
+def quality() -> str:
+    """Words and windows one by one; a word is inside a repeat if a repeated window began at it or up
+    to n - 1 words before."""
+    lengths = [3, *COVERED_PCT]
+    most = max(lengths)
+    next_words = ", ".join(f"lead(word, {k}) OVER w AS w{k}" for k in range(1, most))
+    windows = ", ".join(
+        f"CASE WHEN w{n - 1} IS NOT NULL THEN concat_ws(' ', word, {', '.join(f'w{k}' for k in range(1, n))}) END AS g{n}"
+        for n in lengths
+    )
+    twice = ", ".join(f"g{n} IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g{n}) > 1 AS t{n}" for n in lengths)
+    inside = ", ".join(
+        f"bool_or(t{n}) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS i{n}"
+        for n in lengths
+    )
+    covered = ", ".join(f"coalesce(sum(length(word)) FILTER (WHERE i{n}), 0) AS covered_{n}" for n in COVERED_PCT)
+    within = "".join(f" AND 100 * covered_{n} <= {pct} * word_chars" for n, pct in COVERED_PCT.items())
+    counts = ["n_words", "word_chars", "n_repeat_words", *(f"covered_{n}" for n in COVERED_PCT)]
+    return f"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{SPACE.replace("[", "[^")}+') AS ws FROM documents
+), words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS place FROM split
+), following AS (SELECT *, {next_words} FROM words WINDOW w AS (PARTITION BY doc_id ORDER BY place)
+), windows AS (SELECT doc_id, word, place, {windows} FROM following),
+repeats AS (SELECT doc_id, word, place, {twice} FROM windows),
+inside AS (SELECT doc_id, word, {inside} FROM repeats),
+sums AS (
+    SELECT doc_id, count(*) AS n_words, sum(length(word)) AS word_chars, count(*) FILTER (WHERE i3) AS n_repeat_words, {covered}
+    FROM inside GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY place) AS nth FROM (
+        SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS place
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+    )
+), again AS (
+    SELECT doc_id, count(*) AS n_dup_lines, sum(length(regexp_replace(line, '{SPACE}', '', 'g'))) AS dup_line_chars
+    FROM lines WHERE nth > 1 AND regexp_matches(line, '{SPACE.replace("[", "[^")}') GROUP BY doc_id
+), found AS (
+    SELECT d.doc_id, {", ".join(f"CAST(coalesce(s.{c}, 0) AS BIGINT) AS {c}" for c in counts)},
+        CAST(coalesce(a.n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(a.dup_line_chars, 0) AS BIGINT) AS dup_line_chars,
+        CAST(length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols
+    FROM documents AS d LEFT JOIN sums AS s ON s.doc_id = d.doc_id LEFT JOIN again AS a ON a.doc_id = d.doc_id
+), base AS (
+    SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words AS base_failed FROM found
+)
+SELECT *, NOT base_failed AND 100 * dup_line_chars <= {LINES_PCT} * word_chars{within} AS kept FROM base
+"""
+
+
+ORACLES: dict[str, str] = {"op1_embedding_near_dedup": EMBEDDINGS, "op4_quality_rules": quality()}
