@@ -326,9 +326,14 @@ def score_documents(
     counts = workspace.keep(counts.groupBy("word").agg(F.sum("n").alias("n")), "words")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     short = counts.where(F.octet_length("word") <= LONGEST)
+    # the least count of which, with all larger ones, there are at most KNOWN words
+    sizes = short.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(KNOWN).toArrow()
+    large = sizes.column("n").to_numpy()[np.cumsum(sizes.column("words").to_numpy()) <= KNOWN]
+    least = int(large.min()) if len(large) else 1 << 62
     # at most KNOWN words of at most LONGEST bytes
-    top = short.orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()
-    words = Words(list(zip(top.column("word").to_pylist(), top.column("n").to_pylist(), strict=True)), *sums)
+    top = short.where(F.col("n") >= least).toArrow()
+    known = sorted(zip(top.column("word").to_pylist(), top.column("n").to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
+    words = Words(known, *sums)
     flat = fit(docs.where(training), text, words, workspace)
     end = words.number.get(END, HEAD)
 
