@@ -31,6 +31,8 @@ RADIUS = 4
 TILE = 4096
 PLANES_AT_ONCE = 8
 WORDS_AT_ONCE = 1 << 16
+#: Members of cells that are compared together.
+TOGETHER = 1 << 13
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -84,23 +86,34 @@ def exceeds(counters: list[np.ndarray], over: np.ndarray, radius: int) -> np.nda
     return above
 
 
-def near(queries: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions (query, fingerprint) of all pairs within the radius, a bounded number at a time."""
+def near(
+    queries: np.ndarray,
+    prints: np.ndarray,
+    radius: int = RADIUS,
+    pairs: tuple[np.ndarray, np.ndarray] | None = None,
+    real: np.ndarray | None = None,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (query, fingerprint) of all pairs within the radius, a bounded number at a time.
+
+    ``pairs``: the queries and the words of 64 fingerprints that meet, else all do; ``real``: which
+    fingerprints count, the others fill up words.
+    """
     planes = planes_of(prints)
     words = planes.shape[1]
-    valid = np.full(words, ONES)
-    if len(prints) % 64:
-        valid[-1] = ONES >> np.uint64(64 - len(prints) % 64)
-    step = max(1, WORDS_AT_ONCE // words)
-    for begin in range(0, len(queries), step):
-        part = queries[begin : begin + step]
-        q, w = np.repeat(np.arange(len(part)), words), np.tile(np.arange(words), len(part))
-        counters = [np.zeros(len(q), np.uint64) for _ in range(radius.bit_length())]
+    if pairs is None:
+        pairs = np.repeat(np.arange(len(queries)), words), np.tile(np.arange(words), len(queries))
+    filled = np.zeros(words * 64, np.uint8)
+    filled[: len(prints)] = 1 if real is None else real
+    valid = np.packbits(filled, bitorder="little").view("<u8")
+    for begin in range(0, len(pairs[0]), WORDS_AT_ONCE):
+        q, w = (x[begin : begin + WORDS_AT_ONCE] for x in pairs)
+        counters = [np.zeros(len(q), np.uint64) for _ in range(max(1, radius.bit_length()))]
         over = np.zeros(len(q), np.uint64)
         for first in range(0, 64, PLANES_AT_ONCE):
+            own = queries[q]
             for bit in range(first, first + PLANES_AT_ONCE, 2):
                 # carry-save: two planes and the lowest counter give a sum and one carry
-                one, two = (planes[b][w] ^ (np.uint64(0) - (part >> np.uint64(b) & np.uint64(1)))[q] for b in (bit, bit + 1))
+                one, two = (planes[b][w] ^ (np.uint64(0) - (own >> np.uint64(b) & np.uint64(1))) for b in (bit, bit + 1))
                 half = counters[0] ^ one
                 carry = counters[0] & one | half & two
                 counters[0] = half ^ two
@@ -115,7 +128,38 @@ def near(queries: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> Itera
         if len(q):
             bits = np.unpackbits(alive.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             at, lane = np.nonzero(bits)
-            yield begin + q[at], w[at] * 64 + lane
+            yield q[at], w[at] * 64 + lane
+
+
+class Cells:
+    """Cells that are compared together: each one's queries meet the words of its own fingerprints."""
+
+    def __init__(self):
+        self.values: list[np.ndarray] = []
+        self.queries: list[np.ndarray] = []
+        self.others: list[np.ndarray] = []
+        self.met: list[np.ndarray] = []
+        self.members = self.words = 0
+
+    def add(self, values: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        words = -(-len(right) // 64)
+        padded = np.full(words * 64, -1)
+        padded[: len(right)] = self.members + right
+        self.values.append(values)
+        self.queries.append(np.repeat(self.members + left, words))
+        self.met.append(np.tile(np.arange(self.words, self.words + words), len(left)))
+        self.others.append(padded)
+        self.members += len(values)
+        self.words += words
+
+    def links(self, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """A forest of the links in all cells."""
+        values, others = np.concatenate(self.values), np.concatenate(self.others)
+        forest, pairs = Forest(len(values)), (np.concatenate(self.queries), np.concatenate(self.met))
+        for query, other in near(values, values[others], radius, pairs, others >= 0):
+            forest.link(query, others[other])
+        at = np.flatnonzero(forest.label != np.arange(len(values)))
+        return values[at], values[forest.label[at]]
 
 
 def blocks(radius: int) -> list[int]:
@@ -135,20 +179,24 @@ def links(prints: DataFrame, workspace: Workspace, radius: int = RADIUS) -> Data
     members = deal(rows.join(sizes, ["band", "bits"]), ["band", "bits"], "fp", F.col("n"), TILE)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(cells: Cells) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in cells.links(radius)], names=["a", "b"])
+
+        cells = Cells()
         for cell in runs(batches, 4):
             values = cell.column("fp").to_numpy().view(np.uint64)
-            first = cell.column("own").to_numpy() == cell.column("first")[0].as_py()
-            mixed = not first.all() and first.any()
-            if cell.column("first")[0].as_py() != cell.column("second")[0].as_py() and not mixed:
-                continue  # one of the two tiles has no member
-            forest = Forest(len(values))
-            left, right = (np.flatnonzero(first), np.flatnonzero(~first)) if mixed else (np.arange(len(values)),) * 2
-            for query, other in near(values[left], values[right], radius):
-                forest.link(left[query], right[other])
-            at = np.flatnonzero(forest.label != np.arange(len(values)))
-            if len(at):
-                ends = [pa.array(x.view(np.int64)) for x in (values[at], values[forest.label[at]])]
-                yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+            first, second = cell.column("first")[0].as_py(), cell.column("second")[0].as_py()
+            inside = cell.column("own").to_numpy() == first
+            left, right = np.flatnonzero(inside), np.flatnonzero(~inside)
+            if first == second:
+                cells.add(values, left, left)
+            elif len(left) and len(right):
+                cells.add(values, left, right)
+            if cells.members >= TOGETHER:
+                yield found(cells)
+                cells = Cells()
+        if cells.members:
+            yield found(cells)
 
     return members.select("band", "bits", "first", "second", "own", "fp").mapInArrow(compare, "a long, b long")
 
