@@ -4,7 +4,8 @@ A text's BPE encoding is the one segmentation in which every token is what BPE m
 symbols and no seam between neighbours is merged across. Both tests are local, so the encoding of a
 prefix is known by its last token alone: the longest path in a trie of words needs one state a node.
 Distinct words of a batch, in sorted order, are the trie's leaves in depth-first order; the states
-up to the prefix shared with the word before stay on the stack and are never computed again.
+up to the prefix shared with the word before stay on the stack and are never computed again. A state
+is computed when a longer prefix first asks for it.
 
 Spark deals out the rows; a task keeps a bounded cache of white-space separated chunks of text, so
 no shuffle is needed. Nulls are empty texts and have no tokens. Very long texts are encoded whole.
@@ -12,6 +13,7 @@ no shuffle is needed. Nulls are empty texts and have no tokens. Very long texts
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 from codecs import charmap_decode
@@ -20,23 +22,25 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import slices, strings
+from .common import slices
 
 #: Cached chunks and words of a task; beyond that the caches start anew. It bounds memory only.
-CACHED = 150_000
-#: Characters of text whose chunks are held at once.
-STEP = 1_000_000
+CACHED = 300_000
+SEAMS = 1_000_000
+#: Bytes of text whose chunks are held at once.
+STEP = 4_000_000
 
-# The pre-tokenizer's pattern, the end-of-word mark, and characters that Python's
-# str.split() takes for white space but the tokenizer doesn't.
+# The pre-tokenizer's pattern, the end-of-word mark, marks that can follow a word, and
+# what is no white space to the tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END = "</w>"
-NOT_SPACE = regex.compile("[\x1c-\x1f]")
+MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 CHUNKS = regex.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: Letters by which the tokens that can end at a place are looked up.
 NEAR = 4
@@ -107,7 +111,9 @@ class Vocabulary:
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[str, tuple[int, ...]] = {}
+        if len(self.seams) > SEAMS:
+            self.seams.clear()
+        self.words: dict[str, tuple[int, ...]] = {x: (i,) for x, i in self.special.items()}
         self.chunks: dict[str, int] = {}
         self.sizes, self.starts, self.flat = [np.zeros(0, np.int64) for _ in range(3)]
 
@@ -154,27 +160,34 @@ class Vocabulary:
         out, before = [], ""
         inner, last = self.inner, self.last
         seams, seam = self.seams, self.seam
-        tokens, begins = [-1], [0]  # the last token of each prefix, and where it begins
+        # of each prefix the last token and where it begins; None: not asked for yet
+        tokens: list[int | None] = [-1]
+        begins: list[int] = [0]
         for word in words:
             size = len(word)
-            most = min(len(tokens), size) - 1
+            most = min(len(before), size) - 1  # the end of a word is no prefix of another
             shared = 0
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del tokens[shared + 1 :], begins[shared + 1 :]
-            for end in range(shared + 1, size + 1):
+            tokens[shared + 1 :] = [None] * (size - shared)
+            begins[shared + 1 :] = [0] * (size - shared)
+            asked = [size]
+            while asked:
+                end = asked[-1]
                 ends = last if end == size else inner
                 near = word[end - NEAR if end > NEAR else 0 : end]
                 long, short = ends.known.get(near) or ends.near(near)
                 ids = ends.ids
+                before_it = -1
                 for length in long:
                     if length <= end and (token := ids.get(word[end - length : end])) is not None:
                         begin = end - length
                         if not begin:
                             break
-                        pair = tokens[begin], token
-                        if (kept := seams.get(pair)) is None:
-                            kept = seams[pair] = seam(*pair)
+                        if (before_it := tokens[begin]) is None:
+                            break
+                        if (kept := seams.get((before_it, token))) is None:
+                            kept = seams[before_it, token] = seam(before_it, token)
                         if kept:
                             break
                 else:
@@ -182,69 +195,69 @@ class Vocabulary:
                         begin = end - length
                         if not begin:
                             break
-                        pair = tokens[begin], token
-                        if (kept := seams.get(pair)) is None:
-                            kept = seams[pair] = seam(*pair)
+                        if (before_it := tokens[begin]) is None:
+                            break
+                        if (kept := seams.get((before_it, token))) is None:
+                            kept = seams[before_it, token] = seam(before_it, token)
                         if kept:
                             break
                     else:
                         raise ValueError(f"no token ends {word[:end]!r}")
-                tokens.append(token)
-                begins.append(begin)
-            ids, at = [], size
+                if before_it is None:
+                    asked.append(begin)
+                    continue
+                tokens[end], begins[end] = token, begin
+                asked.pop()
+            ids_of, at = [], size
             while at:
-                ids.append(tokens[at])
+                ids_of.append(tokens[at])
                 at = begins[at]
-            out.append(tuple(ids[::-1]))
-            tokens.pop()  # it holds the end of the word, which no longer word shares
-            begins.pop()
+            out.append(tuple(ids_of[::-1]))
             before = word
         return out
 
     def words_of(self, chunk: str) -> list[str]:
-        """The words of a chunk, as letters for bytes, after normalization."""
-        if chunk.isascii():
-            lower = chunk.lower()
-            if lower.isalpha():
-                return [lower]
-            if lower[:-1].isalpha() and lower[-1] in ".,":
-                return [lower[:-1], lower[-1]]
-            return [self.as_bytes(x) for x in WORDS.findall(lower)]
+        """The words of a chunk, as letters for bytes, after normalization; special tokens are words of
+        their own."""
+        if chunk and chunk.isascii() and chunk.isprintable() and "<|" not in chunk:
+            return self.plain_words(chunk)
+        words = []
+        for part in self.by_special.split(chunk):
+            if part in self.special:
+                words.append(part)
+            else:
+                for piece in CHUNKS.findall(part):
+                    words += self.plain_words(piece)
+        return words
+
+    def plain_words(self, chunk: str) -> list[str]:
         if max(chunk) > KNOWN:
             plain = self.tokenizer.normalizer.normalize_str(chunk)
             return [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
         # a sigma that ends a word isn't treated specially
-        lower = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        return [self.as_bytes(x) for x in WORDS.findall(lower)]
+        lower = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        letters = lower.rstrip(MARKS)
+        if letters.isalpha():  # what most chunks are: letters, and perhaps marks after them
+            words = [letters, lower[len(letters) :]] if len(letters) < len(lower) else [lower]
+        else:
+            words = WORDS.findall(lower)
+        return words if lower.isprintable() and lower.isascii() else list(map(self.as_bytes, words))
 
     def as_bytes(self, word: str) -> str:
         return charmap_decode(word.encode(), "strict", self.letters)[0]
 
-    def chunks_of(self, text: str) -> list[str]:
-        """Parts of a text without white space; special tokens are parts of their own."""
-        if "<|" in text and self.by_special.search(text):
-            return [
-                x
-                for part in self.by_special.split(text)
-                for x in ([part] if part in self.special else CHUNKS.findall(part))
-            ]
-        return CHUNKS.findall(text) if NOT_SPACE.search(text) else text.split()
-
-    def of_special(self, chunk: str) -> tuple[int, ...]:
-        return (self.special[chunk],) if chunk in self.special else ()
-
-    def learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: list[str]) -> None:
         """Encode chunks not seen before: their distinct new words by the trie, then the chunks."""
         if len(self.chunks) > CACHED or len(self.words) > CACHED:
             self.clear()
         known = self.words
-        new = list(chunks.difference(self.chunks))
-        parts = [() if x in self.special else self.words_of(x) for x in new]
+        new = [x for x in chunks if x not in self.chunks]
+        parts = list(map(self.words_of, new))
         words = sorted(set(chain.from_iterable(parts)).difference(known))
         known.update(zip(words, self.encode_words(words), strict=True))
         ids = [
-            known[part[0]] if len(part) == 1 else tuple(chain.from_iterable([known[w] for w in part])) or self.of_special(x)
-            for x, part in zip(new, parts, strict=True)
+            known[part[0]] if len(part) == 1 else tuple(chain.from_iterable([known[w] for w in part]))
+            for part in parts
         ]
         first = len(self.chunks)
         self.chunks.update(zip(new, range(first, first + len(new)), strict=True))
@@ -255,18 +268,21 @@ class Vocabulary:
         self.starts = np.concatenate([self.starts, starts])
         self.flat = np.concatenate([self.flat, flat])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All texts' ids, one after another, and the number of ids of each text."""
-        chunks, counts = [], []
-        for text in texts:
-            part = self.chunks_of(text)
-            chunks += part
-            counts.append(len(part))
-        self.learn(set(chunks))
-        at = np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids, one after another, and the number of ids of each text; a null is empty.
+
+        Arrow splits the texts at ASCII white space and finds the distinct chunks; Python sees those.
+        """
+        parts = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+        chunks = parts.flatten().dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        self.learn(distinct)
+        own = np.fromiter(map(self.chunks.__getitem__, distinct), np.int64, len(distinct))
+        at = own[chunks.indices.to_numpy()]
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         ids = self.flat[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(sizes.sum())]
+        counts = parts.value_lengths().to_numpy()
         edge = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
         return ids, np.diff(edge)
 
@@ -283,9 +299,13 @@ def vocabulary(path: str) -> Vocabulary:
 def encoded(path: str, texts: pa.Array):
     """Ids and counts of a batch's rows, in steps of bounded size: (first row, ids, counts)."""
     known = vocabulary(path)
-    rows = strings(texts)
-    for start, end in slices([len(x) for x in rows], STEP):
-        yield start, *known.encode(rows[start:end])
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    gc.disable()  # a great many tuples are made here, and no cycles
+    try:
+        for start, end in slices(sizes, STEP):
+            yield start, *known.encode(texts.slice(start, end - start))
+    finally:
+        gc.enable()
 
 
 def arrays(steps: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:

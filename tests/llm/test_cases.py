@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,7 +78,7 @@ def test_bpe_round_trip(docs):
 def test_bpe_of_random_words():
     known, dice = bpe.vocabulary(TOKENIZER), random.Random(7)
     texts = ["".join(dice.choice("abcdeinthors'.,é ") for _ in range(dice.randint(0, 60))) for _ in range(400)]
-    ids, counts = known.encode(texts)
+    ids, counts = known.encode(pa.array(texts))
     wanted = [x.ids for x in known.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == wanted
 
