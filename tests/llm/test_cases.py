@@ -299,7 +299,7 @@ def test_entropy_is_exact(docs):
     import math
 
     dice = random.Random(16)
-    text = "".join(dice.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ+/23456789" if 60 < k < 140 else "abab") for k in range(200))
+    text = "".join(dice.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ+/23456789" if 60 < k < 140 else "ab"[k % 2]) for k in range(200))  # no run that the allow-list knows
     letters, window, least = secrets.CLASSES["entropy_base64"]
     high = [False] * len(text)
     for i in range(len(text) - window + 1):
