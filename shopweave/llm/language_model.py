@@ -6,9 +6,9 @@ more class, within which a word has its smoothed share of the counts; so every t
 
 Each task trains the network on its own training texts, from the same start, and Spark averages the
 parameters, weighted by tokens. Texts stand end to end in lanes that advance together. The state is
-carried from window to window until the text ends; every ``LEARN_EVERY``-th window is learned from, by
-backpropagation within the window. For scoring, the state is carried through whole texts. The network
-starts as the unigram distribution, which training can only refine.
+carried from window to window until the text ends; every window is learned from, by backpropagation
+within the window. For scoring, the state is carried through whole texts. The network starts as the
+unigram distribution, which training can only refine.
 
 Counts of the most frequent ``KNOWN`` words go to the tasks, whose size is so bounded; the others are
 joined. A null text is an empty one: its only token is the end.
@@ -38,7 +38,6 @@ KNOWN = 1 << 18
 LONGEST = 64
 LANES = 512
 WINDOW = 16
-LEARN_EVERY = 2
 SCORE_WINDOW = 64
 RATE = 0.05
 #: Tokens that a task holds at once, and words that it counts before it sends the counts on.
@@ -167,12 +166,14 @@ class Network:
     def outcome(self, states: np.ndarray, targets: np.ndarray, learn: bool):
         """Log probabilities of targets, of the model's other class for HEAD; gradients if asked."""
         kinds = np.minimum(targets // SIZE, CLASSES)
-        logits = states @ self.to_class + self.class_bias
+        logits = states @ self.to_class
+        logits += self.class_bias
         logits -= logits.max(axis=1, keepdims=True)
-        shares = np.exp(logits)
-        sums = shares.sum(axis=1, keepdims=True)
         at = np.arange(len(targets))
-        found = logits[at, kinds] - np.log(sums[:, 0])
+        found = logits[at, kinds]
+        shares = np.exp(logits, out=logits)
+        sums = shares.sum(axis=1, keepdims=True)
+        found -= np.log(sums[:, 0])
         wanted = None
         if learn:
             shares /= sums
@@ -182,23 +183,28 @@ class Network:
             self.learn("class_bias", shares.sum(axis=0))
         order = np.argsort(kinds, kind="stable")
         edges = np.searchsorted(kinds[order], np.arange(CLASSES + 1))
-        for kind in range(CLASSES):
+        present = np.flatnonzero(np.diff(edges))
+        to_word, word_bias = [], []
+        for kind in present:
             own = order[edges[kind] : edges[kind + 1]]
-            if not len(own):
-                continue
             part = states[own]
-            logits = part @ self.to_word[kind] + self.word_bias[kind]
+            logits = part @ self.to_word[kind]
+            logits += self.word_bias[kind]
             logits -= logits.max(axis=1, keepdims=True)
-            shares = np.exp(logits)
-            sums = shares.sum(axis=1, keepdims=True)
             pick = np.arange(len(own)), targets[own] % SIZE
-            found[own] += logits[pick] - np.log(sums[:, 0])
+            hit = logits[pick]
+            shares = np.exp(logits, out=logits)
+            sums = shares.sum(axis=1, keepdims=True)
+            found[own] += hit - np.log(sums[:, 0])
             if learn:
                 shares /= sums
                 shares[pick] -= 1
                 wanted[own] += shares @ self.to_word[kind].T
-                self.learn("to_word", part.T @ shares, kind)
-                self.learn("word_bias", shares.sum(axis=0), kind)
+                to_word.append(part.T @ shares)
+                word_bias.append(shares.sum(axis=0))
+        if to_word:
+            self.learn("to_word", np.stack(to_word), present)
+            self.learn("word_bias", np.stack(word_bias), present)
         return found, wanted
 
 
@@ -238,16 +244,14 @@ class Lanes:
 def train(network: Network, texts: list[np.ndarray], end: int) -> None:
     lanes = Lanes(texts, end)
     state = np.zeros((len(lanes.sizes), STATE), np.float32)
-    for count, (inputs, fresh, targets, _) in enumerate(lanes.windows(WINDOW)):
-        learn = count % LEARN_EVERY == 0
-        states, past = network.run(inputs, fresh, state[: inputs.shape[1]], learn)
+    for inputs, fresh, targets, _ in lanes.windows(WINDOW):
+        states, past = network.run(inputs, fresh, state[: inputs.shape[1]], True)
         state = states[-1]
-        if learn:
-            real = targets.ravel() >= 0
-            flat = states.reshape(-1, STATE)
-            wanted = np.zeros_like(flat)
-            wanted[real] = network.outcome(flat[real], targets.ravel()[real], True)[1]
-            network.back(inputs, fresh, past, wanted.reshape(states.shape))
+        real = targets.ravel() >= 0
+        flat = states.reshape(-1, STATE)
+        wanted = np.zeros_like(flat)
+        wanted[real] = network.outcome(flat[real], targets.ravel()[real], True)[1]
+        network.back(inputs, fresh, past, wanted.reshape(states.shape))
 
 
 def score(network: Network, texts: list[np.ndarray], end: int) -> np.ndarray:

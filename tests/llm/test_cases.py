@@ -193,6 +193,19 @@ def test_language_model(docs, workspace):
     assert language_model.score_documents(frame.where("false"), "training", workspace).count() == 0
 
 
+def test_every_token_is_a_training_target(monkeypatch):
+    words = language_model.Words([(b"w%d" % k, 1) for k in range(100)], 100, 100)
+    own, targets = language_model.Network.outcome, []
+
+    def outcome(self, states, wanted, learn):
+        targets.extend(wanted.tolist() if learn else [])
+        return own(self, states, wanted, learn)
+
+    monkeypatch.setattr(language_model.Network, "outcome", outcome)
+    language_model.train(language_model.Network(words), [np.arange(100, dtype=np.int32)], 0)
+    assert sorted(targets) == list(range(100))
+
+
 def test_gradients():
     words = language_model.Words([(b"w%d" % k, 9 - k) for k in range(9)], 60, 12)
     rng = np.random.default_rng(15)
