@@ -4,7 +4,7 @@ A wrapper is a union-free regular expression over a page's tokens: tags of block
 slots, and groups that may be absent or repeated. A page's stream is folded first, so that tandem
 repeats are repeated groups; then streams are aligned one after another with the host's wrapper so
 far: different texts at one place leave a slot without text, tokens that only one side has become an
-optional group, and a group meets its repeated self. Tasks infer wrappers of their own pages, whose
+optional group, and a group meets its repeated self. A slot's text counts the pages that agree on it. Tasks infer wrappers of their own pages, whose
 number per host is that of the tasks at most; equal ones fall together and the rest are aligned in
 two rounds, so that a host with a third of all pages is no single task.
 
@@ -19,6 +19,8 @@ import html
 import json
 import re
 import zlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -59,7 +61,8 @@ NO_TEXT_NAMES = frozenset(
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 TEXT_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p li td th dd dt blockquote pre figcaption".split())
 
-#: Most tokens in a repeated group that folding looks for, and in a wrapper that is still aligned.
+#: Most tokens in a repeated group that folding looks for, and items of two wrappers that are compared all
+#: with all; longer ones are cut at tokens that both have once.
 GROUP, LONGEST = 12, 400
 #: Different pages that must agree for a text to be the template's.
 AGREE = 3
@@ -168,7 +171,21 @@ class Page:
 
 
 # A wrapper is a list of tokens and of groups (least, most, items): least 0 if it may be absent, most 2
-# if it may be repeated.
+# if it may be repeated. A text slot is '#', or '#checksum' with '*' and the number of pages that agree, if
+# more than one.
+
+
+def agreed(slot: str) -> int:
+    """Pages that have a slot's text."""
+    return int(slot[10:] or 1) if len(slot) > 1 else 0
+
+
+def scaled(items, times: int) -> list:
+    """A wrapper that stands for ``times`` equal ones."""
+    if times == 1:
+        return list(items)
+    one = lambda x: f"{x[:9]}*{agreed(x) * times}" if x[0] == "#" and len(x) > 1 else x
+    return [one(x) if isinstance(x, str) else (x[0], x[1], tuple(scaled(x[2], times))) for x in items]
 
 
 def same(a, b) -> bool:
@@ -181,7 +198,9 @@ def same(a, b) -> bool:
 def joined(a, b):
     """One item for two that are the same."""
     if isinstance(a, str):
-        return a if a == b else "#"
+        if a[0] != "#":
+            return a
+        return f"{a[:9]}*{agreed(a) + agreed(b)}" if len(a) > 1 and a[:9] == b[:9] else "#"
     return min(a[0], b[0]), max(a[1], b[1]), tuple(map(joined, a[2], b[2]))
 
 
@@ -209,12 +228,54 @@ def weight(item) -> int:
     return 1 if isinstance(item, str) else sum(map(weight, item[2]))
 
 
-def align(a: list, b: list) -> list:
-    """A wrapper for all that two wrappers match."""
-    if len(a) == len(b) and all(map(same, a, b)):
-        return list(map(joined, a, b))
-    if max(len(a), len(b)) > LONGEST:  # no template of a size worth aligning: the larger stays
-        return a if len(a) >= len(b) else b
+def anchors(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of tokens that both sides have once, as many as stand in the same order."""
+
+    def once(items: list) -> dict[str, int]:
+        keys = [x[:9] if x[0] == "#" else x for x in items if isinstance(x, str) and x != "#"]
+        counts = Counter(keys)
+        places = {(x[:9] if x[0] == "#" else x): i for i, x in enumerate(items) if isinstance(x, str)}
+        return {k: places[k] for k, n in counts.items() if n == 1}
+
+    left, right = once(a), once(b)
+    pairs = sorted((i, right[k]) for k, i in left.items() if k in right)
+    ends: list[int] = []  # least last place of a chain of each length
+    last: list[int] = []
+    before = []
+    for at, (_, j) in enumerate(pairs):
+        size = bisect_left(ends, j)
+        ends[size : size + 1], last[size : size + 1] = [j], [at]
+        before.append(last[size - 1] if size else -1)
+    chain, at = [], last[-1] if last else -1
+    while at >= 0:
+        chain.append(pairs[at])
+        at = before[at]
+    return chain[::-1]
+
+
+def path_of(a: list, b: list) -> list[tuple[int, int]]:
+    """Steps (items of a, items of b) that match two wrappers; (1, 0) and (0, 1) match nothing."""
+    if not a or not b:
+        return [(1, 0)] * len(a) + [(0, 1)] * len(b)
+    if max(len(a), len(b)) <= LONGEST:
+        return shortest(a, b)
+    out: list[tuple[int, int]] = []
+    i = j = 0
+    if found := anchors(a, b):
+        for x, y in found:
+            out += [*path_of(a[i:x], b[j:y]), (1, 1)]
+            i, j = x + 1, y + 1
+        return out + path_of(a[i:], b[j:])
+    parts = -(-max(len(a), len(b)) // LONGEST)  # nothing to cut at: equal shares of both
+    for k in range(1, parts + 1):
+        x, y = len(a) * k // parts, len(b) * k // parts
+        out += path_of(a[i:x], b[j:y])
+        i, j = x, y
+    return out
+
+
+def shortest(a: list, b: list) -> list[tuple[int, int]]:
+    """Steps that leave the least weight unmatched."""
     n, m = len(a), len(b)
     cost = [[0] * (m + 1) for _ in range(n + 1)]
     step = [[(0, 0)] * (m + 1) for _ in range(n + 1)]
@@ -234,10 +295,23 @@ def align(a: list, b: list) -> list:
             if j < m:
                 options.append((cost[i][j + 1] + weight(b[j]), (0, 1)))
             cost[i][j], step[i][j] = min(options)
-    out: list = []
+    out = []
     i = j = 0
     while i < n or j < m:
-        x, y = step[i][j]
+        out.append(step[i][j])
+        i, j = i + out[-1][0], j + out[-1][1]
+    return out
+
+
+def align(a: list, b: list) -> list:
+    """A wrapper for all that two wrappers match."""
+    if len(a) == len(b) and all(map(same, a, b)):
+        return list(map(joined, a, b))
+    out: list = []
+    i = j = at = 0
+    path = path_of(a, b)
+    while at < len(path):
+        x, y = d = path[at]
         if x and y:
             if x == 1 and not isinstance(a[i], str) and y != 1:
                 out.append((a[i][0], a[i][1], tuple(map(joined, a[i][2], b[j : j + y]))))
@@ -245,13 +319,12 @@ def align(a: list, b: list) -> list:
                 out.append((b[j][0], b[j][1], tuple(map(joined, b[j][2], a[i : i + x]))))
             else:
                 out.append(joined(a[i], b[j]))
-            i, j = i + x, j + y
+            i, j, at = i + x, j + y, at + 1
             continue
-        side, at, d = (a, i, (1, 0)) if x else (b, j, (0, 1))
         run = []
-        while (i < n or j < m) and step[i][j] == d:
-            run.append(side[at])
-            at, i, j = at + 1, i + d[0], j + d[1]
+        while at < len(path) and path[at] == d:
+            run.append(a[i] if x else b[j])
+            at, i, j = at + 1, i + x, j + y
         single = len(run) == 1 and not isinstance(run[0], str)
         out.append((0, run[0][1], run[0][2]) if single else (0, 1, tuple(run)))
     return fold(out)
@@ -283,7 +356,7 @@ def rules_of(pages: int, wrapper: list) -> dict:
     tags = {x.split(".")[0] for path, _ in found for x in path.split("/")}
     mains = [t for t in ("article", "main") if t in tags]
     varied = {p for p, c in found if not c}
-    fixed = {(p, c) for p, c in found if c and p not in varied} if pages >= AGREE else set()
+    fixed = {(p, c[:8]) for p, c in found if agreed(f"#{c}") >= AGREE and p not in varied} if pages >= AGREE else set()
     return {"main": mains[0] if mains else "", "fixed": sorted(map(list, fixed))}
 
 
@@ -339,7 +412,7 @@ def together(groups: pa.Array) -> pa.Array:
     for group in groups.to_pylist():
         pages, wrapper = 0, None
         for part in sorted(group, key=lambda x: x["wrapper"]):
-            items = frozen(json.loads(part["wrapper"]))
+            items = scaled(frozen(json.loads(part["wrapper"])), part["times"])
             wrapper = items if wrapper is None else align(wrapper, items)
             pages += part["pages"]
         rows.append({"pages": pages, "wrapper": json.dumps(wrapper)})
@@ -349,13 +422,14 @@ def together(groups: pa.Array) -> pa.Array:
 def wrappers(pages: DataFrame, workspace: Workspace) -> DataFrame:
     """(host, pages, wrapper): the wrapper of each host; ``pages`` has columns host and html."""
     own = pages.select("host", "html").mapInArrow(infer, "host string, pages long, wrapper string")
-    own = own.groupBy("host", "wrapper").agg(F.sum("pages").alias("pages"))
+    own = own.groupBy("host", "wrapper").agg(F.sum("pages").alias("pages"), F.count("*").alias("times"))
     share = F.pmod(F.xxhash64("wrapper"), F.lit(SHARES))
     for keys in (["host", share.alias("share")], ["host"]):
-        grouped = own.groupBy(*keys).agg(F.collect_list(F.struct("pages", "wrapper")).alias("parts"))
-        own = grouped.select("host", together("parts").alias("one")).select("host", "one.pages", "one.wrapper")
+        grouped = own.groupBy(*keys).agg(F.collect_list(F.struct("pages", "wrapper", "times")).alias("parts"))
+        own = grouped.select("host", together("parts").alias("one"))
+        own = own.select("host", "one.pages", "one.wrapper", F.lit(1).alias("times"))
         own = workspace.keep(own, "wrappers")
-    return own
+    return own.drop("times")
 
 
 @F.arrow_udf(StringType())

@@ -281,6 +281,36 @@ def test_wrappers():
     assert [path for path, _ in html_text.rules_of(3, wrapper)["fixed"]][-1] == "div"
 
 
+def test_long_pages_are_aligned():
+    def page(k):
+        parts = "".join(f"<h{n % 5 + 2}>{prose(1000 * k + n, 2)}</h{n % 5 + 2}><{'pre' if n * n % 7 % 3 else 'ul'} class=c{'abcdefg'[n * n % 7]}>x</div>" for n in range(120))
+        return f"<article><div>same</div><section>own {k} text</section>{parts if k == 0 else parts[:200]}</article><div>end</div>"
+
+    streams = [html_text.fold(html_text.Page(page(k)).stream) for k in range(4)]
+    assert len(streams[0]) > html_text.LONGEST
+    wrapper = streams[0]
+    for stream in streams[1:]:
+        wrapper = html_text.align(wrapper, stream)
+    fixed = html_text.rules_of(4, wrapper)["fixed"]
+    assert {path for path, _ in fixed} >= {"article/div"}
+    assert not any("section" in path for path, _ in fixed)
+    # texts of the one long page are nobody's template
+    own = html_text.rules_of(4, wrapper)
+    lines = html_text.main_text(page(0), own).split("\n")
+    assert "own 0 text" in lines and "same" not in lines
+    # nothing in common to cut at
+    a, b = [f"<a{k}" for k in range(1000)], [f"<b{k}" for k in range(700)]
+    assert html_text.weight((0, 1, tuple(html_text.align(a, b)))) == 1700
+
+
+def test_texts_of_few_pages_are_no_template():
+    wrapper = []
+    for source in ("<article><div>one</div><section>once</section></article>", *["<article><div>one</div></article>"] * 2):
+        stream = html_text.fold(html_text.Page(source).stream)
+        wrapper = html_text.align(wrapper, stream) if wrapper else stream
+    assert [path for path, _ in html_text.rules_of(3, wrapper)["fixed"]] == ["article/div"]
+
+
 SECRET = "k9Zq3vT7bXw2LpN8sRfY5hJd4GmC6aQe"
 
 
