@@ -15,6 +15,7 @@ like is kept whole. Pages are never cut. Null and empty pages have no text; a nu
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -385,19 +386,27 @@ def main_text(source: str, rules: dict) -> str:
     return "\n".join(kept)
 
 
-def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A wrapper (host, pages, wrapper) of each host's pages in a task; equal streams count once."""
-    found: dict[str, tuple[int, list]] = {}
-    seen: dict[str, set[int]] = {}
+def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, hash of the stream, folded stream) of pages; copies within a batch once."""
     for batch in batches:
+        found: dict[tuple[str, bytes], str] = {}
         for host, source in zip(strings(batch.column(0)), strings(batch.column(1)), strict=True):
             stream = Page(source).stream
-            if (key := hash(tuple(stream))) in seen.setdefault(host, set()):
-                continue
-            seen[host].add(key)
-            folded = fold(stream)
+            key = host, hashlib.blake2b(json.dumps(stream).encode(), digest_size=16).digest()
+            if key not in found:
+                found[key] = json.dumps(fold(stream))
+        columns = [pa.array([h for h, _ in found], pa.string()), pa.array([k for _, k in found], pa.binary()), pa.array(found.values(), pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=["host", "key", "stream"])
+
+
+def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A wrapper (host, pages, wrapper) of each host's different streams in a task."""
+    found: dict[str, tuple[int, list]] = {}
+    for batch in batches:
+        for host, stream in zip(strings(batch.column(0)), strings(batch.column(1)), strict=True):
+            folded = frozen(json.loads(stream))
             pages, wrapper = found.get(host, (0, folded))
-            found[host] = pages + 1, align(wrapper, folded)
+            found[host] = pages + 1, align(wrapper, folded) if pages else folded
     rows = [(host, pages, json.dumps(wrapper)) for host, (pages, wrapper) in found.items()]
     yield pa.RecordBatch.from_pylist(
         [{"host": h, "pages": n, "wrapper": w} for h, n, w in rows],
@@ -421,7 +430,10 @@ def together(groups: pa.Array) -> pa.Array:
 
 def wrappers(pages: DataFrame, workspace: Workspace) -> DataFrame:
     """(host, pages, wrapper): the wrapper of each host; ``pages`` has columns host and html."""
-    own = pages.select("host", "html").mapInArrow(infer, "host string, pages long, wrapper string")
+    each = pages.select("host", "html").mapInArrow(streams, "host string, key binary, stream string")
+    # copies of a page count once, wherever they lie
+    each = each.groupBy("host", "key").agg(F.first("stream").alias("stream"))
+    own = each.select("host", "stream").mapInArrow(infer, "host string, pages long, wrapper string")
     own = own.groupBy("host", "wrapper").agg(F.sum("pages").alias("pages"), F.count("*").alias("times"))
     share = F.pmod(F.xxhash64("wrapper"), F.lit(SHARES))
     for keys in (["host", share.alias("share")], ["host"]):

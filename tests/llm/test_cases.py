@@ -303,6 +303,13 @@ def test_long_pages_are_aligned():
     assert html_text.weight((0, 1, tuple(html_text.align(a, b)))) == 1700
 
 
+def test_copies_in_several_tasks_are_one_page(spark, workspace):
+    pages = [(k, "http://a.example/", "<article><div>plain text</div><p>more</p></article>") for k in range(8)]
+    for parts in (1, 8):
+        frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(parts, "page_id")
+        assert {r.text for r in html_text.extract(frame, workspace).collect()} == {"plain text\nmore"}
+
+
 def test_texts_of_few_pages_are_no_template():
     wrapper = []
     for source in ("<article><div>one</div><section>once</section></article>", *["<article><div>one</div></article>"] * 2):
