@@ -4,7 +4,8 @@ The base patterns find assignments, access keys and hex strings. Beyond them, ev
 characters that is at least as long as the class's window is a candidate: a window slides over it,
 the counts of its characters change by the one that enters and the one that leaves, and with them
 the sum of c log2 c, from which the window's Shannon entropy follows. Windows above the class's
-limit form a span. Allow-listed candidates are left out, and so are spans within a base span.
+limit form a span. Windows that meet an allow-listed stretch are left out, and so are spans within a
+base span.
 
 Positions are code points, the end exclusive. They follow from the pieces between matches and the
 matches themselves. Texts without any match, null and empty texts take the short way. Every row is
@@ -33,7 +34,7 @@ CLASSES = {
 }
 #: Candidates that are known to be no secrets: placeholders, alphabets, digests of nothing.
 ALLOWED = (
-    r"(?i)example|sample|placeholder|dummy|x{8}|abcdefghijkl|0123456789|(.)\1{7}"
+    r"(?i)example|sample|placeholder|dummy|x{8}|abcdefghijkl|0123456789|(.)\1{7,}"
     r"|d41d8cd98f00b204e9800998ecf8427e|da39a3ee5e6b4b0d3255bfef95601890afd80709"
     r"|e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 )
@@ -156,10 +157,23 @@ def entropy_spans(text: Column, kind: str) -> Column:
         }
         return gather(F.sequence(F.lit(0), F.length(match) - 1), first, step, last)
 
+    def pieces(start: Column, match: Column) -> Column:
+        """Spans of what lies between allow-listed stretches."""
+        skips = F.transform(F.regexp_extract_all(match, F.lit(ALLOWED), F.lit(0)), F.length)
+        parts = F.zip_with(
+            F.split(match, ALLOWED, -1), skips, lambda part, skip: F.struct(part.alias("part"), F.coalesce(skip, F.lit(0)).alias("skip"))
+        )
+
+        def one(state, item):
+            size = F.length(item["part"])
+            new = F.when(size >= window, windows(state["at"], item["part"])).otherwise(no_spans())
+            return {"at": state["at"] + size + item["skip"]}, new
+
+        return gather(parts, {"at": start}, one)
+
     def step(state, item):
         start = state["at"] + item["before"]
-        new = F.when(item["match"].rlike(ALLOWED), no_spans()).otherwise(windows(start, item["match"]))
-        return {"at": start + F.length(item["match"])}, new
+        return {"at": start + F.length(item["match"])}, pieces(start, item["match"])
 
     return gather(matches(text, run_of(letters, window)), {"at": F.lit(0)}, step)
 

@@ -345,6 +345,15 @@ def test_secrets(docs):
     assert {d for d, s in added.items() if s} == {where}
 
 
+def test_allow_list_is_of_stretches(docs):
+    texts = [f"/samples/v1/{SECRET}", f"example_{SECRET}", f"{'A' * 40}{SECRET}{'A' * 11}{SECRET[::-1]}", "example" * 9]
+    frame = docs(texts).select("doc_id", "text", secrets.scan(F.col("text")).alias("found"))
+    frame = frame.select("doc_id", secrets.redacted(F.col("text"), secrets.with_added("found")).alias("masked"))
+    masked = {r.doc_id: r.masked for r in frame.collect()}
+    assert all(secrets.MASK in masked[i] and SECRET not in masked[i] and SECRET[::-1] not in masked[i] for i in range(3))
+    assert masked[3] == texts[3]
+
+
 def test_entropy_is_exact(docs):
     import math
 
