@@ -25,12 +25,30 @@ ASSIGN_MIN = 8
 # A run of a class is a match from its first character on, so shorter ones need no try.
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+KINDS = (
+    "assign", "access", "hex", "entropy_hex", "entropy_base64",
+    "entropy_uuid", "entropy_hex_20", "entropy_lower_20", "entropy_upper_20", "entropy_mixed_20",
+)
 
 #: Character class, window and least entropy (bits a character) of each added kind.
 CLASSES = {
     "entropy_hex": ("0-9A-Fa-f", 32, 3.2),
     "entropy_base64": ("A-Za-z0-9+/_=-", 32, 4.3),
+    # limits that at least 99 % of random windows of the alphabet reach (32 symbols for lower and upper)
+    "entropy_uuid": ("0-9A-Fa-f-", 36, 3.3),
+    "entropy_hex_20": ("0-9A-Fa-f", 20, 2.8),
+    "entropy_lower_20": ("a-z0-9", 20, 3.3),
+    "entropy_upper_20": ("A-Z0-9", 20, 3.3),
+    "entropy_mixed_20": ("A-Za-z0-9+/_=-", 20, 3.65),
+}
+#: Candidates that are not just runs of the class.
+FORMS = {"entropy_uuid": r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Fa-f])"}
+#: What a stretch must hold besides, lest long words, numbers and hyphenated words are secrets.
+NEEDS = {
+    "entropy_hex_20": "^(?=.*[0-9]).*[A-Fa-f]",
+    "entropy_lower_20": "^(?=.*[0-9]).*[a-z]",
+    "entropy_upper_20": "[A-Z]",
+    "entropy_mixed_20": "^(?=.*[a-z]).*[A-Z]",
 }
 #: Candidates that are known to be no secrets: placeholders, alphabets, digests of nothing.
 ALLOWED = (
@@ -50,6 +68,10 @@ def run_of(letters: str, least: int) -> str:
     return f"(?<![{letters}])[{letters}]{{{least},}}"
 
 
+def candidates(kind: str) -> str:
+    return FORMS.get(kind) or run_of(*CLASSES[kind][:2])
+
+
 def no_spans() -> Column:
     return F.array().cast(NONE)
 
@@ -111,7 +133,7 @@ def base_spans(text: Column, kind: str, pattern: str, passes=None) -> Column:
 
 def entropy_spans(text: Column, kind: str) -> Column:
     """Spans of the windows above the class's entropy, over all candidates of the class."""
-    letters, window, least = CLASSES[kind]
+    _, window, least = CLASSES[kind]
     weights = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)))
     most = F.lit(window * (math.log2(window) - least))  # of the sum of c log2 c
 
@@ -166,7 +188,8 @@ def entropy_spans(text: Column, kind: str) -> Column:
 
         def one(state, item):
             size = F.length(item["part"])
-            new = F.when(size >= window, windows(state["at"], item["part"])).otherwise(no_spans())
+            wanted = item["part"].rlike(NEEDS[kind]) if kind in NEEDS else F.lit(True)
+            new = F.when((size >= window) & wanted, windows(state["at"], item["part"])).otherwise(no_spans())
             return {"at": state["at"] + size + item["skip"]}, new
 
         return gather(parts, {"at": start}, one)
@@ -175,7 +198,7 @@ def entropy_spans(text: Column, kind: str) -> Column:
         start = state["at"] + item["before"]
         return {"at": start + F.length(item["match"])}, pieces(start, item["match"])
 
-    return gather(matches(text, run_of(letters, window)), {"at": F.lit(0)}, step)
+    return gather(matches(text, candidates(kind)), {"at": F.lit(0)}, step)
 
 
 def guarded(text: Column, pattern: str, spans: Column) -> Column:
@@ -194,16 +217,19 @@ def scan(text: Column) -> Column:
         guarded(text, ACCESS, base_spans(text, "access", ACCESS)),
         guarded(text, HEX, base_spans(text, "hex", HEX)),
     )
-    added = F.concat(*(guarded(text, run_of(*CLASSES[k][:2]), entropy_spans(text, k)) for k in CLASSES))
+    added = F.concat(*(guarded(text, candidates(k), entropy_spans(text, k)) for k in CLASSES))
     return F.struct(F.array_sort(base).alias("base"), added.alias("added"))
 
 
 def with_added(found: str) -> Column:
-    """All spans of a column of ``scan``: the base ones, and the added ones that none of them holds."""
+    """All spans of a column of ``scan``: the base ones, and the added ones that neither they nor earlier kinds hold."""
     base, added = F.col(f"{found}.base"), F.col(f"{found}.added")
 
     def outside(new: Column) -> Column:
-        return ~F.exists(base, lambda b: (b["start"] <= new["start"]) & (b["stop"] >= new["stop"]))
+        def holds(s: Column) -> Column:
+            return (s["kind"] < new["kind"]) & (s["start"] <= new["start"]) & (s["stop"] >= new["stop"])
+
+        return ~F.exists(base, holds) & ~F.exists(added, holds)
 
     return F.when(F.size(added) == 0, base).otherwise(F.array_sort(F.concat(base, F.filter(added, outside))))
 

@@ -345,6 +345,23 @@ def test_secrets(docs):
     assert {d for d, s in added.items() if s} == {where}
 
 
+def test_random_tokens_of_small_alphabets(docs):
+    import string
+    import uuid
+
+    dice = random.Random(24)
+    lower, upper = string.ascii_lowercase + string.digits, string.ascii_uppercase + "234567"
+    alphabets = [lower, upper, string.ascii_letters + string.digits, "0123456789abcdef"]
+    sets = [["".join(dice.choice(a) for _ in range(n)) for _ in range(20)] for a in alphabets for n in (20, 24, 32, 40)]
+    sets.append([str(uuid.UUID(int=dice.getrandbits(128), version=4)) for _ in range(20)])
+    plain = ["antidisestablishmentarianism", "state-of-the-art-technology", "0" * 5 + "12345678" * 4, "a_long_name_of_a_function", "1" * 28]
+    frame = docs([f"see {t} there" for part in sets for t in part] + plain).select("doc_id", secrets.scan(F.col("text")).alias("found"))
+    spans = [r.spans for r in frame.select("doc_id", secrets.with_added("found").alias("spans")).orderBy("doc_id").collect()]
+    for k in range(len(sets)):
+        assert sum(bool(s) for s in spans[20 * k : 20 * k + 20]) >= 18, sets[k][0]
+    assert [bool(s) for s in spans[20 * len(sets) :]] == [False, False, True, False, False]  # base hex takes digits
+
+
 def test_allow_list_is_of_stretches(docs):
     texts = [f"/samples/v1/{SECRET}", f"example_{SECRET}", f"{'A' * 40}{SECRET}{'A' * 11}{SECRET[::-1]}", "example" * 9]
     frame = docs(texts).select("doc_id", "text", secrets.scan(F.col("text")).alias("found"))
