@@ -74,4 +74,38 @@ SELECT *, NOT base_failed AND 100 * dup_line_chars <= {LINES_PCT} * word_chars{w
 """
 
 
-ORACLES: dict[str, str] = {"op1_embedding_near_dedup": EMBEDDINGS, "op4_quality_rules": quality()}
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT lang, unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM (SELECT coalesce(lang, 'und') AS lang, {LOWER.format("coalesce(text, '')")} AS text FROM documents)
+), words AS (
+    SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+    FROM (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws, unnest([1, 2, 3]) AS k FROM pieces)
+), grams AS (SELECT lang, array_to_string(ws[i : i + k - 1], ' ') AS phrase, k FROM words WHERE i + k - 1 <= len(ws)
+), found AS MATERIALIZED (SELECT lang, phrase, k, count(*) AS a FROM grams GROUP BY lang, phrase, k
+), sums AS (SELECT lang, sum(a) AS n FROM found WHERE k = 1 GROUP BY lang
+), candidates AS (SELECT lang, phrase, k AS size, a, string_split(phrase, ' ') AS ws FROM found WHERE k > 1 AND a >= 10
+), parts AS MATERIALIZED (
+    SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1 : size], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+), cut AS (
+    SELECT c.lang, c.phrase, c.a, f.a AS l, r.a AS r, c.k,
+        CAST(1000000 * CAST(c.a AS HUGEINT) * c.a // (CAST(f.a AS HUGEINT) * r.a) AS BIGINT) AS score
+    FROM parts AS c JOIN found AS f ON f.lang = c.lang AND f.phrase = c.head JOIN found AS r ON r.lang = c.lang AND r.phrase = c.tail
+), lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+    SELECT lang, phrase, max(a) AS a FROM (
+        SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM candidates WHERE size = 3
+    ) GROUP BY lang, phrase
+), ranked AS (
+    SELECT lang, phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM (SELECT c.*, x.a AS around FROM lowest AS c LEFT JOIN longer AS x USING (lang, phrase))
+    WHERE around IS NULL OR 100 * around < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN sums USING (lang) WHERE rank <= 2000
+"""
+
+
+ORACLES: dict[str, str] = {"op1_embedding_near_dedup": EMBEDDINGS, "op4_quality_rules": quality(), "op11_phrase_collocations": COLLOCATIONS}

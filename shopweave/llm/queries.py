@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from . import bpe, embeddings, html_text, language, language_model, packing, quality, secrets, simhash, suffix_dedup
+from . import bpe, collocations, embeddings, html_text, language, language_model, packing, quality, secrets, simhash, suffix_dedup
 from .common import crc32_of, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -93,6 +93,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -106,5 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lm_scoring,
         op9_html_extraction,
         op10_secret_scans,
+        op11_phrase_collocations,
     )
 }
