@@ -107,5 +107,38 @@ WITH pieces AS (
 SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN sums USING (lang) WHERE rank <= 2000
 """
 
+SEARCH = f"""
+WITH docs AS (
+    SELECT doc_id, row_number() OVER () AS row,
+        regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts
+    FROM documents
+), sums AS (SELECT count(*) AS docs, sum(len(ts)) AS length FROM docs WHERE len(ts) > 0
+), sized AS (
+    SELECT row, doc_id, CAST(75 + 25 * len(ts) * CAST(docs AS HUGEINT) // length AS BIGINT) AS m FROM docs, sums WHERE len(ts) > 0
+), tfs AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(ts) AS term FROM docs) GROUP BY row, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), sums
+), wanted AS (
+    SELECT item, item_id, term, count(*) AS times FROM (
+        SELECT item_id, row_number() OVER () AS item,
+            unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM benchmark
+    ) GROUP BY item, item_id, term
+), scores AS (
+    SELECT item, item_id, row, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+    FROM wanted JOIN weights USING (term) JOIN tfs USING (term) JOIN sized USING (row) GROUP BY item, item_id, row, doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 
-ORACLES: dict[str, str] = {"op1_embedding_near_dedup": EMBEDDINGS, "op4_quality_rules": quality(), "op11_phrase_collocations": COLLOCATIONS}
+ORACLES: dict[str, str] = {
+    "op1_embedding_near_dedup": EMBEDDINGS,
+    "op4_quality_rules": quality(),
+    "op11_phrase_collocations": COLLOCATIONS,
+    "op13_ranked_lexical_search": SEARCH,
+}

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from . import bpe, collocations, embeddings, html_text, language, language_model, packing, quality, secrets, simhash, suffix_dedup
+from . import bpe, collocations, embeddings, html_text, language, language_model, lexical_search, packing, quality, secrets, simhash, suffix_dedup
 from .common import crc32_of, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -97,6 +97,11 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical_search.search(docs, items, Workspace(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -111,5 +116,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_html_extraction,
         op10_secret_scans,
         op11_phrase_collocations,
+        op13_ranked_lexical_search,
     )
 }
