@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat import BUDGET, HISTORY, MARKS, STRETCH, TOKEN
 from .quality import COVERED_PCT, LINES_PCT, MAX_REPEAT_PCT, MIN_WORDS
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -136,9 +137,46 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r
 """
 
 
+
+def chat() -> str:
+    """Windows turn by turn: a turn opens one if it doesn't fit, or begins a stretch."""
+    escaped = "replace(replace(replace({}, '\\', '\\s'), '###', '\\h'), '</turn>', '\\t')"
+    return f"""
+WITH RECURSIVE rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\\### Assistant: </turn> ok'
+), turns AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place,
+        len(regexp_extract_all({escaped.format("text")}, '{TOKEN}')) + {MARKS} AS tokens,
+        length('### ' || {escaped.format("role")} || ': ' || {escaped.format("text")} || '</turn>') + 1 AS chars
+    FROM rows
+), placed AS (
+    SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+        coalesce(max(CASE WHEN place = 0 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id), 0) AS own
+    FROM turns
+), opened AS (
+    SELECT conv_id, place, place AS first, before AS start, before // {STRETCH} AS stretch FROM placed WHERE place = 0
+    UNION ALL
+    SELECT t.conv_id, t.place, CASE WHEN fits THEN o.first ELSE t.place END, CASE WHEN fits THEN o.start ELSE t.before END, t.before // {STRETCH}
+    FROM opened AS o JOIN placed AS t ON t.conv_id = o.conv_id AND t.place = o.place + 1,
+    LATERAL (SELECT t.before // {STRETCH} = o.stretch AND t.before + t.tokens - o.start <= {BUDGET - HISTORY} - t.own AS fits)
+), starts AS (SELECT DISTINCT conv_id, first, start FROM opened
+), repeats AS (
+    SELECT s.conv_id, sum(t.chars) AS chars FROM starts AS s JOIN placed AS t ON t.conv_id = s.conv_id AND t.place < s.first
+    WHERE s.start - t.before <= {HISTORY} OR t.place = 0 AND t.role = 'system' GROUP BY s.conv_id
+), sizes AS (SELECT conv_id, count(*) AS n_windows FROM starts GROUP BY conv_id)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(t.chars) + coalesce(any_value(r.chars), 0) AS BIGINT) AS formatted_chars, any_value(n_windows) AS n_windows
+FROM turns AS t JOIN sizes USING (conv_id) LEFT JOIN repeats AS r USING (conv_id) GROUP BY conv_id
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_embedding_near_dedup": EMBEDDINGS,
     "op4_quality_rules": quality(),
     "op11_phrase_collocations": COLLOCATIONS,
+    "op12_chat_formatting": chat(),
     "op13_ranked_lexical_search": SEARCH,
 }

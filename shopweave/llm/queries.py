@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from . import bpe, collocations, embeddings, html_text, language, language_model, lexical_search, packing, quality, secrets, simhash, suffix_dedup
+from . import bpe, chat, collocations, embeddings, html_text, language, language_model, lexical_search, packing, quality, secrets, simhash, suffix_dedup
 from .common import crc32_of, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -97,6 +97,43 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests are of whole conversations, so here a conversation's windows meet in one row."""
+    said = "\\### Assistant: </turn> ok"
+    added = spark.range(2).select(
+        F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), F.expr("if(id = 0, 'user', 'assistant')").alias("role"), F.lit(said).alias("text")
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    windows = chat.windows(turns, Workspace(spark)).withColumn("turns", chat.read_back(F.col("formatted")))
+    new = F.expr("slice(turns, repeated + 1, size(turns))")
+    said = F.transform(new, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    parts = windows.select(
+        "conv_id",
+        F.struct(
+            "window",
+            F.size(new).alias("n"),
+            F.array_join(said, "").alias("said"),
+            F.array_join(chat.learned(F.col("formatted"), F.col("targets")), "").alias("learned"),
+            F.length("formatted").alias("chars"),
+        ).alias("part"),
+    )
+    whole = parts.groupBy("conv_id").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+
+    def total(name: str) -> Column:
+        return F.aggregate(f"parts.{name}", F.lit(0).cast("long"), lambda x, y: x + y)
+
+    learned = F.array_join("parts.learned", "")
+    return whole.select(
+        "conv_id",
+        total("n").alias("n_turns"),
+        F.sha2(F.array_join("parts.said", "").cast("binary"), 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned.cast("binary"), 256).alias("loss_sha256"),
+        total("chars").alias("formatted_chars"),
+        F.size("parts").cast("long").alias("n_windows"),
+    )
+
+
 def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return lexical_search.search(docs, items, Workspace(spark))
@@ -116,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_html_extraction,
         op10_secret_scans,
         op11_phrase_collocations,
+        op12_chat_formatting,
         op13_ranked_lexical_search,
     )
 }
