@@ -4,7 +4,7 @@ The base patterns find assignments, access keys and hex strings. Beyond them, ev
 characters that is at least as long as the class's window is a candidate: a window slides over it,
 the counts of its characters change by the one that enters and the one that leaves, and with them
 the sum of c log2 c, from which the window's Shannon entropy follows. Windows above the class's
-limit form a span. Windows that meet an allow-listed stretch are left out, and so are spans within a
+limit form a span. The classes are rows of one array, which a single fold goes through. Windows that meet an allow-listed stretch are left out, and so are spans within a
 base span.
 
 Positions are code points, the end exclusive. They follow from the pieces between matches and the
@@ -76,28 +76,36 @@ def no_spans() -> Column:
     return F.array().cast(NONE)
 
 
-def span(start: Column, kind: str, stop: Column) -> Column:
-    parts = start.cast("int").alias("start"), F.lit(KINDS.index(kind)).alias("kind"), stop.cast("int").alias("stop")
-    return F.struct(*parts)
+def no_lists() -> Column:
+    return F.array().cast(f"array<{NONE}>")
+
+
+def span(start: Column, kind: Column, stop: Column) -> Column:
+    return F.struct(start.cast("int").alias("start"), kind.alias("kind"), stop.cast("int").alias("stop"))
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once and stands in the plan once."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def gather(items: Column, first: dict[str, Column], step, last=None) -> Column:
-    """Fold an array into spans. ``step(state, item)`` gives the next state and an array of new spans;
-    ``last(state)`` the spans that are still open at the end."""
+    """Fold an array into spans. ``step(state, item)`` gives the next state's fields and ``new``, an array of
+    new spans, as one struct; ``last(state)`` the spans that are still open at the end."""
 
     def merge(state: Column, item: Column) -> Column:
-        fields, new = step(state, item)
         full = F.size(state["held"]) >= LIST
-        return F.struct(
-            *(value.alias(name) for name, value in fields.items()),
-            F.when(full, new).otherwise(F.concat(state["held"], new)).alias("held"),
-            F.when(full, F.concat(state["done"], F.array(state["held"]))).otherwise(state["done"]).alias("done"),
+        return let(
+            step(state, item),
+            lambda now: F.struct(
+                *(now[name].alias(name) for name in first),
+                F.concat(F.when(full, no_spans()).otherwise(state["held"]), now["new"]).alias("held"),
+                F.concat(state["done"], F.when(full, F.array(state["held"])).otherwise(no_lists())).alias("done"),
+            ),
         )
 
     start = F.struct(
-        *(value.alias(name) for name, value in first.items()),
-        no_spans().alias("held"),
-        F.array().cast(f"array<{NONE}>").alias("done"),
+        *(value.alias(name) for name, value in first.items()), no_spans().alias("held"), no_lists().alias("done")
     )
 
     def finish(state: Column) -> Column:
@@ -107,13 +115,15 @@ def gather(items: Column, first: dict[str, Column], step, last=None) -> Column:
     return F.aggregate(items, start, merge, finish)
 
 
-def matches(text: Column, pattern: str) -> Column:
+def matches(text: Column, pattern: Column) -> Column:
     """Array of (before, match): each match with the number of characters since the one before."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.zip_with(
-        F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), F.length),
-        found,
-        lambda before, match: F.struct(before.alias("before"), match.alias("match")),
+    return let(
+        F.regexp_extract_all(text, pattern, F.lit(0)),
+        lambda found: F.zip_with(
+            F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), F.length),
+            found,
+            lambda before, match: F.struct(before.alias("before"), match.alias("match")),
+        ),
     )
 
 
@@ -123,61 +133,97 @@ def base_spans(text: Column, kind: str, pattern: str, passes=None) -> Column:
     def step(state, item):
         start = state["at"] + item["before"]
         stop = start + F.length(item["match"])
-        new = F.array(span(start, kind, stop))
+        new = F.array(span(start, F.lit(KINDS.index(kind)), stop))
         if passes:
             new = F.when(passes(item["match"]), new).otherwise(no_spans())
-        return {"at": stop}, new
+        return F.struct(stop.alias("at"), new.alias("new"))
 
-    return gather(matches(text, pattern), {"at": F.lit(0)}, step)
+    return gather(matches(text, F.lit(pattern)), {"at": F.lit(0)}, step)
 
 
-def entropy_spans(text: Column, kind: str) -> Column:
-    """Spans of the windows above the class's entropy, over all candidates of the class."""
-    _, window, least = CLASSES[kind]
-    weights = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)))
-    most = F.lit(window * (math.log2(window) - least))  # of the sum of c log2 c
+#: c log2 c by c.
+WEIGHTS = [c * math.log2(c) if c else 0.0 for c in range(max(w for _, w, _ in CLASSES.values()) + 2)]
+#: A count in a window is a character of a string with one for each code, so that a step rewrites one character.
+ZERO = 32
 
-    def windows(start: Column, match: Column) -> Column:
-        codes = F.transform(F.split(match, "", -1), F.ascii)
 
-        def step(state, i):
-            enters, leaves = F.get(state["codes"], i), F.get(state["codes"], i - window)
-            up, down = F.get(state["counts"], enters), F.get(state["counts"], leaves)
-            moved = i < window
-            total = state["total"] + F.get(weights, up + 1) - F.get(weights, up)
-            total = F.when(moved, total).when(enters == leaves, state["total"]).otherwise(
-                total + F.get(weights, down - 1) - F.get(weights, down)
+def classes() -> Column:
+    """The character classes as rows: kind, pattern, window, most (of the sum of c log2 c), needs."""
+    rows = []
+    for kind, (_, window, least) in CLASSES.items():
+        rows.append(
+            F.struct(
+                F.lit(KINDS.index(kind)).alias("kind"),
+                F.lit(candidates(kind)).alias("pattern"),
+                F.lit(window).alias("window"),
+                F.lit(window * (math.log2(window) - least)).alias("most"),
+                F.lit(NEEDS.get(kind, "")).alias("needs"),
             )
-            counts = F.transform(
-                state["counts"],
-                lambda c, k: c + (k == enters).cast("int") - F.coalesce((k == leaves) & ~moved, F.lit(False)).cast("int"),
+        )
+    return F.array(*rows)
+
+
+def count_at(counts: Column, code: Column) -> Column:
+    return F.ascii(F.substring(counts, code + 1, F.lit(1))) - ZERO
+
+
+def counted(counts: Column, code: Column, count: Column) -> Column:
+    return F.overlay(counts, F.char(count + ZERO), code + 1, F.lit(1))
+
+
+def windows(start: Column, codes: Column, own: Column) -> Column:
+    """Spans of a candidate's windows above the class's entropy; ``codes``: its characters' codes."""
+    weights, window, kind = F.array(*map(F.lit, WEIGHTS)), own["window"], own["kind"]
+
+    def step(state, i):
+        def entered(now):
+            """The character that enters is counted; the one that leaves is next."""
+            up = F.get(weights, now["count"] + 1) - F.get(weights, now["count"])
+            total, counts = state["total"] + up, counted(state["counts"], now["enters"], now["count"] + 1)
+            return let(
+                F.struct(total.alias("total"), counts.alias("counts"), now["leaves"].alias("leaves")),
+                lambda x: F.when(i < window, F.struct(x["total"], x["counts"])).otherwise(
+                    let(count_at(x["counts"], x["leaves"]), lambda down: F.struct(
+                        (x["total"] + F.get(weights, down - 1) - F.get(weights, down)).alias("total"),
+                        counted(x["counts"], x["leaves"], down - 1).alias("counts"),
+                    ))
+                ),
+            )
+
+        def opened(now):
+            begins = i - window + 1
+            high = (begins >= 0) & (now["total"] <= own["most"] + F.lit(1e-9))
+            return let(
+                F.struct(high.alias("high"), (high & (state["stop"] < begins)).alias("opens")),
+                lambda x: F.struct(
+                    now["counts"].alias("counts"),
+                    now["total"].alias("total"),
+                    F.when(x["opens"], begins).otherwise(state["start"]).alias("start"),
+                    F.when(x["high"], i + 1).otherwise(state["stop"]).alias("stop"),
+                    F.when(
+                        x["opens"] & (state["stop"] > 0), F.array(span(start + state["start"], kind, start + state["stop"]))
+                    ).otherwise(no_spans()).alias("new"),
+                ),
             )
-            begins, ends = i - window + 1, i + 1
-            high = (begins >= 0) & (total <= most)
-            joins = high & (state["stop"] >= begins)
-            opens = high & ~joins
-            new = F.when(opens & (state["stop"] > 0), F.array(span(start + state["start"], kind, start + state["stop"])))
-            fields = {
-                "codes": state["codes"],
-                "counts": counts,
-                "total": total,
-                "start": F.when(opens, begins).otherwise(state["start"]),
-                "stop": F.when(high, ends).otherwise(state["stop"]),
-            }
-            return fields, new.otherwise(no_spans())
-
-        def last(state):
-            open_ = F.array(span(start + state["start"], kind, start + state["stop"]))
-            return F.when(state["stop"] > 0, open_).otherwise(no_spans())
-
-        first = {
-            "codes": codes,
-            "counts": F.array_repeat(F.lit(0), 128),
-            "total": F.lit(0.0),
-            "start": F.lit(0),
-            "stop": F.lit(0),
-        }
-        return gather(F.sequence(F.lit(0), F.length(match) - 1), first, step, last)
+
+        moved = F.struct(F.get(codes, i).alias("enters"), F.get(codes, i - window).alias("leaves"))
+        return let(
+            let(moved, lambda c: let(
+                F.struct(c["enters"], c["leaves"], count_at(state["counts"], c["enters"]).alias("count")), entered
+            )),
+            opened,
+        )
+
+    def last(state):
+        open_ = F.array(span(start + state["start"], kind, start + state["stop"]))
+        return F.when(state["stop"] > 0, open_).otherwise(no_spans())
+
+    first = {"counts": F.lit(chr(ZERO) * 128), "total": F.lit(0.0), "start": F.lit(0), "stop": F.lit(0)}
+    return gather(F.sequence(F.lit(0), F.size(codes) - 1), first, step, last)
+
+
+def entropy_spans(text: Column, own: Column) -> Column:
+    """Spans of the windows above the entropy of a class, over all of its candidates."""
 
     def pieces(start: Column, match: Column) -> Column:
         """Spans of what lies between allow-listed stretches."""
@@ -188,21 +234,24 @@ def entropy_spans(text: Column, kind: str) -> Column:
 
         def one(state, item):
             size = F.length(item["part"])
-            wanted = item["part"].rlike(NEEDS[kind]) if kind in NEEDS else F.lit(True)
-            new = F.when((size >= window) & wanted, windows(state["at"], item["part"])).otherwise(no_spans())
-            return {"at": state["at"] + size + item["skip"]}, new
+            wanted = (size >= own["window"]) & F.regexp_like(item["part"], own["needs"])
+            codes = F.transform(F.split(item["part"], "", -1), F.ascii)
+            new = F.when(wanted, let(codes, lambda x: windows(state["at"], x, own))).otherwise(no_spans())
+            return F.struct((state["at"] + size + item["skip"]).alias("at"), new.alias("new"))
 
         return gather(parts, {"at": start}, one)
 
     def step(state, item):
-        start = state["at"] + item["before"]
-        return {"at": start + F.length(item["match"])}, pieces(start, item["match"])
+        return let(
+            state["at"] + item["before"],
+            lambda start: F.struct((start + F.length(item["match"])).alias("at"), pieces(start, item["match"]).alias("new")),
+        )
 
-    return gather(matches(text, candidates(kind)), {"at": F.lit(0)}, step)
+    return gather(matches(text, own["pattern"]), {"at": F.lit(0)}, step)
 
 
-def guarded(text: Column, pattern: str, spans: Column) -> Column:
-    return F.when(text.rlike(pattern), spans).otherwise(no_spans())
+def guarded(text: Column, pattern: Column, spans: Column) -> Column:
+    return F.when(F.regexp_like(text, pattern), spans).otherwise(no_spans())
 
 
 def scan(text: Column) -> Column:
@@ -213,11 +262,11 @@ def scan(text: Column) -> Column:
         return F.length(F.regexp_extract(match, ASSIGN, 2)) >= ASSIGN_MIN
 
     base = F.concat(
-        guarded(text, ASSIGN, base_spans(text, "assign", ASSIGN, assigns)),
-        guarded(text, ACCESS, base_spans(text, "access", ACCESS)),
-        guarded(text, HEX, base_spans(text, "hex", HEX)),
+        guarded(text, F.lit(ASSIGN), base_spans(text, "assign", ASSIGN, assigns)),
+        guarded(text, F.lit(ACCESS), base_spans(text, "access", ACCESS)),
+        guarded(text, F.lit(HEX), base_spans(text, "hex", HEX)),
     )
-    added = F.concat(*(guarded(text, candidates(k), entropy_spans(text, k)) for k in CLASSES))
+    added = F.flatten(F.transform(classes(), lambda own: guarded(text, own["pattern"], entropy_spans(text, own))))
     return F.struct(F.array_sort(base).alias("base"), added.alias("added"))
 
 
