@@ -30,11 +30,13 @@ from tokenizers import Tokenizer
 
 from .common import slices
 
-#: Cached chunks and words of a task; beyond that the caches start anew. It bounds memory only.
-CACHED = 300_000
-SEAMS = 1_000_000
+#: Cached chunks or words of a task, seams of tokens, and endings of words; beyond that a cache starts anew.
+#: They bound memory only.
+CACHED = 90_000
+SEAMS = 150_000
+ENDINGS = 50_000
 #: Bytes of text whose chunks are held at once.
-STEP = 4_000_000
+STEP = 2_000_000
 
 # The pre-tokenizer's pattern, the end-of-word mark, marks that can follow a word, and
 # what is no white space to the tokenizer.
@@ -77,6 +79,8 @@ class Ends:
     def near(self, near: str) -> tuple[list[int], list[tuple[int, int]]]:
         """Of tokens that can end with these letters: lengths of longer ones, and (length, token) of
         the others, the longest first."""
+        if len(self.known) >= ENDINGS:
+            self.known.clear()
         short = [(n, self.ids[near[-n:]]) for n in range(len(near), 0, -1) if near[-n:] in self.ids]
         known = self.known[near] = (sorted(self.long.get(near, ()), reverse=True), short)
         return known
@@ -111,8 +115,6 @@ class Vocabulary:
         self.clear()
 
     def clear(self) -> None:
-        if len(self.seams) > SEAMS:
-            self.seams.clear()
         self.words: dict[str, tuple[int, ...]] = {x: (i,) for x, i in self.special.items()}
         self.chunks: dict[str, int] = {}
         self.sizes, self.starts, self.flat = [np.zeros(0, np.int64) for _ in range(3)]
@@ -250,6 +252,8 @@ class Vocabulary:
         """Encode chunks not seen before: their distinct new words by the trie, then the chunks."""
         if len(self.chunks) > CACHED or len(self.words) > CACHED:
             self.clear()
+        if len(self.seams) > SEAMS:
+            self.seams.clear()
         known = self.words
         new = [x for x in chunks if x not in self.chunks]
         parts = list(map(self.words_of, new))
