@@ -38,7 +38,7 @@ TOP = 2000
 UNKNOWN = "und"
 
 #: Bytes of text worked on at once, and rows that a task adds up before it sends them on.
-STRETCH, HELD = 1 << 20, 2_000_000
+STRETCH, HELD = 1 << 19, 500_000
 #: Bits of the bitmap of frequent fingerprints (16 MB), and of one of its rows.
 BITS, ROW_BITS = 27, 15
 #: Bits of a fingerprint; tests make it small, so that different phrases meet.
@@ -195,7 +195,7 @@ def added_up(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
 
 def partials(docs: DataFrame, n: int, frequent: Bitmap | None = None) -> DataFrame:
     """Each task's counts of n-grams whose parts may be frequent, with the row and place of one occurrence.
-    Of single words, rows with a language alone have the number of its words. ``docs``: row, lang, text."""
+    Rows with a language have the number of its words, and no fingerprint. ``docs``: row, lang, text."""
 
     def emit(parts: list[list[np.ndarray]], totals: dict[str, int]) -> Iterator[pa.RecordBatch]:
         if parts:
@@ -204,10 +204,9 @@ def partials(docs: DataFrame, n: int, frequent: Bitmap | None = None) -> DataFra
                 own = [pa.array(x[start : start + (1 << 17)].view(np.int64)) for x in columns]
                 own.append(pa.nulls(len(own[0]), pa.string()))
                 yield pa.RecordBatch.from_arrays(own, names=[x.split()[0] for x in PARTIAL.split(", ")])
-        rows = [{"n": count, "lang": lang} for lang, count in totals.items()]
-        if rows:
+        if totals:
             fields = [(x.split()[0], pa.string() if x.endswith("string") else pa.int64()) for x in PARTIAL.split(", ")]
-            yield pa.RecordBatch.from_pylist(rows, pa.schema(fields))
+            yield pa.RecordBatch.from_pylist([{"n": n, "lang": lang} for lang, n in totals.items()], pa.schema(fields))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[list[np.ndarray]] = []
@@ -250,29 +249,31 @@ def partials(docs: DataFrame, n: int, frequent: Bitmap | None = None) -> DataFra
     return docs.select("row", "lang", "text").mapInArrow(scan, PARTIAL)
 
 
-def total(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Counts by fingerprint of at least ``least``, the checks they met, and one occurrence."""
-    found = rows.groupBy(*keys).agg(
+def added(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums by fingerprint, the checks they met, and one occurrence."""
+    return rows.groupBy(*keys).agg(
         F.sum("n").alias("n"),
         F.min("check").alias("low"),
         F.max("check").alias("high"),
         F.min("row").alias("row"),
         F.min_by("at", "row").alias("at"),
     )
-    return found.where(F.col("n") >= least)
 
 
-def frequent_prints(rows: DataFrame, least: int, workspace: Workspace) -> DataFrame:
-    """(fp, check, n, row, at) of the n-grams with at least ``least`` occurrences."""
+def frequent_prints(rows: DataFrame, least: int, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(fp, check, n, row, at) of the n-grams with at least ``least`` occurrences, and the words (lang, n)."""
     names = ["fp", F.col("low").alias("check"), "n", "row", "at"]
-    found = workspace.keep(total(rows, ["fp"], least), "prints")
+    enough = F.col("lang").isNotNull() | (F.col("n") >= least)
+    found = workspace.keep(added(rows, ["fp", "lang"]).where(enough), "prints")
+    sums, found = found.where("lang is not null").select("lang", "n"), found.where("lang is null")
     shared = found.where("low <> high")
     clean = found.where("low = high").select(*names)
     if shared.isEmpty():
-        return clean
+        return clean, sums
     # different phrases met in a fingerprint: count them apart
     again = rows.join(shared.select("fp"), "fp", "left_semi").withColumn("own", F.col("check"))
-    return clean.unionByName(workspace.keep(total(again, ["fp", "own"], least).select(*names), "apart"))
+    apart = added(again, ["fp", "own"]).where(F.col("n") >= least).select(*names)
+    return clean.unionByName(workspace.keep(apart, "apart")), sums
 
 
 def materialised(docs: DataFrame, found: DataFrame, n: int) -> DataFrame:
@@ -324,19 +325,15 @@ def phrases(
     docs = workspace.keep(docs.select(row, F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text")), "numbered")
     found, bitmap, sums = [], None, None
     for n in range(1, longest + 1):
-        rows = partials(docs, n, bitmap)
-        if n == 1:
-            rows = workspace.keep(rows, "words")
-            sums = rows.where("lang is not null").groupBy("lang").agg(F.sum("n").alias("n"))
-            rows = rows.where("lang is null")
-        own = frequent_prints(rows, least, workspace)
+        own, counted = frequent_prints(partials(docs, n, bitmap), least, workspace)
+        sums = sums or counted
         if n < longest:
             bitmap = bitmap_of(own)
         found.append(materialised(docs, own, n).withColumn("words", F.lit(n)))
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    return workspace.keep(every, "phrases"), workspace.keep(sums, "sums")
+    return workspace.keep(every, "phrases"), sums
 
 
 def cuts(size: int) -> list[tuple[int, str, str]]:
