@@ -63,7 +63,8 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = suffix_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), Workspace(spark))
     counts = [f"cut_.{c}" for c in ("n_bytes", "n_removed", "n_spans")]
-    return docs.select("doc_id", *counts, hexed("cut_.kept").alias("kept_sha256"))
+    left = F.make_valid_utf8(F.col("cut_.kept").cast("string")).alias("text")
+    return docs.select("doc_id", *counts, hexed("cut_.kept").alias("kept_sha256"), left)
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

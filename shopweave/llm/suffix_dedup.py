@@ -76,10 +76,10 @@ def least_of(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(out[:count], out[size - span : size - span + count])
 
 
-def anchors(data: np.ndarray, hashes: Hashes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+def anchors(data: np.ndarray, hashes: Hashes, length: int, share: float = SHARE) -> Iterator[tuple[np.ndarray, ...]]:
     """Blocks of a text's windows: (hash of the anchor, its place, least and most distance from a
     window's start to it), for each stretch of the text."""
-    part = max(1, int(length * SHARE))
+    part = max(1, int(length * share))
     wide = length - part + 1
     for start in range(0, len(data) - length + 1, STRETCH):
         stretch = data[start : start + STRETCH + length - 1]
@@ -103,7 +103,7 @@ def anchor_places(values: np.ndarray, least: np.ndarray, wide: int) -> np.ndarra
     return np.flatnonzero(most[: len(values)] == values)
 
 
-def find_blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def find_blocks(batches: Iterator[pa.RecordBatch], length: int, share: float) -> Iterator[pa.RecordBatch]:
     """Rows (anchor, block, text, place, least, most) of each different text of a task."""
     hashes, seen = Hashes(), set()
     for batch in batches:
@@ -113,7 +113,7 @@ def find_blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
             if len(text) < length or key in seen:
                 continue
             seen.add(key)
-            for anchor, place, least, most in anchors(np.frombuffer(text, np.uint8), hashes, length):
+            for anchor, place, least, most in anchors(np.frombuffer(text, np.uint8), hashes, length, share):
                 ends = zip((place - most).tolist(), (place - least + length).tolist(), most.tolist(), strict=True)
                 block = [xxhash.xxh3_64_intdigest(text[s:e], d) for s, e, d in ends]
                 for column, values in zip(out, (anchor, np.array(block, np.uint64), place, least, most), strict=True):
@@ -220,10 +220,10 @@ def sort_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield decide(held)
 
 
-def repeated(docs: DataFrame, workspace: Workspace, length: int = LENGTH) -> DataFrame:
+def repeated(docs: DataFrame, workspace: Workspace, length: int = LENGTH, share: float = SHARE) -> DataFrame:
     """(text, starts): for each text, by key, the ranges [first, last] of starts of windows that
     repeat. Texts that occur more than once are not all listed; see ``whole_texts``."""
-    blocks = docs.select("text_key", "text").mapInArrow(lambda b: find_blocks(b, length), BLOCKS)
+    blocks = docs.select("text_key", "text").mapInArrow(lambda b: find_blocks(b, length, share), BLOCKS)
     blocks = workspace.keep(blocks, "blocks")
     twice = blocks.groupBy("anchor").agg(
         F.count("*").alias("n"), (F.min("block") != F.max("block")).alias("mixed")
@@ -306,14 +306,22 @@ def cut_of(length: int, whole_characters: bool):
     return cut.asNondeterministic()
 
 
-def deduplicate(docs: DataFrame, workspace: Workspace, text: str = "text", length: int = LENGTH, whole_characters: bool = False) -> DataFrame:
+def deduplicate(
+    docs: DataFrame,
+    workspace: Workspace,
+    text: str = "text",
+    length: int = LENGTH,
+    whole_characters: bool = False,
+    share: float = SHARE,
+) -> DataFrame:
     """All rows and columns, and a struct ``cut_``: n_bytes, n_removed, n_spans, and the bytes kept.
 
-    ``whole_characters``: bytes of characters that are cut in half are not kept either.
+    ``whole_characters``: bytes of characters that are cut in half are not kept either. ``share`` of a window
+    is hashed for its anchor; the less, the fewer anchors a text has. It changes no result.
     """
     texts = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text).alias("text"))
     texts = texts.withColumn("text_key", key_of("text"))
-    spans = repeated(texts, workspace, length)
+    spans = repeated(texts, workspace, length, share)
     whole = whole_texts(texts.where(F.octet_length("text") >= length), workspace)
     known = workspace.keep(spans.join(whole, "text_key", "full"), "known")
     cut: Column = cut_of(length, whole_characters)("text", "starts", "whole")
