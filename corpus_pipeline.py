@@ -16,6 +16,10 @@ from shopweave.llm.common import bounded, key_of, table
 from shopweave.llm.queries import TOKENIZER
 from shopweave.session import Workspace
 
+#: Least bytes of a string that repeats: what passages of some fifty words have at the least. Hashing a
+#: quarter of it for anchors keeps their number near that of longer strings.
+PASSAGE, ANCHOR_SHARE = 200, 0.25
+
 
 def whole_row(docs: DataFrame) -> Column:
     """All columns as one, so that no added column can clash with them."""
@@ -55,10 +59,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the strings of 400 bytes and more that repeat."""
+    """Documents without the strings of ``PASSAGE`` bytes and more that repeat."""
     bounded(spark)
     texts = docs.select(whole_row(docs), F.col("text"))
-    cut = suffix_dedup.deduplicate(texts, Workspace(spark), whole_characters=True)
+    cut = suffix_dedup.deduplicate(texts, Workspace(spark), "text", PASSAGE, True, ANCHOR_SHARE)
     text = F.when(F.col("text").isNotNull(), F.col("cut_.kept").cast("string"))
     return with_text(docs, cut, text)
 
