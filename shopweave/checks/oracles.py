@@ -716,6 +716,14 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
 }
 
 
+# an increment gives what the ordinary merge gives
+STATEMENTS |= {
+    "insert_increment": STATEMENTS["insert_ignore"],
+    "increment_rejects": STATEMENTS["insert_ignore_rejects"],
+    "missing_customers_increment": STATEMENTS["missing_customers"],
+}
+
+
 # --- what jobs leave behind ------------------------------------------------------------
 
 COLUMNS = {name: [c.split()[0] for c in columns.split(", ")] for name, columns in SCHEMAS.items()}

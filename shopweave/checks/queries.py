@@ -21,8 +21,9 @@ from ..fixed_values import (
     TOTAL_KEY,
     WIDE_TABLE_OPTIONS,
 )
+from ..operators import increment as increments
 from ..operators import catalog, customers, eav, filters, merge, orders, reports, statuses
-from ..operators.counting import count_row, counted, labelled_counts
+from ..operators.counting import count_row, counted
 from ..plans.catalog import job_export_catalog
 from ..plans.customers import job_migrate_customers
 from ..plans.orders import (
@@ -48,7 +49,7 @@ from ..sources.files import (
     write_catalog_csv,
     write_status_tsv,
 )
-from ..sources.snapshots import read_snapshot, restore_snapshot, snapshot_tables
+from ..sources.snapshots import read_manifest, restore_snapshot, snapshot_tables
 from ..sources.tables import scan_table
 from .digests import digests
 from .store_frames import DerivedStore, Side, StoredStore
@@ -108,6 +109,10 @@ class Inputs:
         exported = customers.export_usermeta(self.src.usermeta, self.missing)
         return customers.rename_prefixed_meta_keys(exported, "src_", "dst_")
 
+    @property
+    def incoming_usermeta(self) -> increments.Increment:
+        return increments.increment(self.missing_usermeta, "umeta_id", self.workspace)
+
     @cached_property
     def feed(self) -> DataFrame:
         return self.src_orders.select("id", F.col("post_status").alias("status"))
@@ -175,28 +180,20 @@ def read_status_tsv_(q: Inputs) -> DataFrame:
     return read_status_tsv(q.spark, path)
 
 
-def _sizes(store: Store) -> DataFrame:
-    return labelled_counts(
-        {name: counted(frame) for name, frame in store.tables().items()}, "table_name"
-    )
-
-
 @query
 def snapshot_tables_(q: Inputs) -> DataFrame:
+    """Rows of every table as its manifest has them."""
     folder = q.workspace.location("snapshots")
     snapshot_tables(q.dst.store(), folder, "20250914_120000")
-    return _sizes(read_snapshot(q.spark, folder, "20250914_120000", q.dst.store().tables()))
+    return read_manifest(q.spark, folder, "20250914_120000").select("table_name", F.col("n_rows").alias("n"))
 
 
 @query
 def restore_snapshot_(q: Inputs) -> DataFrame:
-    folder = q.workspace.location("snapshots")
-    part = Store(users=q.dst.users, usermeta=q.dst.usermeta)
-    snapshot_tables(part, folder, "20250914_120000")
-    restored = restore_snapshot(
-        q.spark, folder, "20250914_120000", part.tables(), q.workspace.location("restored")
-    )
-    return restored.usermeta
+    """Every table written, held against the manifest and read back; shown are the users' metadata."""
+    folder, place = q.workspace.location("snapshots"), q.workspace.location("restored")
+    snapshot_tables(q.dst.store(), folder, "20250914_120000")
+    return restore_snapshot(q.spark, folder, "20250914_120000", None, place).usermeta
 
 
 @query
@@ -285,6 +282,12 @@ def missing_customers(q: Inputs) -> DataFrame:
     return q.missing
 
 
+@query
+def missing_customers_increment(q: Inputs) -> DataFrame:
+    ordering = increments.increment(q.customers, "id", q.workspace, unique=True)
+    return increments.absent_rows(q.dst.users, ordering)
+
+
 @query
 def existing_customers(q: Inputs) -> DataFrame:
     return customers.existing_customers(q.customers, q.dst.users)
@@ -462,6 +465,16 @@ def insert_ignore_rejects(q: Inputs) -> DataFrame:
     return merge.insert_ignore_rejects(q.dst.usermeta, q.missing_usermeta, "umeta_id")
 
 
+@query
+def insert_increment(q: Inputs) -> DataFrame:
+    return increments.insert_increment(q.dst.usermeta, q.incoming_usermeta)
+
+
+@query
+def increment_rejects(q: Inputs) -> DataFrame:
+    return increments.increment_rejects(q.dst.usermeta, q.incoming_usermeta)
+
+
 @query
 def rename_prefixed_meta_keys(q: Inputs) -> DataFrame:
     return customers.rename_prefixed_meta_keys(q.src.usermeta, "src_", "dst_")
@@ -685,7 +698,7 @@ def restore_snapshot_tables(q: Inputs) -> DataFrame:
     folder, store = q.workspace.location("snapshots"), q.dst.store()
     snapshot_tables(store, folder, "20250914_120000")
     place = q.workspace.location("restored")
-    return digests(restore_snapshot(q.spark, folder, "20250914_120000", store.tables(), place).tables())
+    return digests(restore_snapshot(q.spark, folder, "20250914_120000", None, place).tables())
 
 
 @query

@@ -9,11 +9,10 @@ from ..operators.customers import (
     customers_with_orders,
     export_usermeta,
     export_users,
-    missing_customers,
     rename_prefixed_meta_keys,
 )
 from ..operators.filters import purge_transients
-from ..operators.merge import insert_ignore
+from ..operators.increment import absent_rows, increment, insert_increment
 from ..session import Workspace
 from .store import Store
 
@@ -23,20 +22,25 @@ def job_migrate_customers(
 ) -> tuple[Store, DataFrame]:
     """The destination with its missing customers, and the import statistics.
 
-    The missing ids feed both exports and the statistics, so they are written once: a column of
-    longs in place of three passes over the order metadata. Source tables have primary keys, so
-    their rows need no deduplication.
+    Customers and the metadata to bring over are increments: written once, their number known from that
+    write, and met by the destination's scans through their keys' range and Bloom filter. Users that are
+    missing by definition need no second look. Source tables have primary keys, so their rows need no
+    deduplication.
     """
     customers = customers_with_orders(src.users, src.postmeta, src.posts)
-    missing = workspace.keep(missing_customers(customers, dst.users), "missing_customers")
-    if missing.isEmpty():
+    ordering = increment(customers, "id", workspace, unique=True, name="customers")
+    absent = increment(absent_rows(dst.users, ordering), "id", workspace, unique=True, name="missing_customers")
+    missing = absent.rows
+    if not absent.count:
         return dst, customer_import_stats(missing, dst.users, dst.postmeta)
     usermeta = rename_prefixed_meta_keys(
         export_usermeta(src.usermeta, missing), src_prefix, dst_prefix
     )
+    incoming = increment(usermeta, "umeta_id", workspace, unique=True, name="usermeta")
+    users = export_users(src.users, missing)
     after = dst.having(
-        users=insert_ignore(dst.users, export_users(src.users, missing), "id", unique=True),
-        usermeta=insert_ignore(dst.usermeta, usermeta, "umeta_id", unique=True),
+        users=dst.users.unionByName(users, allowMissingColumns=True),
+        usermeta=insert_increment(dst.usermeta, incoming),
         options=purge_transients(dst.options),
     )
     return after, customer_import_stats(missing, after.users, after.postmeta)

@@ -10,9 +10,10 @@ from itertools import count
 from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on the first; the others keep plans adaptive: AQE picks broadcast joins from
-# measured sizes, coalesces small partitions and splits skewed join partitions. The last two let it
+# measured sizes, coalesces small partitions and splits skewed join partitions. The next two let it
 # split even where that costs a shuffle, which several joins on one key would otherwise forbid, and
-# hash a join side whose every shuffled partition is small in place of sorting both sides.
+# hash a join side whose every shuffled partition is small in place of sorting both sides. The last two let
+# it make Bloom filters of a join's small side where the other scans more than 1 GB; Spark bounds their size.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,6 +21,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64MB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
 }
 
 
