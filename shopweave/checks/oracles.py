@@ -123,18 +123,26 @@ def addresses(side: str) -> str:
 
 
 def wide(side: str) -> str:
+    """Each order beside the largest values of its own metadata."""
+    texts = "billing_email payment_method payment_method_title transaction_id ip_address user_agent".split()
+    columns = {name: f"coalesce(m.{name}, '')" for name in texts} | {
+        "id": "p.id",
+        "status": "replace(p.post_status, 'wc-', '')",
+        "currency": "coalesce(m.currency, 'INR')",
+        "type": "p.post_type",
+        "tax_amount": decimal("m.tax"),
+        "total_amount": decimal("m.total"),
+        "customer_id": unsigned("m.customer_id"),
+        "date_created_gmt": "p.post_date_gmt",
+        "date_updated_gmt": "p.post_modified_gmt",
+        "parent_order_id": "p.post_parent",
+        "customer_note": "p.post_excerpt",
+    }
+    own = ", ".join(largest(key, name) for key, name in CORE)
     return (
-        "SELECT p.id, replace(p.post_status, 'wc-', '') AS status, "
-        "coalesce(m.currency, 'INR') AS currency, 'shop_order' AS type, "
-        f"{decimal('m.tax')} AS tax_amount, {decimal('m.total')} AS total_amount, "
-        f"{unsigned('m.customer_id')} AS customer_id, coalesce(m.billing_email, '') AS billing_email, "
-        "p.post_date_gmt AS date_created_gmt, p.post_modified_gmt AS date_updated_gmt, "
-        "p.post_parent AS parent_order_id, coalesce(m.payment_method, '') AS payment_method, "
-        "coalesce(m.payment_method_title, '') AS payment_method_title, "
-        "coalesce(m.transaction_id, '') AS transaction_id, p.post_excerpt AS customer_note, "
-        "coalesce(m.ip_address, '') AS ip_address, coalesce(m.user_agent, '') AS user_agent "
-        f"FROM {side}_posts AS p LEFT JOIN ({pivot(CORE, side)}) AS m ON p.id = m.post_id "
-        "WHERE p.post_type = 'shop_order'"
+        f"SELECT {', '.join(f'{sql} AS {name}' for name, sql in columns.items())} "
+        f"FROM (SELECT * FROM {side}_posts WHERE post_type = 'shop_order') AS p, "
+        f"LATERAL (SELECT {own} FROM {side}_postmeta AS o WHERE o.post_id = p.id) AS m"
     )
 
 
@@ -335,15 +343,23 @@ META_CHECK = (
 )
 
 
+def without_customer(side: str) -> str:
+    """An order without a customer row counts once, and every such row without a value counts."""
+    customer = f"SELECT post_id FROM {side}_postmeta WHERE meta_key = '_customer_user'"
+    orders = f"SELECT id FROM {side}_posts WHERE post_type = 'shop_order'"
+    return (
+        f"SELECT (SELECT count(*) FROM ({orders}) AS a WHERE NOT EXISTS (FROM ({customer}) AS b WHERE b.post_id = a.id))"
+        f" + (SELECT count(*) FROM ({customer} AND meta_value IS NULL) AS d WHERE d.post_id IN ({orders}))"
+    )
+
+
 def integrity(side: str) -> str:
     return (
         "SELECT *, CASE WHEN orphaned_meta = 0 AND orders_without_customer < 100 THEN 'good' "
         "ELSE 'issues' END AS result FROM (SELECT "
         f"(SELECT count(*) FROM {side}_postmeta WHERE post_id NOT IN (SELECT id FROM {side}_posts)) "
         "AS orphaned_meta, "
-        f"(SELECT count(*) FROM {side}_posts AS p LEFT JOIN {side}_postmeta AS m ON p.id = m.post_id "
-        "AND m.meta_key = '_customer_user' WHERE p.post_type = 'shop_order' AND m.meta_value IS NULL) "
-        "AS orders_without_customer) AS c"
+        f"({without_customer(side)}) AS orders_without_customer) AS c"
     )
 
 
@@ -463,10 +479,7 @@ STATEMENTS: dict[str, str | tuple[str, dict[str, str]]] = {
     "orphaned_meta": (
         "SELECT * FROM src_postmeta WHERE post_id NOT IN (SELECT id FROM src_posts)"
     ),
-    "orders_without_customer": (
-        "SELECT count(*) AS n FROM src_posts AS p LEFT JOIN src_postmeta AS m ON p.id = m.post_id "
-        "AND m.meta_key = '_customer_user' WHERE p.post_type = 'shop_order' AND m.meta_value IS NULL"
-    ),
+    "orders_without_customer": f"SELECT ({without_customer('src')}) AS n",
     "first_meta": (
         f"SELECT o.id, coalesce({first_value('src_postmeta', 'o.id', '_order_total')}, '0') AS value "
         f"FROM {ORDERS}"
@@ -845,6 +858,88 @@ STATEMENTS |= {
 }
 
 
+# --- what jobs saw on their way --------------------------------------------------------
+
+KNOWN = (
+    "wc-completed wc-processing wc-on-hold wc-cancelled wc-refunded wc-failed wc-pending wc-pending-payment "
+    "wc-delivered wc-pre-order-booked"
+).split()
+ACCEPTED = ", ".join(f"'{x}'" for x in KNOWN[:8])
+
+
+def step(name: str, **values: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS step, '{m}' AS metric, ({v}) AS value" for m, v in values.items())
+
+
+def profile(name: str, orders: str) -> str:
+    """Orders by status; those that have no name here together."""
+    listed = ", ".join(f"'{x}'" for x in KNOWN)
+    parts = {x: f"SELECT count(*) FROM {orders} WHERE post_status = '{x}'" for x in KNOWN}
+    parts["other"] = f"SELECT count(*) FROM {orders} WHERE coalesce(post_status, '') NOT IN ({listed})"
+    return step(name, **parts, total=f"SELECT count(*) FROM {orders}")
+
+
+STATEMENTS |= {
+    "job_migrate_orders_steps": (
+        step(
+            "orders",
+            expected=f"SELECT count(*) FROM {ORDERS}",
+            imported="SELECT count(*) FROM converted_posts WHERE post_type = 'shop_order'",
+        ),
+        MIGRATED,
+    ),
+    "job_fix_statuses_steps": " UNION ALL ".join(
+        [
+            step(
+                "conversion",
+                **{
+                    metric: f"SELECT count(*) FROM {DST_ORDERS} WHERE post_status = '{status}'"
+                    for metric, status in [
+                        ("delivered", "wc-delivered"),
+                        ("failed", "wc-failed"),
+                        ("pre_order_booked", "wc-pre-order-booked"),
+                    ]
+                },
+                total=(
+                    f"SELECT count(*) FROM {DST_ORDERS} "
+                    "WHERE post_status IN ('wc-delivered', 'wc-failed', 'wc-pre-order-booked')"
+                ),
+                left=f"SELECT count(*) FROM {DST_ORDERS} WHERE {converted('post_status')} NOT IN ({ACCEPTED})",
+            ),
+            profile("before", DST_ORDERS),
+            profile("after", f"(SELECT {converted('post_status')} AS post_status FROM {DST_ORDERS}) AS c"),
+        ]
+    ),
+    "job_sync_exact_steps": " UNION ALL ".join(
+        [
+            profile("source", ORDERS),
+            profile("destination before", DST_ORDERS),
+            profile("destination after", f"(FROM ({synced('s.post_status')}) WHERE post_type = 'shop_order') AS a"),
+            step(
+                "orders",
+                found=f"SELECT count(*) FROM {DST_ORDERS} WHERE id IN {ORDER_IDS}",
+                not_found=f"SELECT count(*) FROM {DST_ORDERS} WHERE id NOT IN {ORDER_IDS}",
+            ),
+        ]
+    ),
+    "job_full_validated": (
+        VALIDATION.replace("dst_usermeta", "usermeta_after")
+        .replace("dst_users", "users_after")
+        .replace("dst_postmeta", "meta_after")
+        .replace("dst_posts", "converted_posts")
+        .replace("dst_order_items", "items_after"),
+        {
+            **MISSING_META,
+            "users_after": CUSTOMERS_LEFT["users"],
+            "usermeta_after": CUSTOMERS_LEFT["usermeta"],
+            "items_after": ITEMS,
+            **MIGRATED,
+        },
+    ),
+    "job_convert_wide_live_tables": STATEMENTS["job_convert_wide_tables"],
+}
+
+
 def all_oracles() -> dict[str, str]:
     complete = {}
     for name, statement in STATEMENTS.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
@@ -26,10 +27,13 @@ from ..operators import catalog, customers, eav, filters, merge, orders, reports
 from ..operators.counting import count_row, counted
 from ..plans.catalog import job_export_catalog
 from ..plans.customers import job_migrate_customers
+from ..plans.live import job_convert_wide_live, swap_in
 from ..plans.orders import (
+    WIDE_TABLES,
     delete_orders_cascade,
     job_convert_wide,
     job_full,
+    job_full_validated,
     job_migrate_orders,
     job_orders_complete,
 )
@@ -39,6 +43,7 @@ from ..plans.statuses import (
     job_sync_exact,
     job_sync_statuses,
 )
+from ..plans.steps import Steps
 from ..plans.store import Store
 from ..plans.validation import job_validate
 from ..session import Workspace, configure
@@ -620,7 +625,8 @@ def integrity_check(q: Inputs) -> DataFrame:
 
 @query
 def wide_reconciliation(q: Inputs) -> DataFrame:
-    return reports.wide_reconciliation(q.src.posts, q.dst_wide)
+    stored = q.workspace.keep(q.dst_wide, "wc_orders")
+    return reports.wide_reconciliation(q.src.posts, stored)
 
 
 @query
@@ -651,7 +657,7 @@ def job_migrate_orders_(q: Inputs) -> DataFrame:
 
 @query
 def job_convert_wide_(q: Inputs) -> DataFrame:
-    return job_convert_wide(q.dst.store())[1]
+    return job_convert_wide(q.dst.store(), q.workspace)[1]
 
 
 @query
@@ -674,6 +680,32 @@ def job_sync_exact_(q: Inputs) -> DataFrame:
     return job_sync_exact(q.spark, q.src.store(), q.dst.store(), NOW, q.workspace)[1]
 
 
+@query
+def job_migrate_orders_steps(q: Inputs) -> DataFrame:
+    steps = Steps()
+    job_migrate_orders(q.src.store(), q.dst.store(), True, q.workspace, steps)
+    return steps.report(q.spark)
+
+
+@query
+def job_fix_statuses_steps(q: Inputs) -> DataFrame:
+    steps = Steps()
+    job_fix_statuses(q.dst.store(), NOW, q.workspace, steps)
+    return steps.report(q.spark)
+
+
+@query
+def job_sync_exact_steps(q: Inputs) -> DataFrame:
+    steps = Steps()
+    job_sync_exact(q.spark, q.src.store(), q.dst.store(), NOW, q.workspace, steps)
+    return steps.report(q.spark)
+
+
+@query
+def job_full_validated_(q: Inputs) -> DataFrame:
+    return job_full_validated(q.src.store(), q.dst.store(), q.workspace)[1]
+
+
 @query
 def job_validate_(q: Inputs) -> DataFrame:
     return job_validate(q.src.store(), q.dst.store())
@@ -715,9 +747,22 @@ def job_migrate_orders_tables(q: Inputs) -> DataFrame:
 
 @query
 def job_convert_wide_tables(q: Inputs) -> DataFrame:
-    after, _ = job_convert_wide(q.dst.store())
-    wide = ("wc_orders", "wc_orders_meta", "wc_order_addresses", "wc_order_operational_data")
-    return _left_behind(q, after, *wide, "options")
+    after, _ = job_convert_wide(q.dst.store(), q.workspace)
+    return digests({n: after.tables()[n] for n in (*WIDE_TABLES, "options")})
+
+
+@query
+def job_convert_wide_live_tables(q: Inputs) -> DataFrame:
+    """What readers of the views see after older tables were swapped for the rebuilt ones."""
+    prefix = f"live_{uuid.uuid4().hex}_"
+    names = (*WIDE_TABLES, "options")
+    first = Store(wc_orders=q.dst_wide.limit(0), options=q.dst.options).written(q.workspace)
+    swap_in(q.spark, first.folders, prefix)
+    after, _ = job_convert_wide_live(q.spark, q.dst.store(), q.workspace, prefix)
+    found = digests({n: after.tables()[n] for n in names})
+    for name in names:
+        q.spark.sql(f"DROP VIEW {prefix}{name}")
+    return found
 
 
 @query

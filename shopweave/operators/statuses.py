@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
+    ACCEPTED_STATUSES,
     BARE_STATUS_MAP,
     PROFILED_STATUSES,
     STATUS_KEY,
@@ -46,14 +47,34 @@ def per_status_counts(orders: DataFrame) -> DataFrame:
     )
 
 
+def conversion_metrics(status: Column) -> dict[str, Column]:
+    """Aggregates: the orders that each conversion would change, and in total."""
+    converted = {name: value for name, value in PROFILED_STATUSES.items() if value in STATUS_MAP}
+    metrics = {name: F.count_if(status == value) for name, value in converted.items()}
+    return metrics | {"total": F.count_if(status.isin(list(STATUS_MAP)))}
+
+
 def conversion_counts(orders: DataFrame) -> DataFrame:
     """How many orders each conversion would change, and in total."""
-    status = F.col("post_status")
-    converted = {name: value for name, value in PROFILED_STATUSES.items() if value in STATUS_MAP}
-    return orders.agg(
-        *(F.count_if(status == value).alias(name) for name, value in converted.items()),
-        F.count_if(status.isin(list(STATUS_MAP))).alias("total"),
-    )
+    metrics = conversion_metrics(F.col("post_status"))
+    return orders.agg(*(metric.alias(name) for name, metric in metrics.items()))
+
+
+def leftover(status: Column) -> Column:
+    """Aggregate: orders whose status is none of those accepted after a conversion."""
+    return F.count_if(~status.isin(ACCEPTED_STATUSES))
+
+
+def status_metrics(status: Column, of: Column | None = None) -> dict[str, Column]:
+    """Aggregates: orders of each status that has a name here, of all others together, and of all.
+
+    ``of``: which rows are orders, where other rows are among them.
+    """
+    order = F.lit(True) if of is None else of
+    known = list(dict.fromkeys([*ACCEPTED_STATUSES, *STATUS_MAP]))
+    metrics = {value: F.count_if(order & (status == value)) for value in known}
+    other = ~F.coalesce(status, F.lit("")).isin(known)
+    return metrics | {"other": F.count_if(order & other), "total": F.count_if(order)}
 
 
 # --- conversion ------------------------------------------------------------------------
@@ -108,15 +129,20 @@ def _feed(feed: DataFrame) -> DataFrame:
     return feed.groupBy("id").agg(F.max(F.coalesce("status", F.lit(""))).alias("feed_status"))
 
 
-def sync_statuses_exact(dst_posts: DataFrame, feed: DataFrame, now: datetime) -> DataFrame:
+def sync_statuses_exact(
+    dst_posts: DataFrame,
+    feed: DataFrame,
+    now: datetime,
+    watch: Callable[[DataFrame], DataFrame] = lambda orders: orders,
+) -> DataFrame:
     """Orders take the status of the feed and a new modification time; the rest is unchanged.
 
-    Only orders are joined. Other posts, which carry the long texts, are not shuffled.
+    Only orders are joined. Other posts, which carry the long texts, are not shuffled. ``watch`` may put
+    metrics on the orders while they have both states: post_status, and feed_status or null.
     """
     found = F.col("feed_status").isNotNull()
     orders = (
-        orders_only(dst_posts)
-        .join(_feed(feed), "id", "left")
+        watch(orders_only(dst_posts).join(_feed(feed), "id", "left"))
         .withColumn("post_status", F.coalesce("feed_status", "post_status"))
         .withColumns(
             {

@@ -87,7 +87,15 @@ class Workspace:
         """A folder no earlier step of this run has used; frames read their tables lazily."""
         return f"{self.path}/{next(self._names)}-{name}"
 
-    def keep(self, frame: DataFrame, name: str) -> DataFrame:
+    def store(self, frame: DataFrame, name: str) -> str:
+        """Write a frame to a fresh folder, and say which."""
         path = self.location(name)
         frame.write.mode("errorifexists").parquet(path)
+        return path
+
+    def read(self, frame: DataFrame, path: str) -> DataFrame:
+        """What was stored of a frame."""
         return self.spark.read.schema(frame.schema).parquet(path)
+
+    def keep(self, frame: DataFrame, name: str) -> DataFrame:
+        return self.read(frame, self.store(frame, name))

@@ -45,7 +45,12 @@ def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_status_tsv(posts: DataFrame, path: str) -> None:
     """(id, status) of every order, tab-separated, by id."""
-    orders_by_id(posts).write.mode("overwrite").options(**TSV_FORMAT).csv(path)
+    write_status_rows(orders_by_id(posts), path)
+
+
+def write_status_rows(rows: DataFrame, path: str) -> None:
+    """Rows (id, status) as a feed, in the order that they have."""
+    rows.write.mode("overwrite").options(**TSV_FORMAT).csv(path)
 
 
 def read_status_tsv(spark: SparkSession, path: str, header: bool = False) -> DataFrame:

@@ -9,6 +9,7 @@ from shopweave.plans.orders import (
     delete_orders_cascade,
     job_convert_wide,
     job_full,
+    job_full_validated,
     job_migrate_orders,
 )
 from shopweave.plans.statuses import (
@@ -17,9 +18,10 @@ from shopweave.plans.statuses import (
     job_sync_exact,
     job_sync_statuses,
 )
+from shopweave.plans.steps import Steps
 from shopweave.plans.store import Store
 from shopweave.plans.validation import job_validate
-from shopweave.session import shared_root
+from shopweave.session import Workspace, shared_root
 from shopweave.sources.files import read_status_tsv, write_status_tsv
 from shopweave.sources.snapshots import read_snapshot, restore_snapshot, snapshot_tables
 from shopweave.sources.tables import jdbc_options, scan_table
@@ -108,8 +110,8 @@ def test_full_migration(src, dst, workspace):
     assert values(after.wc_orders.select("id", "total_amount"))[0][0] == 1
 
 
-def test_wide_conversion(dst):
-    after, check = job_convert_wide(dst)
+def test_wide_conversion(dst, workspace):
+    after, check = job_convert_wide(dst, workspace)
     assert tuple(check.first()) == (1, 1, "complete")
     assert values(after.wc_orders_meta) == [(1, "old", "x")]
     assert after.options.count() == 6
@@ -207,3 +209,70 @@ def test_shared_root_is_the_cluster_setting():
     assert shared_root(Session("hdfs://x/dir/")) == "hdfs://x/dir"
     with pytest.raises(ValueError):
         shared_root(Session(None))
+
+
+def steps_of(job, *args, **kwargs):
+    steps = Steps()
+    after, _ = job(*args, **kwargs, steps=steps)
+    return after, steps.values()
+
+
+def test_steps_of_an_order_migration(spark, src, dst, workspace):
+    after, seen = steps_of(job_migrate_orders, src, dst, True, workspace)
+    assert seen == {("orders", "expected"): 2, ("orders", "imported"): 2}
+    after, seen = steps_of(job_full, src, dst, workspace, replace=False)
+    assert seen == {("orders", "expected"): 2, ("orders", "imported"): 2}
+    # the destination's order 1 stays and counts as imported, as in the comparison of both sides
+    assert values(after.posts.select("id", "post_status"))[0] == (1, "wc-pending")
+
+
+def test_steps_of_fixing_statuses(spark, src, workspace):
+    posts_ = src.posts.unionByName(posts(spark, post(3, status="wc-odd"), post(4, kind="product", status="wc-failed")))
+    after, seen = steps_of(job_fix_statuses, src.having(posts=posts_), NOW, workspace)
+    assert (seen["conversion", "total"], seen["conversion", "left"]) == (2, 1)
+    assert (seen["before", "wc-delivered"], seen["after", "wc-delivered"]) == (1, 0)
+    assert (seen["before", "total"], seen["after", "total"], seen["after", "other"]) == (3, 3, 1)
+    assert after.posts.columns == src.posts.columns
+    _, nothing = steps_of(job_fix_statuses, after, NOW, workspace)
+    assert nothing == {}
+
+
+def test_steps_of_a_synchronisation(spark, src, dst, workspace):
+    after, seen = steps_of(job_sync_exact, spark, src, dst, NOW, workspace)
+    assert (seen["source", "wc-delivered"], seen["source", "total"]) == (1, 2)
+    assert (seen["destination before", "wc-pending"], seen["destination after", "wc-delivered"]) == (1, 1)
+    assert (seen["orders", "found"], seen["orders", "not_found"]) == (1, 0)
+    plain, _ = job_sync_exact(spark, src, dst, NOW, workspace)
+    assert values(after.posts) == values(plain.posts)
+
+
+def test_steps_need_no_pass_of_their_own(spark, src, dst, workspace, monkeypatch):
+    """The posts are read for the write alone: the metrics are part of its plan."""
+    written = []
+    keep = Workspace.keep
+    monkeypatch.setattr(
+        Workspace, "keep", lambda self, frame, name: written.append((name, frame)) or keep(self, frame, name)
+    )
+    steps = Steps()
+    job_fix_statuses(src, NOW, workspace, steps)
+    plans = {name: frame._jdf.queryExecution().optimizedPlan().toString() for name, frame in written}
+    assert list(plans) == ["posts"] and plans["posts"].count("CollectMetrics") == 3
+    assert len(steps.values()) == 5 + 2 * 12
+
+
+def test_empty_report_has_its_columns(spark):
+    assert Steps().report(spark).columns == ["step", "metric", "value"]
+
+
+def test_items_stay_where_the_destination_has_no_orders(spark, src, dst, workspace):
+    bare = dst.having(posts=posts(spark, post(8, kind="product", status="publish")))
+    assert delete_orders_cascade(bare) is bare
+    after, _ = job_migrate_orders(src, bare, replace=True, workspace=workspace)
+    assert values(after.order_items.select("order_item_id")) == [(10,), (77,)]
+
+
+def test_full_migration_validated(src, dst, workspace):
+    after, report = job_full_validated(src, dst, workspace)
+    found = {(r.report, r.metric): r.value for r in report.collect()}
+    assert found["orders", "percent"] == "100" and found["users", "destination_users"] == "2"
+    assert {"users", "order_items", "wc_orders"} <= set(after.folders)
