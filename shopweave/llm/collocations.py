@@ -3,13 +3,15 @@
 A stretch of text is a buffer of bytes. Prefix polynomials over the bytes give each word's hash, and
 prefix polynomials over the words' hashes give that of every n-gram within a piece, all in numpy. The
 fingerprint of an n-gram covers its language, too, and a second polynomial with another base checks it.
-A task adds up its equal fingerprints, each with a pointer to an occurrence; a shuffle adds up the tasks'.
+A task adds up its equal fingerprints, and a shuffle adds up the tasks'.
 
 An n-gram can only be frequent if both of its parts one word shorter are. The fingerprints of the
 frequent ones go to the next pass as a bitmap of fixed size; a bit that two share lets a few more
-through, whose counts then decide. Phrases are read from the text for frequent fingerprints alone: the
-pointer's words must have the fingerprint and its check, else the job stops. Fingerprints that meet
-with different checks stand for several phrases, which are counted apart by both.
+through, whose counts then decide. That pass counts n-grams one word longer, and sends with them a
+pointer to an occurrence of each n-gram in the bitmap; pointers are larger than counts, so only those of
+n-grams that may be frequent are shuffled. Phrases are read from the text at the pointers: the words
+there must have the fingerprint and its check, else the job stops. Fingerprints that meet with different
+checks stand for several phrases, which are counted apart by both.
 
 Nulls: a null text is an empty one, a null language is ``und``. Repeated rows count each. Texts are
 worked on in stretches, so a text may be of any length; an empty table has no phrases.
@@ -38,7 +40,7 @@ TOP = 2000
 UNKNOWN = "und"
 
 #: Bytes of text worked on at once, and rows that a task adds up before it sends them on.
-STRETCH, HELD = 1 << 19, 500_000
+STRETCH, HELD = 1 << 18, 500_000
 #: Bits of the bitmap of frequent fingerprints (16 MB), and of one of its rows.
 BITS, ROW_BITS = 27, 15
 #: Bits of a fingerprint; tests make it small, so that different phrases meet.
@@ -46,7 +48,8 @@ PRINT_BITS = 64
 
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 WORD_BASES = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-PARTIAL = "fp long, check long, n long, row long, at long, lang string"
+#: What a task sends: counts, pointers, or the words of a language; the other columns are null.
+PARTIAL = {"fp": pa.int64(), "check": pa.int64(), "n": pa.int64(), "row": pa.int64(), "at": pa.int64(), "lang": pa.string()}
 
 # Fixed values of the contract: bytes between pieces, and between words.
 PIECE_ENDS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -178,8 +181,44 @@ def stretches(data: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
             fresh, start = end, start + int(begins[max(0, len(begins) - n + 1)]) if n > 1 and len(begins) else end
 
 
+class Sums:
+    """A task's counts, or pointers, by fingerprint and check; a bounded number is held."""
+
+    def __init__(self, names: list[str]):
+        self.names, self.parts, self.held = names, [], 0
+
+    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(columns[0]):
+            self.parts.append(added_up([list(columns)]))
+            self.held += len(self.parts[-1][0])
+            if self.held > HELD:
+                self.parts = [added_up(self.parts)]
+                self.held = len(self.parts[0][0])
+                if self.held > HELD // 2:
+                    yield from self.rows()
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            columns = added_up(self.parts)
+            self.parts, self.held = [], 0
+            for start in range(0, len(columns[0]), 1 << 16):
+                yield partial_rows(dict(zip(self.names, (x[start : start + (1 << 16)] for x in columns), strict=True)))
+
+
+def partial_rows(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Rows of ``PARTIAL`` with nulls in the other columns."""
+    size, own = len(next(iter(columns.values()))), []
+    for name, kind in PARTIAL.items():
+        if name not in columns:
+            own.append(pa.nulls(size, kind))
+        else:
+            own.append(pa.array(columns[name].view(np.int64) if kind == pa.int64() else columns[name], kind))
+    return pa.RecordBatch.from_arrays(own, names=list(PARTIAL))
+
+
 def added_up(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """Columns (fp, check, n, row, at) with equal neighbours in the order of fingerprints added up."""
+    """Columns (fp, check, n or row, ...) with equal neighbours in the order of fingerprints added up: of
+    counts the sum, of pointers the first."""
     columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
     if not len(columns[0]):
         return columns
@@ -187,31 +226,19 @@ def added_up(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
     columns = [x[order] for x in columns]
     fp, check = columns[:2]
     begins = np.flatnonzero(np.concatenate([[True], (fp[1:] != fp[:-1]) | (check[1:] != check[:-1])]))
-    total = np.add.reduceat(columns[2], begins)
-    columns = [x[begins] for x in columns]
-    columns[2] = total
-    return columns
-
-
-def partials(docs: DataFrame, n: int, frequent: Bitmap | None = None) -> DataFrame:
-    """Each task's counts of n-grams whose parts may be frequent, with the row and place of one occurrence.
-    Rows with a language have the number of its words, and no fingerprint. ``docs``: row, lang, text."""
-
-    def emit(parts: list[list[np.ndarray]], totals: dict[str, int]) -> Iterator[pa.RecordBatch]:
-        if parts:
-            columns = added_up(parts)
-            for start in range(0, len(columns[0]), 1 << 17):
-                own = [pa.array(x[start : start + (1 << 17)].view(np.int64)) for x in columns]
-                own.append(pa.nulls(len(own[0]), pa.string()))
-                yield pa.RecordBatch.from_arrays(own, names=[x.split()[0] for x in PARTIAL.split(", ")])
-        if totals:
-            fields = [(x.split()[0], pa.string() if x.endswith("string") else pa.int64()) for x in PARTIAL.split(", ")]
-            yield pa.RecordBatch.from_pylist([{"n": n, "lang": lang} for lang, n in totals.items()], pa.schema(fields))
+    if len(columns) > 3:
+        return [x[begins] for x in columns]
+    return [fp[begins], check[begins], np.add.reduceat(columns[2], begins)]
+
+
+def partials(docs: DataFrame, n: int, frequent: Bitmap | None = None, longest: int = LONGEST) -> DataFrame:
+    """Each task's rows: (fp, check, n) counts of the n-grams whose parts may be frequent; (fp, check, row, at)
+    pointers to those parts; and (n, lang) the words of each language. Beyond ``longest`` only pointers.
+    ``docs``: row, lang, text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[list[np.ndarray]] = []
+        counts, pointers = Sums(["fp", "check", "n"]), Sums(["fp", "check", "row", "at"])
         totals: dict[str, int] = {}
-        held = 0
         for batch in batches:
             texts, langs = raw(batch.column(2)), strings(batch.column(1))
             rows = batch.column(0).to_numpy()
@@ -221,62 +248,64 @@ def partials(docs: DataFrame, n: int, frequent: Bitmap | None = None) -> DataFra
             seeds = np.array([xxhash.xxh64_intdigest(x) for x in langs], np.uint64)
             for start, end, fresh in stretches(data, n):
                 words = Words(data[start:end], seeds, doc_starts, start)
-                first = words.whole(n)
-                first = first[words.starts[first + n - 1] >= fresh - start]
                 if n == 1:
-                    for doc, count in zip(*np.unique(words.doc[first], return_counts=True), strict=True):
+                    for doc, count in zip(*np.unique(words.doc, return_counts=True), strict=True):
                         totals[langs[doc]] = totals.get(langs[doc], 0) + int(count)
-                elif frequent:
+                    first = words.whole(1)
+                else:
+                    part = words.whole(n - 1)
+                    prints = words.prints(part, n - 1, 0)
+                    may = frequent.holds(prints)
+                    part = part[may]
+                    begins = words.starts[part] + start - doc_starts[words.doc[part]]
+                    span = words.ends[part + n - 2] - words.starts[part]
+                    places = rows[words.doc[part]], begins << 31 | span
+                    yield from pointers.add(prints[may], words.prints(part, n - 1, 1), *places)
+                    if n > longest:
+                        continue
                     known = np.zeros(len(words.starts), bool)
-                    shorter = words.whole(n - 1)
-                    known[shorter] = frequent.holds(words.prints(shorter, n - 1, 0))
-                    first = first[known[first] & known[first + 1]]
-                if not len(first):
-                    continue
-                begins = words.starts[first] + start - doc_starts[words.doc[first]]
-                span = words.ends[first + n - 1] - words.starts[first]
-                columns = [words.prints(first, n, 0), words.prints(first, n, 1), np.ones(len(first), np.int64)]
-                parts.append(added_up([[*columns, rows[words.doc[first]], begins << 31 | span]]))
-                held += len(parts[-1][0])
-                if held > HELD:
-                    parts = [added_up(parts)]
-                    held = len(parts[0][0])
-                    if held > HELD // 2:
-                        yield from emit(parts, {})
-                        parts, held = [], 0
-        yield from emit(parts, totals)
-
-    return docs.select("row", "lang", "text").mapInArrow(scan, PARTIAL)
-
-
-def added(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Sums by fingerprint, the checks they met, and one occurrence."""
-    return rows.groupBy(*keys).agg(
+                    known[part] = True
+                    first = words.whole(n)
+                    first = first[(words.starts[first + n - 1] >= fresh - start) & known[first] & known[first + 1]]
+                prints = [words.prints(first, n, k) for k in (0, 1)]
+                yield from counts.add(*prints, np.ones(len(first), np.int64))
+        yield from counts.rows()
+        yield from pointers.rows()
+        if totals:
+            yield partial_rows({"n": np.array(list(totals.values()), np.int64), "lang": list(totals)})
+
+    schema = ", ".join(f"{name} {'string' if kind == pa.string() else 'long'}" for name, kind in PARTIAL.items())
+    return docs.select("row", "lang", "text").mapInArrow(scan, schema)
+
+
+def added(rows: DataFrame, keys: list[str], workspace: Workspace, least: int) -> DataFrame:
+    """Sums by fingerprint and the checks they met, of at least ``least``; one pointer of each fingerprint and
+    check; and the words of each language."""
+    found = rows.groupBy(*keys).agg(
         F.sum("n").alias("n"),
         F.min("check").alias("low"),
         F.max("check").alias("high"),
         F.min("row").alias("row"),
         F.min_by("at", "row").alias("at"),
     )
+    wanted = F.col("row").isNotNull() | F.col("lang").isNotNull() | (F.col("n") >= least)
+    return workspace.keep(found.where(wanted), "prints")
 
 
-def frequent_prints(rows: DataFrame, least: int, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
-    """(fp, check, n, row, at) of the n-grams with at least ``least`` occurrences, and the words (lang, n)."""
-    names = ["fp", F.col("low").alias("check"), "n", "row", "at"]
-    enough = F.col("lang").isNotNull() | (F.col("n") >= least)
-    found = workspace.keep(added(rows, ["fp", "lang"]).where(enough), "prints")
-    sums, found = found.where("lang is not null").select("lang", "n"), found.where("lang is null")
-    shared = found.where("low <> high")
+def counted(rows: DataFrame, found: DataFrame, least: int, workspace: Workspace) -> DataFrame:
+    """(fp, check, n) of the n-grams with at least ``least`` occurrences."""
+    found = found.where("lang is null and row is null")
+    shared, names = found.where("low <> high"), ["fp", F.col("low").alias("check"), "n"]
     clean = found.where("low = high").select(*names)
     if shared.isEmpty():
-        return clean, sums
+        return clean
     # different phrases met in a fingerprint: count them apart
-    again = rows.join(shared.select("fp"), "fp", "left_semi").withColumn("own", F.col("check"))
-    apart = added(again, ["fp", "own"]).where(F.col("n") >= least).select(*names)
-    return clean.unionByName(workspace.keep(apart, "apart")), sums
+    again = rows.where("row is null").join(shared.select("fp"), "fp", "left_semi")
+    apart = again.groupBy("fp", "check").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return clean.unionByName(workspace.keep(apart, "apart"))
 
 
-def materialised(docs: DataFrame, found: DataFrame, n: int) -> DataFrame:
+def materialised(docs: DataFrame, found: DataFrame, pointers: DataFrame, n: int) -> DataFrame:
     """(lang, phrase, a): the frequent phrases, read at their pointers and held against their fingerprints."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,18 +315,17 @@ def materialised(docs: DataFrame, found: DataFrame, n: int) -> DataFrame:
                 lower = text.lower()
                 for x in listed:
                     begin, size = x["at"] >> 31, x["at"] & (1 << 31) - 1
-                    phrases.append(b" ".join(lower[begin : begin + size].replace(b"\t", b" ").split(b" ")))
+                    phrases.append(b" ".join(filter(None, lower[begin : begin + size].replace(b"\t", b" ").split(b" "))))
                     langs.append(lang)
                     counts.append(x["n"])
                     wanted.append((x["fp"], x["check"]))
-            # words are apart by one space each; runs of spaces leave empty parts
-            phrases = [b" ".join(filter(None, x.split(b" "))) for x in phrases]
             verify(langs, phrases, wanted, n)
             columns = [pa.array(langs, pa.string()), pa.array([x.decode() for x in phrases], pa.string()), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "a"])
 
-    pointers = found.groupBy("row").agg(F.collect_list(F.struct("fp", "check", "n", "at")).alias("listed"))
-    held = docs.join(pointers, "row").select("lang", "text", "listed")
+    both = found.join(pointers, ["fp", "check"])
+    listed = both.groupBy("row").agg(F.collect_list(F.struct("fp", "check", "n", "at")).alias("listed"))
+    held = docs.join(listed, "row").select("lang", "text", "listed")
     return held.mapInArrow(read, "lang string, phrase string, a long")
 
 
@@ -323,13 +351,18 @@ def phrases(
     the number of words of each language (lang, n)."""
     row = F.monotonically_increasing_id().alias("row")
     docs = workspace.keep(docs.select(row, F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text")), "numbered")
-    found, bitmap, sums = [], None, None
-    for n in range(1, longest + 1):
-        own, counted = frequent_prints(partials(docs, n, bitmap), least, workspace)
-        sums = sums or counted
-        if n < longest:
-            bitmap = bitmap_of(own)
-        found.append(materialised(docs, own, n).withColumn("words", F.lit(n)))
+    found, bitmap, sums, before = [], None, None, None
+    for n in range(1, longest + 2):
+        rows = partials(docs, n, bitmap, longest).withColumn("own", F.when(F.col("row").isNotNull(), F.col("check")))
+        sent = added(rows, ["fp", "lang", "own"], workspace, least)
+        if before is None:
+            sums = sent.where("lang is not null").select("lang", "n")
+        else:
+            pointers = sent.where("row is not null").select("fp", F.col("low").alias("check"), "row", "at")
+            found.append(materialised(docs, before, pointers, n - 1).withColumn("words", F.lit(n - 1)))
+        if n <= longest:
+            before = counted(rows, sent, least, workspace)
+            bitmap = bitmap_of(before)
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
