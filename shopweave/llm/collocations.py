@@ -99,8 +99,10 @@ def between(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.u
 class Words:
     """The words of a stretch: their places, pieces and languages, and the hashes of n-grams."""
 
-    def __init__(self, data: np.ndarray, seeds: np.ndarray, doc_starts: np.ndarray, base: int = 0):
-        """``seeds``: hash of each document's language; ``base``: the stretch's place in the buffer."""
+    def __init__(self, data: np.ndarray, seeds: np.ndarray, doc_starts: np.ndarray, bits: int, base: int = 0):
+        """``seeds``: hash of each document's language; ``base``: the stretch's place in the buffer; ``bits``
+        of a fingerprint."""
+        self.mask = np.uint64((1 << bits) - 1)
         kind = KIND[data]
         edges = np.diff(np.concatenate([[0], (kind == 0).astype(np.int8), [0]]))
         self.starts, self.ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
@@ -122,7 +124,7 @@ class Words:
             return np.zeros(0, np.uint64)
         found = between(self.hashes[which], first, first + n, WORD_BASES[which]) if n > 1 else self.hashes[which][first]
         found = mixed(found ^ self.seeds[first] + np.uint64(n))
-        return found & np.uint64((1 << PRINT_BITS) - 1) if which == 0 else found
+        return found & self.mask if which == 0 else found
 
 
 class Bitmap:
@@ -153,13 +155,13 @@ def last_true(found: np.ndarray) -> int:
     return int(at[-1]) if len(at) else -1
 
 
-def stretches(data: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
+def stretches(data: np.ndarray, n: int, size: int) -> Iterator[tuple[int, int, int]]:
     """(start, end, fresh): ranges of bytes that hold every n-gram's words whole. An n-gram counts in the
     range in which its last word starts at ``fresh`` or later. Ranges end with a piece; a longer piece
     is cut between words, and the last n - 1 words come again."""
     start = fresh = 0
     while start < len(data):
-        end = start + STRETCH
+        end = start + size
         while end < len(data):
             kind = KIND[data[start:end]]
             cut = last_true(kind == 2) + 1
@@ -170,7 +172,7 @@ def stretches(data: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
             if cut > fresh - start:
                 end = start + cut
                 break
-            end += STRETCH
+            end += size
         end = min(end, len(data))
         yield start, end, fresh
         if end == len(data) or KIND[data[end - 1]] == 2:
@@ -184,17 +186,17 @@ def stretches(data: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
 class Sums:
     """A task's counts, or pointers, by fingerprint and check; a bounded number is held."""
 
-    def __init__(self, names: list[str]):
-        self.names, self.parts, self.held = names, [], 0
+    def __init__(self, names: list[str], most: int):
+        self.names, self.most, self.parts, self.held = names, most, [], 0
 
     def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(columns[0]):
             self.parts.append(added_up([list(columns)]))
             self.held += len(self.parts[-1][0])
-            if self.held > HELD:
+            if self.held > self.most:
                 self.parts = [added_up(self.parts)]
                 self.held = len(self.parts[0][0])
-                if self.held > HELD // 2:
+                if self.held > self.most // 2:
                     yield from self.rows()
 
     def rows(self) -> Iterator[pa.RecordBatch]:
@@ -236,8 +238,10 @@ def partials(docs: DataFrame, n: int, frequent: Bitmap | None = None, longest: i
     pointers to those parts; and (n, lang) the words of each language. Beyond ``longest`` only pointers.
     ``docs``: row, lang, text."""
 
+    stretch, held, bits = STRETCH, HELD, PRINT_BITS
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, pointers = Sums(["fp", "check", "n"]), Sums(["fp", "check", "row", "at"])
+        counts, pointers = Sums(["fp", "check", "n"], held), Sums(["fp", "check", "row", "at"], held)
         totals: dict[str, int] = {}
         for batch in batches:
             texts, langs = raw(batch.column(2)), strings(batch.column(1))
@@ -246,8 +250,8 @@ def partials(docs: DataFrame, n: int, frequent: Bitmap | None = None, longest: i
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             doc_starts = np.cumsum(sizes + 1) - sizes - 1
             seeds = np.array([xxhash.xxh64_intdigest(x) for x in langs], np.uint64)
-            for start, end, fresh in stretches(data, n):
-                words = Words(data[start:end], seeds, doc_starts, start)
+            for start, end, fresh in stretches(data, n, stretch):
+                words = Words(data[start:end], seeds, doc_starts, bits, start)
                 if n == 1:
                     for doc, count in zip(*np.unique(words.doc, return_counts=True), strict=True):
                         totals[langs[doc]] = totals.get(langs[doc], 0) + int(count)
@@ -307,6 +311,7 @@ def counted(rows: DataFrame, found: DataFrame, least: int, workspace: Workspace)
 
 def materialised(docs: DataFrame, found: DataFrame, pointers: DataFrame, n: int) -> DataFrame:
     """(lang, phrase, a): the frequent phrases, read at their pointers and held against their fingerprints."""
+    bits = PRINT_BITS
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,7 +324,7 @@ def materialised(docs: DataFrame, found: DataFrame, pointers: DataFrame, n: int)
                     langs.append(lang)
                     counts.append(x["n"])
                     wanted.append((x["fp"], x["check"]))
-            verify(langs, phrases, wanted, n)
+            verify(langs, phrases, wanted, n, bits)
             columns = [pa.array(langs, pa.string()), pa.array([x.decode() for x in phrases], pa.string()), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "a"])
 
@@ -329,14 +334,14 @@ def materialised(docs: DataFrame, found: DataFrame, pointers: DataFrame, n: int)
     return held.mapInArrow(read, "lang string, phrase string, a long")
 
 
-def verify(langs: list[str], phrases: list[bytes], wanted: list[tuple[int, int]], n: int) -> None:
+def verify(langs: list[str], phrases: list[bytes], wanted: list[tuple[int, int]], n: int, bits: int) -> None:
     """Raise unless each phrase has n words and its fingerprint and check."""
     if not phrases:
         return
     sizes = np.fromiter(map(len, phrases), np.int64, len(phrases))
     starts = np.cumsum(sizes + 1) - sizes - 1
     seeds = np.array([xxhash.xxh64_intdigest(x) for x in langs], np.uint64)
-    words = Words(np.frombuffer(b"\n".join(phrases), np.uint8), seeds, starts)
+    words = Words(np.frombuffer(b"\n".join(phrases), np.uint8), seeds, starts, bits)
     first = words.whole(n)
     own = [words.prints(first, n, k).view(np.int64) for k in (0, 1)]
     expected = np.array(wanted, np.int64).T

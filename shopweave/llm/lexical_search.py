@@ -85,6 +85,8 @@ class Block:
         self.rank[order] = np.arange(len(order), dtype=np.int32)
         weights = [math.floor(1000 * math.log((2 * docs + 2) / (2 * df[t] + 1))) for t in order]
         self.docs, self.length, self.terms = docs, length, len(order)
+        self.most = DOCS, POSTINGS
+        self.leaf = max(LEAF, DOCS * len(order) // CELLS)
         self.items = []
         for counts in items:
             ranks = sorted((int(self.rank[t]), n) for t, n in counts.items() if t in df)
@@ -102,7 +104,7 @@ def parts(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
 class Tree:
     """Documents in the order of their paths, cut into leaves, with the nodes above."""
 
-    def __init__(self, m: np.ndarray, counts: np.ndarray, ranks: np.ndarray, tfs: np.ndarray, terms: int):
+    def __init__(self, m: np.ndarray, counts: np.ndarray, ranks: np.ndarray, tfs: np.ndarray, terms: int, leaf: int):
         owner = np.repeat(np.arange(len(m)), counts)
         by = np.lexsort((ranks, owner))
         ranks, tfs = ranks[by], tfs[by]
@@ -118,7 +120,7 @@ class Tree:
         moved = np.argsort(new[owner], kind="stable")
         self.ranks, self.tfs, self.owner = ranks[moved], tfs[moved], new[owner][moved]
         self.starts = np.concatenate([[0], np.cumsum(counts[self.order])])
-        self.leaf = max(LEAF, DOCS * terms // CELLS)
+        self.leaf = leaf
         self.span: list[tuple[int, int]] = []
         self.children: list[list[int]] = []
         self.grow(0, len(m), 0)
@@ -212,7 +214,7 @@ def search_vectors(vectors: DataFrame, block: Block, top: int) -> DataFrame:
     """(item, key, score): each task's best documents for every item of the block."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = [Best(top) for _ in block.items]
+        best, (docs, postings) = [Best(top) for _ in block.items], block.most
         slot = np.full(block.terms, -1, np.int64)
         kind = None
         for batch in batches:
@@ -225,9 +227,9 @@ def search_vectors(vectors: DataFrame, block: Block, top: int) -> DataFrame:
             start = 0
             while start < len(keys):
                 begun = ends[start] - counts[start]
-                end = int(min(start + DOCS, max(start + 1, np.searchsorted(ends, begun + POSTINGS))))
+                end = int(min(start + docs, max(start + 1, np.searchsorted(ends, begun + postings))))
                 own = slice(begun, ends[end - 1])
-                tree = Tree(block.m(sizes[start:end]), counts[start:end], terms[own], tfs[own], block.terms)
+                tree = Tree(block.m(sizes[start:end]), counts[start:end], terms[own], tfs[own], block.terms, block.leaf)
                 for (ranks, weights), found in zip(block.items, best, strict=True):
                     if len(ranks):
                         found.keys = keys[start:end]

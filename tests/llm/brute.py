@@ -139,3 +139,76 @@ def article(page):
     blocks = re.split("</?(?:p|h1)>", found[1]) if found else []
     plain = [" ".join(html.unescape(re.sub("</?b>", "", b).replace("<br>", " ")).split()) for b in blocks]
     return "\n".join(b for b in plain if b)
+
+
+def collocations(rows, least=10, cover=50, top=2000):
+    """rows: (lang, text); (lang, rank, phrase, a, l, r, n, score)."""
+    found, sums = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\n-\r]", lower):
+            words = re.findall("[^ \t]+", piece)
+            sums[lang] += len(words)
+            for n in (1, 2, 3):
+                found[lang].update(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+    out = []
+    for lang, counts in found.items():
+        frequent = {p: a for p, a in counts.items() if a >= least and len(p) > 1}
+        around = Counter()
+        for p, a in frequent.items():
+            for n in range(2, len(p)):
+                for i in range(len(p) - n + 1):
+                    around[p[i : i + n]] = max(around[p[i : i + n]], a)
+        ranked = []
+        for p, a in frequent.items():
+            cuts = [(1_000_000 * a * a // (counts[p[:k]] * counts[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            if not around[p] or 100 * around[p] < cover * a:
+                ranked.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(ranked)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, sums[lang], -score))
+    return sorted(out)
+
+
+TERM = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def search(docs, items, top=20):
+    """docs, items: (key, text); (item, rank, key, score)."""
+    docs = [(k, Counter(terms(t))) for k, t in docs]
+    docs = [(k, c) for k, c in docs if c]
+    total, df = sum(sum(c.values()) for _, c in docs), Counter(t for _, c in docs for t in c)
+    out = []
+    for item, text in items:
+        wanted = Counter(t for t in terms(text) if t in df)
+        scores = []
+        for key, counts in docs:
+            m = 75 + 25 * sum(counts.values()) * len(docs) // total
+            score = 0
+            for t, times in wanted.items():
+                weight = math.floor(1000 * math.log((2 * len(docs) + 2) / (2 * df[t] + 1)))
+                score += times * weight * (1_000_000_000 * counts[t] // (1000 * counts[t] + 12 * m))
+            if score > 0:
+                scores.append((-score, key is None, key or 0, key))
+        out += [(item, rank, x[3], -x[0]) for rank, x in enumerate(sorted(scores)[:top], 1)]
+    return out
+
+
+def chat(rows):
+    """rows: (conversation, turn, role, text); conversation: (turns, their digest, loss characters, digest)."""
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        turns[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    out = {}
+    for conv, own in turns.items():
+        own.sort(key=lambda x: x[:2])
+        said = "".join(f"{role}\n{text}\n" for _, _, role, text in own)
+        learned = "".join(text for _, _, role, text in own if role == "assistant")
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (said, learned)]
+        out[conv] = len(own), digests[0], len(learned), digests[1]
+    return out

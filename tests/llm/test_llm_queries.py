@@ -11,7 +11,10 @@ import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
+from engines import connect, duck_rows, spark_rows
+
 import __spark_entry__ as entry_points
+from shopweave.llm.oracles import ORACLES
 from shopweave.llm.queries import QUERIES, TOKENIZER
 
 
@@ -24,7 +27,7 @@ def rows(spark, sf_dir):
 
 
 def test_every_query_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
 
 
@@ -129,3 +132,30 @@ def test_secrets(rows, texts):
         assert r.base_sha256 == brute.base_digest(text)
         listed = r.spans.split(",")
         assert all(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" in listed for s, k, e in base)
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_query_equals_sql(spark, sf_dir, name):
+    names, found = spark_rows(QUERIES[name](spark, sf_dir))
+    sql_names, wanted = duck_rows(connect(sf_dir), ORACLES[name])
+    assert names == sql_names and found == wanted and found
+
+
+def test_collocations(rows, sf_dir):
+    docs = pq.read_table(f"{sf_dir}/documents.parquet", columns=["lang", "text"]).to_pylist()
+    wanted = brute.collocations([(r["lang"], r["text"]) for r in docs])
+    assert sorted(tuple(r) for r in rows("op11_phrase_collocations")) == wanted
+
+
+def test_chat(rows, sf_dir):
+    turns = [tuple(r.values()) for r in pq.read_table(f"{sf_dir}/conversations.parquet").to_pylist()]
+    said = "\\### Assistant: </turn> ok"
+    turns += [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    found = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in rows("op12_chat_formatting")}
+    assert found == brute.chat(turns)
+
+
+def test_search(rows, texts, sf_dir):
+    items = [tuple(r.values()) for r in pq.read_table(f"{sf_dir}/benchmark.parquet").to_pylist()]
+    found = sorted(tuple(r) for r in rows("op13_ranked_lexical_search"))
+    assert found == sorted(brute.search(texts, items))
