@@ -879,6 +879,9 @@ def profile(name: str, orders: str) -> str:
     return step(name, **parts, total=f"SELECT count(*) FROM {orders}")
 
 
+#: The status that the last line of an order gives.
+LAST_LINE = "CASE s.post_status WHEN 'wc-on-hold' THEN 'wc-completed' ELSE s.post_status END"
+
 STATEMENTS |= {
     "job_migrate_orders_steps": (
         step(
@@ -936,6 +939,27 @@ STATEMENTS |= {
             **MIGRATED,
         },
     ),
+    "rejected_status_lines": (
+        f"SELECT '#' || id AS line, 'not two fields' AS reason FROM {ORDERS} WHERE post_status = 'wc-failed' UNION ALL "
+        f"SELECT concat_ws(chr(9), id, post_status, 'more'), 'not two fields' FROM {ORDERS} WHERE post_status = 'wc-cancelled'"
+    ),
+    "sync_statuses_last_line": synced(LAST_LINE),
+    "job_sync_file": " UNION ALL ".join(
+        [
+            step(
+                "feed",
+                accepted=f"SELECT count(*) + count(*) FILTER (WHERE post_status = 'wc-on-hold') FROM {ORDERS}",
+                rejected=f"SELECT count(*) FROM {ORDERS} WHERE post_status IN ('wc-failed', 'wc-cancelled')",
+            ),
+            profile("destination before", DST_ORDERS),
+            profile("destination after", f"(FROM ({synced(LAST_LINE)}) WHERE post_type = 'shop_order') AS a"),
+            step(
+                "orders",
+                found=f"SELECT count(*) FROM {DST_ORDERS} WHERE id IN {ORDER_IDS}",
+                not_found=f"SELECT count(*) FROM {DST_ORDERS} WHERE id NOT IN {ORDER_IDS}",
+            ),
+        ]
+    ),
     "job_convert_wide_live_tables": STATEMENTS["job_convert_wide_tables"],
 }
 

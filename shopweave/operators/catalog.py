@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
@@ -142,6 +142,43 @@ def catalog_count(posts: DataFrame, postmeta: DataFrame, in_stock: bool = False)
     return counted(exportable_products(products, postmeta, in_stock))
 
 
+def _described(products: DataFrame, postmeta: DataFrame, named: DataFrame, domain: str, *more: str) -> DataFrame:
+    """The catalogue columns of products with an image path, and further columns of theirs."""
+    values = pivot_first(
+        postmeta, {"own_price": PRICE_KEY, "regular_price": REGULAR_PRICE_KEY, "own_sku": SKU_KEY}
+    ).withColumnRenamed("post_id", "id")
+    return (
+        products.join(values, "id", "left")
+        .join(_term_summary(named), "id", "left")
+        .select(
+            F.col("id").alias("product_id"),
+            clean_text(F.col("post_title")).alias("post_title"),
+            F.col("post_name").alias("slug"),
+            clean_text(F.col("post_excerpt")).alias("short_description"),
+            clean_text(F.col("post_content")).alias("description"),
+            image_url(domain, F.col("image_path")).alias("image_url"),
+            price_fallback(F.col("own_price"), F.col("regular_price")).alias("price"),
+            F.coalesce("own_sku", F.lit("")).alias("sku"),
+            F.coalesce("category", F.lit(DEFAULT_CATEGORY)).alias("category"),
+            product_type(F.col("has_buynow"), F.col("has_30days")).alias("product_type"),
+            F.coalesce("tags", F.lit("")).alias("tags"),
+            *more,
+        )
+    )
+
+
+def _with_texts(posts: DataFrame) -> DataFrame:
+    return published_products(posts).select(
+        "id", "post_title", "post_name", "post_excerpt", "post_content", "post_date"
+    )
+
+
+def catalog_keys(posts: DataFrame, postmeta: DataFrame, in_stock: bool = False) -> DataFrame:
+    """(id, post_date, image_path) of every row of the catalogue: what its order depends on, no texts."""
+    products = published_products(posts).select("id", "post_date")
+    return exportable_products(products, postmeta, in_stock)
+
+
 def catalog_rows(
     posts: DataFrame,
     postmeta: DataFrame,
@@ -157,13 +194,11 @@ def catalog_rows(
     products are chosen from narrow rows first, and the rest is read for those only; with a workspace
     the choice is written, so that it isn't made again for each use.
     """
-    products = published_products(posts).select(
-        "id", "post_title", "post_name", "post_excerpt", "post_content", "post_date"
-    )
+    products = _with_texts(posts)
     if limit is None:
         chosen = exportable_products(products, postmeta, in_stock)
     else:
-        dated = exportable_products(products.select("id", "post_date"), postmeta, in_stock)
+        dated = catalog_keys(posts, postmeta, in_stock)
         newest = dated.orderBy(F.desc("post_date"), "id", "image_path").limit(limit)
         if workspace is not None:
             newest = workspace.keep(newest, "newest")
@@ -171,27 +206,7 @@ def catalog_rows(
         ids = newest.select("id").distinct()
         postmeta = postmeta.join(ids.withColumnRenamed("id", "post_id"), "post_id", "left_semi")
         named = named.join(ids.withColumnRenamed("id", "object_id"), "object_id", "left_semi")
-    values = pivot_first(
-        postmeta, {"own_price": PRICE_KEY, "regular_price": REGULAR_PRICE_KEY, "own_sku": SKU_KEY}
-    ).withColumnRenamed("post_id", "id")
-    return (
-        chosen.join(values, "id", "left")
-        .join(_term_summary(named), "id", "left")
-        .select(
-            F.col("id").alias("product_id"),
-            clean_text(F.col("post_title")).alias("post_title"),
-            F.col("post_name").alias("slug"),
-            clean_text(F.col("post_excerpt")).alias("short_description"),
-            clean_text(F.col("post_content")).alias("description"),
-            image_url(domain, F.col("image_path")).alias("image_url"),
-            price_fallback(F.col("own_price"), F.col("regular_price")).alias("price"),
-            F.coalesce("own_sku", F.lit("")).alias("sku"),
-            F.coalesce("category", F.lit(DEFAULT_CATEGORY)).alias("category"),
-            product_type(F.col("has_buynow"), F.col("has_30days")).alias("product_type"),
-            F.coalesce("tags", F.lit("")).alias("tags"),
-            "post_date",
-        )
-    )
+    return _described(chosen, postmeta, named, domain, "post_date")
 
 
 def product_catalog(
@@ -224,8 +239,31 @@ def latest_products(
     return rows.orderBy(*newest_first()).select(*CATALOG_COLUMNS)
 
 
+def _batch(size: int) -> Column:
+    return F.call_function("div", F.col("position") - 1, F.lit(size)) + 1
+
+
 def catalog_batches(rows: DataFrame, workspace, size: int = CATALOG_BATCH) -> DataFrame:
     """``rows`` with their 1-based ``batch`` of at most ``size`` products, newest first."""
     placed = numbered(rows, newest_first(), workspace)
-    batch = F.call_function("div", F.col("position") - 1, F.lit(size)) + 1
-    return placed.withColumn("batch", batch).drop("position")
+    return placed.withColumn("batch", _batch(size)).drop("position")
+
+
+def catalog_pages(
+    posts: DataFrame,
+    postmeta: DataFrame,
+    named: DataFrame,
+    domain: str,
+    workspace: Workspace,
+    size: int = CATALOG_BATCH,
+    in_stock: bool = False,
+) -> DataFrame:
+    """The whole catalogue with ``post_date`` and the same batches.
+
+    Positions are counted on narrow rows, which are sorted and written; they meet the texts by product id
+    afterwards, so the texts are shuffled once and never sorted.
+    """
+    order = [F.desc("post_date"), F.col("id"), F.col("image_path")]
+    placed = numbered(catalog_keys(posts, postmeta, in_stock), order, workspace)
+    paged = placed.select("id", "image_path", _batch(size).alias("batch"))
+    return _described(_with_texts(posts).join(paged, "id"), postmeta, named, domain, "post_date", "batch")

@@ -124,9 +124,21 @@ def orders_by_id(posts: DataFrame) -> DataFrame:
     return orders_only(posts).select("id", F.col("post_status").alias("status")).orderBy("id")
 
 
+#: Columns by which the lines of a feed are ordered, where it has them.
+LINE_ORDER = ["file", "block", "place"]
+
+
 def _feed(feed: DataFrame) -> DataFrame:
-    """One status per id, so that the joins below cannot multiply orders."""
-    return feed.groupBy("id").agg(F.max(F.coalesce("status", F.lit(""))).alias("feed_status"))
+    """One status per id, so that the joins below cannot multiply orders.
+
+    Of a feed that knows the order of its lines the last line of an id counts, as one update after
+    another would have it; else the largest status does.
+    """
+    status = F.coalesce("status", F.lit(""))
+    if set(LINE_ORDER) <= set(feed.columns):
+        last = F.max(F.struct(*LINE_ORDER, status.alias("status")))
+        return feed.groupBy("id").agg(last.alias("last")).select("id", F.col("last.status").alias("feed_status"))
+    return feed.groupBy("id").agg(F.max(status).alias("feed_status"))
 
 
 def sync_statuses_exact(

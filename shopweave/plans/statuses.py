@@ -32,7 +32,13 @@ from ..operators.statuses import (
     sync_statuses_wide,
 )
 from ..session import Workspace
-from ..sources.files import read_status_tsv, write_status_rows
+from ..sources.files import (
+    accepted_lines,
+    read_status_lines,
+    read_status_tsv,
+    rejected_lines,
+    write_status_rows,
+)
 from .steps import Steps
 from .store import Store
 
@@ -112,6 +118,32 @@ def job_sync_exact(
     destination before and after, come from the writes of the feed and of the posts.
     """
     feed = status_feed(spark, src, workspace, steps)
+    return _synced(dst, feed, now, workspace, steps)
+
+
+def job_sync_file(
+    spark: SparkSession,
+    dst: Store,
+    path: str,
+    now: datetime,
+    workspace: Workspace,
+    header: bool = False,
+    steps: Steps | None = None,
+) -> tuple[Store, DataFrame]:
+    """Destination orders take the statuses of a feed that came from outside, the last line of an order
+    counting. The lines are read and written once; those that can't be used are returned, and ``steps``
+    gets how many there were of both kinds."""
+    steps = steps or Steps()
+    kinds = {"accepted": F.count_if(F.col("reason").isNull()), "rejected": F.count("reason")}
+    lines = workspace.keep(steps.watch("feed", read_status_lines(spark, path, header), kinds), "feed")
+    after, _ = _synced(dst, accepted_lines(lines), now, workspace, steps)
+    return after, rejected_lines(lines)
+
+
+def _synced(
+    dst: Store, feed: DataFrame, now: datetime, workspace: Workspace, steps: Steps | None
+) -> tuple[Store, DataFrame]:
+    """The destination with the statuses of a feed, and its new status distribution."""
 
     def watch(orders: DataFrame) -> DataFrame:
         before, found = F.col("post_status"), F.col("feed_status")
