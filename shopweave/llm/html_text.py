@@ -1,16 +1,20 @@
 """Main text of web pages, by wrappers inferred from the pages of the same host.
 
-A wrapper is a union-free regular expression over a page's tokens: tags of block elements, text
-slots, and groups that may be absent or repeated. A page's stream is folded first, so that tandem
-repeats are repeated groups; then streams are aligned one after another with the host's wrapper so
-far: different texts at one place leave a slot without text, tokens that only one side has become an
-optional group, and a group meets its repeated self. A slot's text counts the pages that agree on it. Tasks infer wrappers of their own pages, whose
-number per host is that of the tasks at most; equal ones fall together and the rest are aligned in
-two rounds, so that a host with a third of all pages is no single task.
-
-The host's wrapper tells which containers hold its articles, and which texts are the template's. A
-page is then read token by token; text of the article that is not in menus, forms, notices and the
-like is kept whole. Pages are never cut. Null and empty pages have no text; a null url is host ''.
+A page is read into a stream of its containers: tags of elements that hold blocks, and between them text
+slots, each with a checksum of its text and its number of characters out of links. A wrapper is a
+union-free regular expression over such streams: tags, slots, and groups that may be absent or repeated.
+A page's stream is folded first, so that tandem repeats are repeated groups; then streams are aligned one
+after another with the host's wrapper so far: different texts at one place leave a slot without text,
+tokens that only one side has become an optional group, and a group meets its repeated self. A slot counts
+the pages that agree on its text, and adds up the characters of all. Tasks infer wrappers of their own
+pages, whose number per host is that of the tasks at most; equal ones fall together and the rest are
+aligned in two rounds, so that a host with a third of all pages is no single task.
+
+The wrapper decides what the article is: the element around most of the text that differs from page to
+page. A page is aligned with its host's wrapper, and the blocks between the places where that element
+begins and ends are its text, but for menus, forms, notices and the like inside. Hosts with too few
+different pages, and pages that don't match, go by their own elements and names instead. Pages are never
+cut. Null and empty pages have no text; a null url is host ''.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,10 +43,10 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?""")
-PART = re.compile(r"[a-z]+")
 
 # Kinds of elements of HTML, and names by which pages call what is no article.
-RAW = frozenset("script style noscript template textarea title iframe object svg math canvas audio video".split())
+RAW = frozenset("script style noscript textarea title iframe".split())
+MARKUP = frozenset("template object svg math canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
@@ -59,14 +64,24 @@ NO_TEXT_NAMES = frozenset(
     "subscribe subscription share sharing social related recommended recommendations comment comments disqus respond replies "
     "footer masthead widget widgets toolbar pagination pager login signup search copyright hidden".split()
 )
+NEUTRAL_NAMES = frozenset(
+    "site page box bar block list wrap wrapper container area section top bottom left right item items link links inner "
+    "outer global main".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-TEXT_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p li td th dd dt blockquote pre figcaption".split())
+PARAGRAPHS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
+TEXT_BLOCKS = PARAGRAPHS | frozenset("li td th dd dt figcaption".split())
 
 #: Most tokens in a repeated group that folding looks for, and items of two wrappers that are compared all
 #: with all; longer ones are cut at tokens that both have once.
 GROUP, LONGEST = 12, 400
-#: Different pages that must agree for a text to be the template's.
+#: Different pages that must agree for a text to be the template's, or that a wrapper needs to decide.
 AGREE = 3
+#: Shares, in per cent: of an element's varying text that an inner one must hold to be the article in its
+#: place, and that the rest may hold at most.
+INNER, OUTER = 60, 15
+#: Page shapes whose place in a wrapper a task remembers.
+SHAPES = 10_000
 #: Wrappers of a host are aligned in this many shares first.
 SHARES = 32
 
@@ -81,28 +96,38 @@ def label_of(tag: str, own: dict[str, str]) -> str:
     return ".".join([tag, *(f"role={own['role']}" for _ in [0] if "role" in own), *names])
 
 
+def names_other(name: str) -> bool:
+    """Whether a whole class or id means no article text: all of its parts must, or be neutral."""
+    parts = set(re.split("[-_]+", name)) - {""}
+    return not NO_TEXT_NAMES.isdisjoint(parts) and parts <= NO_TEXT_NAMES | NEUTRAL_NAMES
+
+
 def is_other(tag: str, own: dict[str, str], in_article: bool) -> bool:
-    """Whether an element holds no article text."""
+    """Whether an element holds no article text: by its tag, its role, or a whole name that it has."""
     if tag in NO_TEXT or tag == "header" and not in_article:
         return True
     if not own:
         return False
-    names = set(PART.findall(f"{own.get('id', '')} {own.get('class', '')}".lower()))
+    names = f"{own.get('id', '')} {own.get('class', '')}".lower().split()
     hidden = "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "")
-    return bool(names & NO_TEXT_NAMES) and tag not in ("html", "body", "article", "main") or own.get("role") in ROLES or hidden
+    other = tag not in ("html", "body", "article", "main") and any(map(names_other, names))
+    return other or own.get("role") in ROLES or hidden
 
 
 class Page:
     """A page's blocks and its stream of tokens.
 
-    ``blocks``: (text, path, innermost block, whether it may be article text, characters in links).
-    ``stream``: '<label', '>label' and '#checksum' of blocks' texts.
+    ``blocks``: (text, path, innermost block, where the innermost element around it that holds no article
+    text begins, or -1, characters in links, token).
+    ``stream``: '<label' and '>label' of containers, and text slots.
     """
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, str, str, bool, int]] = []
+        self.blocks: list[tuple[str, str, str, int, int, int]] = []
         self.stream: list[str] = []
-        self.open: list[tuple[str, str, bool]] = []  # tag, label, no article text
+        self.slot: list[int] | None = None  # checksum and characters of the slot at the stream's end
+        self.open: list[tuple[str, str, int]] = []  # tag, label, its place if it holds no article text
+        self.kind = "t"
         self.text: list[str] = []
         self.linked = self.links = 0
         at, size = 0, len(source)
@@ -115,14 +140,22 @@ class Page:
             tag = (found[2] or "").lower()
             if not tag:
                 continue
+            closed = found[3].rstrip().endswith("/")
             if tag in RAW and not found[1]:
+                # without an end tag the rest is the element's, as in HTML
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(source, at)
                 at = end.end() if end else size
+            elif tag in MARKUP:
+                # markup of another kind is left out up to its own end; one that is never closed is passed over
+                if not found[1] and not closed and (end := skipped(source, at, tag)):
+                    at = end
             elif found[1]:
                 self.close(tag)
             else:
                 self.start(tag, attributes(found[3]))
         self.flush()
+        while self.open:
+            self.pop()
 
     def add(self, text: str) -> None:
         if text:
@@ -132,10 +165,21 @@ class Page:
     def flush(self) -> None:
         text = " ".join(html.unescape("".join(self.text)).split())
         if text:
+            if self.slot is None:
+                self.slot = [0, 0]
+                self.kind = "t"
+                self.stream.append("")
             path = "/".join(label for _, label, _ in self.open)
             tag = self.open[-1][0] if self.open else ""
-            self.blocks.append((text, path, tag, not any(x[2] for x in self.open), self.linked))
-            self.stream.append(f"#{zlib.crc32(text.encode('utf-8', 'replace')):08x}")
+            self.slot[0] = zlib.crc32(text.encode("utf-8", "replace"), self.slot[0])
+            self.slot[1] += max(0, len(text) - 2 * self.linked)
+            if tag in PARAGRAPHS:
+                self.kind = "p"
+            elif tag in TEXT_BLOCKS and self.kind == "t":
+                self.kind = "l"
+            self.stream[-1] = slot_of(self.kind, f"{self.slot[0]:08x}", 1, self.slot[1])
+            other = max((x[2] for x in self.open), default=-1)
+            self.blocks.append((text, path, tag, other, self.linked, len(self.stream) - 1))
         self.text, self.linked = [], 0
 
     def start(self, tag: str, own: dict[str, str]) -> None:
@@ -154,11 +198,16 @@ class Page:
             self.pop()
         label = label_of(tag, own)
         article = any(x[0] in ("article", "main") for x in self.open)
-        self.open.append((tag, label, is_other(tag, own, article)))
-        self.stream.append(f"<{label}")
+        self.open.append((tag, label, len(self.stream) if is_other(tag, own, article) else -1))
+        if tag not in TEXT_BLOCKS:
+            self.stream.append(f"<{label}")
+            self.slot = None
 
     def pop(self) -> None:
-        self.stream.append(f">{self.open.pop()[1]}")
+        tag, label, _ = self.open.pop()
+        if tag not in TEXT_BLOCKS:
+            self.stream.append(f">{label}")
+            self.slot = None
 
     def close(self, tag: str) -> None:
         if tag in INLINE:
@@ -171,28 +220,55 @@ class Page:
             self.pop()
 
 
+def skipped(source: str, at: int, tag: str) -> int:
+    """Where an element that began before ``at`` ends, inner ones of its kind counted; 0 if nowhere."""
+    depth = 1
+    for found in re.compile(rf"<(/?){re.escape(tag)}\b((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.IGNORECASE).finditer(source, at):
+        if found[1]:
+            depth -= 1
+        elif not found[2].rstrip().endswith("/"):
+            depth += 1
+        if not depth:
+            return found.end()
+    return 0
+
+
 # A wrapper is a list of tokens and of groups (least, most, items): least 0 if it may be absent, most 2
-# if it may be repeated. A text slot is '#', or '#checksum' with '*' and the number of pages that agree, if
-# more than one.
+# if it may be repeated. A text slot is '#kind checksum*pages~characters', without a checksum if texts differ;
+# pages are those that agree on the text. Kinds: p for paragraphs and headings, l for items and cells alone, t for
+# text right in the container.
+
 
+def slot_of(kind: str, checksum: str, pages: int, size: int) -> str:
+    return f"#{kind}{checksum}*{pages}~{size}"
 
-def agreed(slot: str) -> int:
-    """Pages that have a slot's text."""
-    return int(slot[10:] or 1) if len(slot) > 1 else 0
+
+def slot_parts(slot: str) -> tuple[str, int, int]:
+    checksum, _, rest = slot[2:].partition("*")
+    pages, _, size = rest.partition("~")
+    return checksum, int(pages), int(size)
 
 
 def scaled(items, times: int) -> list:
     """A wrapper that stands for ``times`` equal ones."""
     if times == 1:
         return list(items)
-    one = lambda x: f"{x[:9]}*{agreed(x) * times}" if x[0] == "#" and len(x) > 1 else x
-    return [one(x) if isinstance(x, str) else (x[0], x[1], tuple(scaled(x[2], times))) for x in items]
+
+    def one(x):
+        if not isinstance(x, str):
+            return x[0], x[1], tuple(scaled(x[2], times))
+        if x[0] != "#":
+            return x
+        checksum, pages, size = slot_parts(x)
+        return slot_of(x[1], checksum, pages * times, size * times)
+
+    return list(map(one, items))
 
 
 def same(a, b) -> bool:
     """Equal but for the texts of slots."""
     if isinstance(a, str) or isinstance(b, str):
-        return a == b or isinstance(a, str) and isinstance(b, str) and a[0] == b[0] == "#"
+        return a == b or isinstance(a, str) and isinstance(b, str) and a[0] == "#" and a[:2] == b[:2]
     return len(a[2]) == len(b[2]) and all(map(same, a[2], b[2]))
 
 
@@ -201,12 +277,26 @@ def joined(a, b):
     if isinstance(a, str):
         if a[0] != "#":
             return a
-        return f"{a[:9]}*{agreed(a) + agreed(b)}" if len(a) > 1 and a[:9] == b[:9] else "#"
+        (one, own, size), (other, more, added) = slot_parts(a), slot_parts(b)
+        agree = one and one == other
+        return slot_of(a[1], one if agree else "", own + more if agree else 0, size + added)
     return min(a[0], b[0]), max(a[1], b[1]), tuple(map(joined, a[2], b[2]))
 
 
-def fold(items: list) -> list:
-    """Tandem repeats as repeated groups, the shortest first."""
+def balanced(items) -> bool:
+    """Whether all elements that begin among the items end there, and no others do."""
+    depth = 0
+    for x in items:
+        if isinstance(x, str) and x[0] in "<>":
+            depth += 1 if x[0] == "<" else -1
+            if depth < 0:
+                return False
+    return depth == 0
+
+
+def fold(items: list, spans: list[tuple[int, int]] | None = None) -> list:
+    """Tandem repeats as repeated groups, the shortest first. ``spans`` of the items, if given, are joined
+    as they are."""
     items = list(items)
     for size in range(1, GROUP + 1):
         at = 0
@@ -217,26 +307,33 @@ def fold(items: list) -> list:
             else:
                 unit, after = tuple(items[at : at + size]), at + size
             more = items[after : after + size]
-            if len(more) == size and all(map(same, unit, more)) and not (size == 1 and unit[0][0] == "#"):
+            if len(more) == size and all(map(same, unit, more)) and balanced(unit) and not (size == 1 and unit[0][0] == "#"):
                 least = group[0] if after == at + 1 and not isinstance(group, str) else 1
                 items[at : after + size] = [(least, 2, tuple(map(joined, unit, more)))]
+                if spans is not None:
+                    spans[at : after + size] = [(spans[at][0], spans[after + size - 1][1])]
             else:
                 at += 1
     return items
 
 
+#: What it costs to leave a slot unmatched; a tag costs 1. Paragraphs are what pages of a host share most surely.
+SLOT_WEIGHTS = {"p": 6, "l": 2, "t": 2}
+
+
 def weight(item) -> int:
-    return 1 if isinstance(item, str) else sum(map(weight, item[2]))
+    if not isinstance(item, str):
+        return sum(map(weight, item[2]))
+    return SLOT_WEIGHTS[item[1]] if item[0] == "#" else 1
 
 
 def anchors(a: list, b: list) -> list[tuple[int, int]]:
     """Places of tokens that both sides have once, as many as stand in the same order."""
 
     def once(items: list) -> dict[str, int]:
-        keys = [x[:9] if x[0] == "#" else x for x in items if isinstance(x, str) and x != "#"]
-        counts = Counter(keys)
-        places = {(x[:9] if x[0] == "#" else x): i for i, x in enumerate(items) if isinstance(x, str)}
-        return {k: places[k] for k, n in counts.items() if n == 1}
+        places = {x.partition("*")[0]: i for i, x in enumerate(items) if isinstance(x, str)}
+        counts = Counter(x.partition("*")[0] for x in items if isinstance(x, str))
+        return {k: places[k] for k, n in counts.items() if n == 1 and (k[0] != "#" or len(k) > 2)}
 
     left, right = once(a), once(b)
     pairs = sorted((i, right[k]) for k, i in left.items() if k in right)
@@ -314,12 +411,12 @@ def align(a: list, b: list) -> list:
     while at < len(path):
         x, y = d = path[at]
         if x and y:
-            if x == 1 and not isinstance(a[i], str) and y != 1:
+            if x == y == 1 and same(a[i], b[j]):
+                out.append(joined(a[i], b[j]))
+            elif x == 1 and not isinstance(a[i], str):
                 out.append((a[i][0], a[i][1], tuple(map(joined, a[i][2], b[j : j + y]))))
-            elif x != 1:
-                out.append((b[j][0], b[j][1], tuple(map(joined, b[j][2], a[i : i + x]))))
             else:
-                out.append(joined(a[i], b[j]))
+                out.append((b[j][0], b[j][1], tuple(map(joined, b[j][2], a[i : i + x]))))
             i, j, at = i + x, j + y, at + 1
             continue
         run = []
@@ -336,54 +433,131 @@ def frozen(items) -> list:
     return [x if isinstance(x, str) else (x[0], x[1], tuple(frozen(x[2]))) for x in items]
 
 
-def slots(items: list, path: list[str]) -> Iterator[tuple[str, str]]:
-    """(path, checksum or '') of a wrapper's text slots; texts in groups that repeat have none."""
+def flat(items) -> list:
+    """A wrapper's items with groups that are not repeated opened: each of their tokens may be absent."""
+    out = []
     for x in items:
-        if not isinstance(x, str):
-            yield from ((p, c if x[1] == 1 else "") for p, c in slots(list(x[2]), path))
-        elif x[0] == "<":
-            path.append(x[1:])
-        elif x[0] == ">":
-            if x[1:] in path:
-                while path.pop() != x[1:]:
-                    pass
-        else:
-            yield "/".join(path), x[1:]
-
-
-def rules_of(pages: int, wrapper: list) -> dict:
-    """The host's article container and the template's texts by path."""
-    found = list(slots(wrapper, []))
-    tags = {x.split(".")[0] for path, _ in found for x in path.split("/")}
-    mains = [t for t in ("article", "main") if t in tags]
-    varied = {p for p, c in found if not c}
-    fixed = {(p, c[:8]) for p, c in found if agreed(f"#{c}") >= AGREE and p not in varied} if pages >= AGREE else set()
-    return {"main": mains[0] if mains else "", "fixed": sorted(map(list, fixed))}
+        out += [x] if isinstance(x, str) or x[1] == 2 else flat(x[2])
+    return out
 
 
-def main_text(source: str, rules: dict) -> str:
+def varying(item, pages: int) -> int:
+    """Characters of an item's slots that differ between pages."""
+    if not isinstance(item, str):
+        return sum(varying(x, pages) for x in item[2])
+    if item[0] != "#":
+        return 0
+    checksum, agreed, size = slot_parts(item)
+    return 0 if checksum and agreed >= min(AGREE, pages) else size
+
+
+def elements(items: list) -> dict[int, int]:
+    """Where the elements that begin among a flat wrapper's items end."""
+    ends, begun = {}, []
+    for i, x in enumerate(items):
+        if isinstance(x, str) and x[0] == "<":
+            begun.append(i)
+        elif isinstance(x, str) and x[0] == ">":
+            at = next((k for k in reversed(begun) if items[k][1:] == x[1:]), None)
+            if at is not None:
+                while begun.pop() != at:
+                    pass
+                ends[at] = i
+    return ends
+
+
+class Wrapper:
+    """A host's wrapper with the place of its article, and the template's texts."""
+
+    def __init__(self, pages: int, items: list):
+        self.items, self.shapes = flat(items), {}
+        self.fixed = {
+            slot_parts(x)[0] for x in self.items if isinstance(x, str) and x[0] == "#" and slot_parts(x)[0] and not varying(x, pages)
+        } if pages >= AGREE else set()
+        self.article = self.find(pages) if pages >= AGREE else None
+
+    def find(self, pages: int) -> tuple[int, int] | None:
+        """The items between which the article is: from the outermost element inwards, as long as an inner
+        one holds most of the varying text and the rest is little."""
+        sizes = [varying(x, pages) for x in self.items]
+        ends = elements(self.items)
+        other = [i for i in ends if self.items[i][1:].split(".")[0] in NO_TEXT]
+        for i in other:
+            sizes[i : ends[i]] = [0] * (ends[i] - i)
+        if not sum(sizes):
+            return None
+        start, end = -1, len(self.items)
+        while True:
+            inside = sum(sizes[start + 1 : end])
+            inner = [i for i in ends if start < i and ends[i] < end]
+            outer = [i for i in inner if not any(k < i and ends[i] < ends[k] for k in inner)]
+            best = max(outer, key=lambda i: sum(sizes[i : ends[i]]), default=None)
+            if best is None:
+                break
+            own = sum(sizes[best : ends[best]])
+            rest = max([0, *(sum(sizes[i : ends[i]]) for i in outer if i != best)])
+            direct = inside - sum(sum(sizes[i : ends[i]]) for i in outer)
+            tag = self.items[start][1:].split(".")[0] if start >= 0 else ""
+            if tag in ("article", "main") or 100 * own < INNER * inside or 100 * max(rest, direct) > OUTER * inside and tag not in ("", "html", "body"):
+                break
+            start, end = best, ends[best]
+        return (start, end) if start >= 0 else None
+
+    def place(self, stream: list[str]) -> tuple[int, int] | None:
+        """The tokens of a page's stream between which its article is."""
+        if self.article is None:
+            return None
+        shape = tuple(x if x[0] != "#" else x[:2] for x in stream)
+        if shape not in self.shapes:
+            if len(self.shapes) >= SHAPES:
+                self.shapes.clear()
+            self.shapes[shape] = self.aligned(stream)
+        return self.shapes[shape]
+
+    def aligned(self, stream: list[str]) -> tuple[int, int] | None:
+        """The page's innermost element of the article's label around all slots that the alignment puts into
+        the article: which of several equal tags begins it, the alignment alone leaves open."""
+        spans = [(i, i + 1) for i in range(len(stream))]
+        items = fold(stream, spans)
+        start, end = self.article
+        i = j = 0
+        found = []
+        for x, y in path_of(self.items, items):
+            if x and y and start < i and i + x <= end:
+                found += [k for k in range(spans[j][0], spans[j + y - 1][1]) if stream[k][0] == "#"]
+            i, j = i + x, j + y
+        if not found:
+            return None
+        ends = elements(stream)
+        around = [k for k in ends if stream[k] == self.items[start] and k < found[0] and ends[k] > found[-1]]
+        return (max(around), ends[max(around)]) if around else None
+
+
+def main_text(source: str, wrapper: Wrapper | None) -> str:
     """The article's blocks, one to a line."""
     page = Page(source)
-    fixed = {tuple(x) for x in rules.get("fixed", ())}
-    blocks = [x for x in page.blocks if x[3]]
+    place = wrapper.place(page.stream) if wrapper else None
+    if place:  # what is around the article says nothing about it
+        inside = [x for x in page.blocks if place[0] <= x[5] < place[1] and x[3] <= place[0]]
+    else:
+        inside = by_names([x for x in page.blocks if x[3] < 0])
+    fixed = wrapper.fixed if wrapper else set()
+    return "\n".join(x[0] for x in inside if x[2] in TEXT_BLOCKS or slot_parts(page.stream[x[5]])[0] not in fixed)
+
+
+def by_names(blocks: list[tuple]) -> list[tuple]:
+    """Blocks of the page's own article or main element, else of the container that holds most text."""
     tags = {part.split(".")[0] for x in blocks for part in x[1].split("/")}
-    main = next((t for t in (rules.get("main"), "article", "main") if t and t in tags), "")
+    main = next((t for t in ("article", "main") if t in tags), "")
     if main:
-        inside = [x for x in blocks if any(p.split(".")[0] == main for p in x[1].split("/"))]
-    else:  # the container whose blocks have most text out of links
-        mass: dict[str, int] = {}
-        for text, path, tag, _, linked in blocks:
-            parts = path.split("/")
-            top = "/".join(parts[:-1] if tag in TEXT_BLOCKS else parts)
-            mass[top] = mass.get(top, 0) + max(0, len(text) - 2 * linked)
-        top = max(mass, key=lambda p: mass[p], default="")
-        inside = [x for x in blocks if x[1] == top or x[1].startswith(f"{top}/") or not top]
-    kept = [
-        text
-        for text, path, tag, _, _ in inside
-        if tag in TEXT_BLOCKS or (path, f"{zlib.crc32(text.encode('utf-8', 'replace')):08x}") not in fixed
-    ]
-    return "\n".join(kept)
+        return [x for x in blocks if any(p.split(".")[0] == main for p in x[1].split("/"))]
+    mass: dict[str, int] = {}
+    for text, path, tag, _, linked, _ in blocks:
+        parts = path.split("/")
+        top = "/".join(parts[:-1] if tag in TEXT_BLOCKS else parts)
+        mass[top] = mass.get(top, 0) + max(0, len(text) - 2 * linked)
+    top = max(mass, key=lambda p: mass[p], default="")
+    return [x for x in blocks if x[1] == top or x[1].startswith(f"{top}/") or not top]
 
 
 def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,6 +607,8 @@ def wrappers(pages: DataFrame, workspace: Workspace) -> DataFrame:
     each = pages.select("host", "html").mapInArrow(streams, "host string, key binary, stream string")
     # copies of a page count once, wherever they lie
     each = each.groupBy("host", "key").agg(F.first("stream").alias("stream"))
+    # in one order, so that a task's wrapper depends on its pages alone
+    each = each.sortWithinPartitions("host", "key")
     own = each.select("host", "stream").mapInArrow(infer, "host string, pages long, wrapper string")
     own = own.groupBy("host", "wrapper").agg(F.sum("pages").alias("pages"), F.count("*").alias("times"))
     share = F.pmod(F.xxhash64("wrapper"), F.lit(SHARES))
@@ -446,15 +622,15 @@ def wrappers(pages: DataFrame, workspace: Workspace) -> DataFrame:
 
 @F.arrow_udf(StringType())
 def extracted(sources: pa.Array, pages: pa.Array, found: pa.Array) -> pa.Array:
-    known: dict[tuple, dict] = {}
-    out = []
-    for source, count, wrapper in zip(strings(sources), pages.to_pylist(), found.to_pylist(), strict=True):
-        if (key := (count, wrapper)) not in known:
-            known[key] = rules_of(count or 0, frozen(json.loads(wrapper))) if wrapper else {}
-        out.append(main_text(source, known[key]))
+    out = [main_text(*x) for x in zip(strings(sources), map(wrapper_of, pages.to_pylist(), found.to_pylist()), strict=True)]
     return pa.array(out, pa.string())
 
 
+@lru_cache(256)
+def wrapper_of(pages: int | None, wrapper: str | None) -> Wrapper | None:
+    return Wrapper(pages or 0, frozen(json.loads(wrapper))) if wrapper else None
+
+
 def host_of(url: str) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)", 1))
 
