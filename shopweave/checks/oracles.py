@@ -737,6 +737,28 @@ STATEMENTS |= {
 }
 
 
+def differences(key: str, columns: list[str], left: str, right: str) -> str:
+    """Keys of rows that one side lacks, or that are not alike in every column."""
+    unlike = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in columns)
+    return (
+        f"SELECT coalesce(a.{key}, b.{key}) AS {key}, CASE WHEN b.{key} IS NULL THEN 'missing' WHEN a.{key} IS NULL "
+        f"THEN 'extra' ELSE 'changed' END AS difference FROM (SELECT * FROM {left}) AS a FULL JOIN (SELECT * FROM {right}) AS b "
+        f"ON a.{key} = b.{key} WHERE a.{key} IS NULL OR b.{key} IS NULL OR {unlike}"
+    )
+
+
+POST_COLUMNS = [c.split()[0] for c in SCHEMAS["posts"].split(", ")]
+STATEMENTS |= {
+    "order_differences": differences("id", POST_COLUMNS, ORDERS, DST_ORDERS),
+    "usermeta_differences": differences(
+        "umeta_id", ["user_id", "meta_key", "meta_value"], "src_usermeta", "dst_usermeta"
+    ),
+    "import_differences": (
+        f"SELECT id, 'changed' AS difference FROM {ORDERS} WHERE post_status <> {converted('post_status')}"
+    ),
+}
+
+
 # --- what jobs leave behind ------------------------------------------------------------
 
 COLUMNS = {name: [c.split()[0] for c in columns.split(", ")] for name, columns in SCHEMAS.items()}

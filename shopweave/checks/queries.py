@@ -23,7 +23,7 @@ from ..fixed_values import (
     WIDE_TABLE_OPTIONS,
 )
 from ..operators import increment as increments
-from ..operators import catalog, customers, eav, filters, merge, orders, reports, statuses
+from ..operators import catalog, compare, customers, eav, filters, merge, orders, reports, statuses
 from ..operators.counting import count_row, counted
 from ..plans.catalog import job_export_catalog
 from ..plans.customers import job_migrate_customers
@@ -675,6 +675,26 @@ def import_reconciliation(q: Inputs) -> DataFrame:
     return reports.import_reconciliation(q.src.posts, q.dst.posts)
 
 
+@query
+def order_differences(q: Inputs) -> DataFrame:
+    """Orders that differ between the sides, by content."""
+    sides = filters.orders_only(q.src.posts), filters.orders_only(q.dst.posts)
+    return compare.differences(*sides, "id", workspace=q.workspace)
+
+
+@query
+def usermeta_differences(q: Inputs) -> DataFrame:
+    return compare.differences(q.src.usermeta, q.dst.usermeta, "umeta_id", workspace=q.workspace)
+
+
+@query
+def import_differences(q: Inputs) -> DataFrame:
+    """What a replacing import left different: the statuses that it maps, and nothing else."""
+    after, _ = job_migrate_orders(q.src.store(), q.dst.store(), True, q.workspace)
+    sides = filters.orders_only(q.src.posts), filters.orders_only(after.posts)
+    return compare.differences(*sides, "id")
+
+
 @query
 def customer_import_stats(q: Inputs) -> DataFrame:
     missing = q.workspace.keep(q.missing, "missing_customers")

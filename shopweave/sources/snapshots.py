@@ -11,30 +11,16 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.digest import digest_of
 from ..plans.store import Store
 
 MANIFEST = "manifest"
 MANIFEST_COLUMNS = "table_name string, n_rows bigint, digest string, columns string"
 
 
-def _hashable(name: str, kind: str) -> Column:
-    column = F.col(f"`{name}`")
-    return F.to_json(F.struct(column)) if "map<" in kind else column
-
-
-def digest_of(frame: DataFrame) -> Column:
-    """A sum over the rows of a hash of all columns: it doesn't depend on the order of rows."""
-    kinds = sorted((f.name, f.dataType.simpleString()) for f in frame.schema.fields)
-    row = F.xxhash64(*(F.concat_ws("|", F.lit(n)) for n, _ in kinds), *(_hashable(n, k) for n, k in kinds))
-    # a null changes no hash, so nulls are told apart by where they are
-    nulls = F.xxhash64(*(F.col(f"`{n}`").isNull() for n, _ in kinds))
-    total = F.sum(row.cast("decimal(38,0)") + nulls.cast("decimal(38,0)"))
-    return F.coalesce(total, F.lit(0)).cast("string")
-
-
 class Measured:
     """A frame whose rows are counted and digested by whatever writes it."""
 
