@@ -982,6 +982,8 @@ STATEMENTS |= {
             ),
         ]
     ),
+    "job_orders_complete_bucketed": (light("converted_posts", "meta_after"), MIGRATED),
+    "split_shares": "SELECT count(*) AS n_rows, 8 AS shares, true AS even FROM src_postmeta",
     "job_convert_wide_live_tables": STATEMENTS["job_convert_wide_tables"],
 }
 

@@ -59,7 +59,7 @@ from ..sources.files import (
     write_status_tsv,
 )
 from ..sources.snapshots import read_manifest, restore_snapshot, snapshot_tables
-from ..sources.tables import scan_table
+from ..sources.tables import key_predicates, scan_table, split_points
 from .digests import digests
 from .store_frames import DerivedStore, Side, StoredStore
 
@@ -748,6 +748,27 @@ def job_migrate_orders_steps(q: Inputs) -> DataFrame:
     return steps.report(q.spark)
 
 
+@query
+def job_orders_complete_bucketed(q: Inputs) -> DataFrame:
+    """The same job over kept tables in buckets of the post's id."""
+    _, wide = job_orders_complete(q.src.store(), q.dst.store(), True, q.workspace, buckets=8)
+    return q.workspace.keep(wide, "wc_orders")
+
+
+@query
+def split_shares(q: Inputs) -> DataFrame:
+    """Rows of the order metadata by the shares that a parallel scan would read, added up again."""
+    keys = q.src.postmeta.select("meta_id")
+    shares = key_predicates(split_points(keys, "meta_id", 8), "meta_id")
+    share = F.coalesce(*(F.when(F.expr(x), i) for i, x in enumerate(shares)))
+    sizes = keys.groupBy(share.alias("share")).agg(F.count("*").alias("n"))
+    return sizes.agg(
+        F.sum("n").alias("n_rows"),
+        F.count("*").alias("shares"),
+        (F.max("n") * 8 <= F.sum("n") * 1.1).alias("even"),
+    )
+
+
 @query
 def job_fix_statuses_steps(q: Inputs) -> DataFrame:
     steps = Steps()

@@ -52,6 +52,7 @@ def job_migrate_orders(
     replace: bool,
     workspace: Workspace | None = None,
     steps: Steps | None = None,
+    buckets: int = 0,
 ) -> tuple[Store, DataFrame]:
     """The destination with the source's orders, and its table counts.
 
@@ -88,10 +89,13 @@ def job_migrate_orders(
         steps = steps or Steps()
         steps.add("orders", expected=incoming.count)
         arrived = steps.watch("orders", after.posts, {"imported": F.count_if(is_order())})
-        after = after.having(
-            posts=workspace.keep(arrived, "posts"),
-            postmeta=workspace.keep(after.postmeta, "postmeta"),
-        )
+        if buckets:
+            kept_posts = workspace.keep_bucketed(arrived, "posts", "id", buckets)
+            kept_meta = workspace.keep_bucketed(after.postmeta, "postmeta", "post_id", buckets)
+        else:
+            kept_posts = workspace.keep(arrived, "posts")
+            kept_meta = workspace.keep(after.postmeta, "postmeta")
+        after = after.having(posts=kept_posts, postmeta=kept_meta)
     counts = table_counts(after.posts, after.postmeta, after.order_items, after.order_itemmeta)
     return after, counts
 
@@ -118,9 +122,10 @@ def job_orders_complete(
     replace: bool,
     workspace: Workspace | None = None,
     steps: Steps | None = None,
+    buckets: int = 0,
 ) -> tuple[Store, DataFrame]:
     """Orders copied, then the light wide table; that table is the report."""
-    after, _ = job_migrate_orders(src, dst, replace, workspace, steps)
+    after, _ = job_migrate_orders(src, dst, replace, workspace, steps, buckets)
     wide = orders_wide_light(after.posts, after.postmeta)
     return after.having(wc_orders=wide), wide
 

@@ -82,6 +82,7 @@ class Workspace:
         self.spark = spark
         self.path = f"{root or shared_root(spark)}/run-{uuid.uuid4().hex}"
         self._names = count(1)
+        self._tables: list[str] = []
 
     def location(self, name: str) -> str:
         """A folder no earlier step of this run has used; frames read their tables lazily."""
@@ -99,3 +100,20 @@ class Workspace:
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         return self.read(frame, self.store(frame, name))
+
+    def keep_bucketed(self, frame: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+        """A kept table in buckets of a key that several later joins and aggregates share: one shuffle here
+        in place of one for each of them. Each task writes one bucket. The table is known to the session's
+        catalog under a name of this run's; ``forget`` takes the names away and leaves the files."""
+        path = self.location(name)
+        table = f"run_{uuid.uuid4().hex}_{name}"
+        dealt = frame.repartition(buckets, key).sortWithinPartitions(key)
+        writer = dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key)
+        writer.option("path", path).saveAsTable(table)
+        self._tables.append(table)
+        return self.spark.table(table)
+
+    def forget(self) -> None:
+        """Drop the names of the bucketed tables; frames that were built from them stay readable."""
+        while self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop()}")

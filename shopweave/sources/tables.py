@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +67,43 @@ def scan_database(spark: SparkSession, **scan) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**scan)).load()
 
 
+#: Most relative error of a split point's place, as one part of so many.
+ACCURACY = 100_000
+
+
+def split_points(keys: DataFrame, key: str, partitions: int) -> list[int]:
+    """Keys that cut the rows into ``partitions`` shares of about equal size, however the keys are spread:
+    fewer where keys repeat. ``keys`` is any frame with the key, such as the table's last snapshot."""
+    shares = F.array(*(F.lit(i / partitions) for i in range(1, partitions)))
+    if partitions < 2:
+        return []
+    found = keys.agg(F.percentile_approx(key, shares, ACCURACY).alias("points")).first().points
+    return sorted(set(found or []))
+
+
+def key_predicates(points: Sequence[int], key: str) -> list[str]:
+    """Conditions, one a partition, that hold each row once; rows without a key are in the first."""
+    if not points:
+        return ["1 = 1"]
+    first = f"({key} < {points[0]} OR {key} IS NULL)"
+    middle = [f"({key} >= {a} AND {key} < {b})" for a, b in zip(points, points[1:], strict=False)]
+    return [first, *middle, f"({key} >= {points[-1]})"]
+
+
+def scan_database_in_shares(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    key: str,
+    points: Sequence[int],
+    connection: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """A live database table in shares of equal size: for keys with gaps, where equal ranges of the key
+    leave most tasks without work."""
+    properties = {"fetchsize": "10000", **(connection or {})}
+    return spark.read.jdbc(url, table, predicates=key_predicates(points, key), properties=properties)
+
+
 # The column by which each large table is joined.
 JOIN_KEYS = {
     "posts": "id",

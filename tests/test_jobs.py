@@ -24,7 +24,7 @@ from shopweave.plans.validation import job_validate
 from shopweave.session import Workspace, shared_root
 from shopweave.sources.files import read_status_tsv, write_status_tsv
 from shopweave.sources.snapshots import read_snapshot, restore_snapshot, snapshot_tables
-from shopweave.sources.tables import jdbc_options, scan_table
+from shopweave.sources.tables import jdbc_options, key_predicates, scan_table, split_points
 
 NOW = datetime(2025, 9, 14, 12)
 
@@ -276,3 +276,22 @@ def test_full_migration_validated(src, dst, workspace):
     found = {(r.report, r.metric): r.value for r in report.collect()}
     assert found["orders", "percent"] == "100" and found["users", "destination_users"] == "2"
     assert {"users", "order_items", "wc_orders"} <= set(after.folders)
+
+
+def test_split_points_give_even_shares(spark):
+    """Keys with gaps: equal ranges would put nearly all rows into one share."""
+    keys = spark.range(20_000).selectExpr("CAST(pow(1.0005, id) * 100 AS bigint) + id AS k")
+    points = split_points(keys, "k", 10)
+    shares = [keys.where(p).count() for p in key_predicates(points, "k")]
+    assert sum(shares) == 20_000 and max(shares) <= 2_200 and len(shares) == 10
+    low, high = keys.selectExpr("min(k)", "max(k)").first()
+    equal = keys.where(f"k < {low + (high - low) // 10}").count()
+    assert equal > 10_000
+
+
+def test_predicates_hold_each_row_once(spark):
+    keys = spark.createDataFrame([(x,) for x in [None, 1, 1, 1, 2, 9, None]], "k bigint")
+    for points in ([], [1], [1, 2], [5, 7, 100]):
+        assert sum(keys.where(p).count() for p in key_predicates(points, "k")) == 7
+    assert split_points(keys.where("false"), "k", 4) == []
+    assert split_points(keys, "k", 1) == []

@@ -5,7 +5,9 @@ import pytest
 from shopweave.checks.store_frames import DerivedStore
 from shopweave.operators import catalog, customers, eav, orders, reports, statuses
 from shopweave.operators.filters import orders_only
+from shopweave.plans.orders import job_migrate_orders
 from shopweave.plans.store import Store
+from shopweave.session import Workspace
 from shopweave.sources.snapshots import snapshot_tables
 from shopweave.sources.tables import overwrite_bucketed, scan_table
 
@@ -112,3 +114,28 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, stored, tmp_path):
     finally:
         spark.sql("DROP TABLE bucketed_posts")
         spark.sql("DROP TABLE bucketed_postmeta")
+
+
+def test_bucketed_jobs_shuffle_once(spark, stored, tmp_path):
+    """Later joins and aggregates over the tables that a job keeps have no shuffle of their own."""
+    workspace = Workspace(spark, str(tmp_path))
+    empty = Store(**{n: f.limit(0) for n, f in stored.tables().items()})
+    plain, _ = job_migrate_orders(stored, empty, False, workspace)
+    after, counts = job_migrate_orders(stored, empty, False, workspace, buckets=8)
+    try:
+        wide = orders.orders_wide_light(after.posts, after.postmeta)
+        for frame in (
+            wide,
+            orders.orders_wide(after.posts, after.postmeta),
+            orders.order_operational(after.postmeta, after.posts),
+            orders.order_addresses(after.postmeta, after.posts),
+            orders.copy_order_meta(after.postmeta, after.posts),
+        ):
+            assert shuffles(frame) == 0
+        assert shuffles(orders.orders_wide_light(plain.posts, plain.postmeta)) > 0
+        expected = orders.orders_wide_light(plain.posts, plain.postmeta)
+        assert wide.exceptAll(expected).isEmpty() and wide.count() == expected.count() > 0
+        assert counts.count() == 4
+    finally:
+        workspace.forget()
+    assert wide.count() > 0
