@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_cases import ODD, prose
 
-from shopweave.llm import chat, collocations, lexical_search
+from shopweave.llm import chat, collocations, language, lexical_search
 
 
 def babble(seed, words, vocabulary=25, marks=" .,;:!?\n\t"):
@@ -18,6 +18,21 @@ def babble(seed, words, vocabulary=25, marks=" .,;:!?\n\t"):
     return "".join(dice.choice(names) + (" " if dice.random() < 0.8 else dice.choice(marks) + dice.choice(["", " ", "  \t"])) for _ in range(words))
 
 
+# --- language identification with very many languages ----------------------------------
+
+
+@pytest.mark.parametrize("held, matrix", [(200, 32 << 20), (3, 32 << 20), (3, 8 * 250 * 512)])
+def test_any_number_of_languages(docs, workspace, monkeypatch, held, matrix):
+    monkeypatch.setattr(language, "MATRIX", matrix)
+    monkeypatch.setattr(language, "HELD", held)
+    letters = [chr(0x3400 + k) for k in range(250)]
+    frame = docs([c * 5 for c in letters], [f"l{k}" for k in range(250)])
+    learned = language.learn(frame, workspace)
+    assert len(learned) == 250 and 8 * sum(len(x) - 1 for x in learned.values()) <= matrix
+    found = frame.select("lang", language.predict(learned).alias("p")).collect()
+    assert sum(r.p.lang_pred == r.lang for r in found) >= (250 if matrix > 1 << 22 else 120)
+
+
 # --- collocations ----------------------------------------------------------------------
 
 
