@@ -32,11 +32,11 @@ from .common import slices
 
 #: Cached chunks or words of a task, seams of tokens, and endings of words; beyond that a cache starts anew.
 #: They bound memory only.
-CACHED = 90_000
-SEAMS = 150_000
+CACHED = 200_000
+SEAMS = 200_000
 ENDINGS = 50_000
 #: Bytes of text whose chunks are held at once.
-STEP = 2_000_000
+STEP = 4_000_000
 
 # The pre-tokenizer's pattern, the end-of-word mark, marks that can follow a word, and
 # what is no white space to the tokenizer.
