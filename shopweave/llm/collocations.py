@@ -3,15 +3,15 @@
 A stretch of text is a buffer of bytes. Prefix polynomials over the bytes give each word's hash, and
 prefix polynomials over the words' hashes give that of every n-gram within a piece, all in numpy. The
 fingerprint of an n-gram covers its language, too, and a second polynomial with another base checks it.
-A task adds up its equal fingerprints, and a shuffle adds up the tasks'.
+A task adds up its equal fingerprints, each with a pointer to a document that holds it; a shuffle adds up
+the tasks'.
 
 An n-gram can only be frequent if both of its parts one word shorter are. The fingerprints of the
 frequent ones go to the next pass as a bitmap of fixed size; a bit that two share lets a few more
-through, whose counts then decide. That pass counts n-grams one word longer, and sends with them a
-pointer to an occurrence of each n-gram in the bitmap; pointers are larger than counts, so only those of
-n-grams that may be frequent are shuffled. Phrases are read from the text at the pointers: the words
-there must have the fingerprint and its check, else the job stops. Fingerprints that meet with different
-checks stand for several phrases, which are counted apart by both.
+through, whose counts then decide. Phrases are read from the text for frequent fingerprints alone: the
+documents that pointers name are hashed again, and words with the fingerprint and its check are the
+phrase; where there are none the job stops. Fingerprints that meet with different checks stand for
+several phrases, which are counted apart by both.
 
 Nulls: a null text is an empty one, a null language is ``und``. Repeated rows count each. Texts are
 worked on in stretches, so a text may be of any length; an empty table has no phrases.
@@ -48,8 +48,9 @@ PRINT_BITS = 64
 
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 WORD_BASES = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-#: What a task sends: counts, pointers, or the words of a language; the other columns are null.
-PARTIAL = {"fp": pa.int64(), "check": pa.int64(), "n": pa.int64(), "row": pa.int64(), "at": pa.int64(), "lang": pa.string()}
+#: What a task sends. The number of a language's words goes as a row of its own, with the complement of the
+#: number of a document of the language in place of the document's.
+PARTIAL = ["fp", "check", "n", "row"]
 
 # Fixed values of the contract: bytes between pieces, and between words.
 PIECE_ENDS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -184,10 +185,10 @@ def stretches(data: np.ndarray, n: int, size: int) -> Iterator[tuple[int, int, i
 
 
 class Sums:
-    """A task's counts, or pointers, by fingerprint and check; a bounded number is held."""
+    """A task's counts by fingerprint and check, with a document each; a bounded number is held."""
 
-    def __init__(self, names: list[str], most: int):
-        self.names, self.most, self.parts, self.held = names, most, [], 0
+    def __init__(self, most: int):
+        self.most, self.parts, self.held = most, [], 0
 
     def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(columns[0]):
@@ -204,45 +205,29 @@ class Sums:
             columns = added_up(self.parts)
             self.parts, self.held = [], 0
             for start in range(0, len(columns[0]), 1 << 16):
-                yield partial_rows(dict(zip(self.names, (x[start : start + (1 << 16)] for x in columns), strict=True)))
-
-
-def partial_rows(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """Rows of ``PARTIAL`` with nulls in the other columns."""
-    size, own = len(next(iter(columns.values()))), []
-    for name, kind in PARTIAL.items():
-        if name not in columns:
-            own.append(pa.nulls(size, kind))
-        else:
-            own.append(pa.array(columns[name].view(np.int64) if kind == pa.int64() else columns[name], kind))
-    return pa.RecordBatch.from_arrays(own, names=list(PARTIAL))
+                own = [pa.array(x[start : start + (1 << 16)].view(np.int64)) for x in columns]
+                yield pa.RecordBatch.from_arrays(own, names=PARTIAL)
 
 
 def added_up(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """Columns (fp, check, n or row, ...) with equal neighbours in the order of fingerprints added up: of
-    counts the sum, of pointers the first."""
+    """Columns (fp, check, n, row) with equal neighbours in the order of fingerprints added up."""
     columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
     if not len(columns[0]):
         return columns
     order = np.argsort(columns[0], kind="stable")
-    columns = [x[order] for x in columns]
-    fp, check = columns[:2]
+    fp, check, count, row = (x[order] for x in columns)
     begins = np.flatnonzero(np.concatenate([[True], (fp[1:] != fp[:-1]) | (check[1:] != check[:-1])]))
-    if len(columns) > 3:
-        return [x[begins] for x in columns]
-    return [fp[begins], check[begins], np.add.reduceat(columns[2], begins)]
-
+    return [fp[begins], check[begins], np.add.reduceat(count, begins), row[begins]]
 
-def partials(docs: DataFrame, n: int, frequent: Bitmap | None = None, longest: int = LONGEST) -> DataFrame:
-    """Each task's rows: (fp, check, n) counts of the n-grams whose parts may be frequent; (fp, check, row, at)
-    pointers to those parts; and (n, lang) the words of each language. Beyond ``longest`` only pointers.
-    ``docs``: row, lang, text."""
 
+def partials(docs: DataFrame, n: int, frequent: Bitmap | None = None) -> DataFrame:
+    """Each task's counts of the n-grams whose parts may be frequent; of single words, the words of each
+    language as well. ``docs``: row, lang, text."""
     stretch, held, bits = STRETCH, HELD, PRINT_BITS
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, pointers = Sums(["fp", "check", "n"], held), Sums(["fp", "check", "row", "at"], held)
-        totals: dict[str, int] = {}
+        counts = Sums(held)
+        totals: dict[str, list[int]] = {}
         for batch in batches:
             texts, langs = raw(batch.column(2)), strings(batch.column(1))
             rows = batch.column(0).to_numpy()
@@ -254,101 +239,81 @@ def partials(docs: DataFrame, n: int, frequent: Bitmap | None = None, longest: i
                 words = Words(data[start:end], seeds, doc_starts, bits, start)
                 if n == 1:
                     for doc, count in zip(*np.unique(words.doc, return_counts=True), strict=True):
-                        totals[langs[doc]] = totals.get(langs[doc], 0) + int(count)
+                        totals.setdefault(langs[doc], [int(rows[doc]), 0])[1] += int(count)
                     first = words.whole(1)
                 else:
-                    part = words.whole(n - 1)
-                    prints = words.prints(part, n - 1, 0)
-                    may = frequent.holds(prints)
-                    part = part[may]
-                    begins = words.starts[part] + start - doc_starts[words.doc[part]]
-                    span = words.ends[part + n - 2] - words.starts[part]
-                    places = rows[words.doc[part]], begins << 31 | span
-                    yield from pointers.add(prints[may], words.prints(part, n - 1, 1), *places)
-                    if n > longest:
-                        continue
-                    known = np.zeros(len(words.starts), bool)
-                    known[part] = True
+                    part, known = words.whole(n - 1), np.zeros(len(words.starts), bool)
+                    known[part] = frequent.holds(words.prints(part, n - 1, 0))
                     first = words.whole(n)
                     first = first[(words.starts[first + n - 1] >= fresh - start) & known[first] & known[first + 1]]
                 prints = [words.prints(first, n, k) for k in (0, 1)]
-                yield from counts.add(*prints, np.ones(len(first), np.int64))
+                yield from counts.add(*prints, np.ones(len(first), np.int64), rows[words.doc[first]])
         yield from counts.rows()
-        yield from pointers.rows()
         if totals:
-            yield partial_rows({"n": np.array(list(totals.values()), np.int64), "lang": list(totals)})
+            own = np.array([xxhash.xxh64_intdigest(x) for x in totals], np.uint64).view(np.int64)
+            row, count = np.array(list(totals.values()), np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own, np.zeros_like(own), count, ~row)], names=PARTIAL)
 
-    schema = ", ".join(f"{name} {'string' if kind == pa.string() else 'long'}" for name, kind in PARTIAL.items())
-    return docs.select("row", "lang", "text").mapInArrow(scan, schema)
+    return docs.select("row", "lang", "text").mapInArrow(scan, ", ".join(f"{x} long" for x in PARTIAL))
 
 
-def added(rows: DataFrame, keys: list[str], workspace: Workspace, least: int) -> DataFrame:
-    """Sums by fingerprint and the checks they met, of at least ``least``; one pointer of each fingerprint and
-    check; and the words of each language."""
-    found = rows.groupBy(*keys).agg(
-        F.sum("n").alias("n"),
-        F.min("check").alias("low"),
-        F.max("check").alias("high"),
-        F.min("row").alias("row"),
-        F.min_by("at", "row").alias("at"),
+def counted(rows: DataFrame, least: int, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(fp, check, n, row) of the n-grams with at least ``least`` occurrences, and the same of languages."""
+    found = rows.groupBy("fp", (F.col("row") < 0).alias("total")).agg(
+        F.sum("n").alias("n"), F.min("check").alias("low"), F.max("check").alias("high"), F.min("row").alias("row")
     )
-    wanted = F.col("row").isNotNull() | F.col("lang").isNotNull() | (F.col("n") >= least)
-    return workspace.keep(found.where(wanted), "prints")
-
-
-def counted(rows: DataFrame, found: DataFrame, least: int, workspace: Workspace) -> DataFrame:
-    """(fp, check, n) of the n-grams with at least ``least`` occurrences."""
-    found = found.where("lang is null and row is null")
-    shared, names = found.where("low <> high"), ["fp", F.col("low").alias("check"), "n"]
+    found = workspace.keep(found.where((F.col("n") >= least) | F.col("total")), "prints")
+    totals, found = found.where("total"), found.where("NOT total")
+    shared, names = found.where("low <> high"), ["fp", F.col("low").alias("check"), "n", "row"]
     clean = found.where("low = high").select(*names)
     if shared.isEmpty():
-        return clean
+        return clean, totals
     # different phrases met in a fingerprint: count them apart
-    again = rows.where("row is null").join(shared.select("fp"), "fp", "left_semi")
-    apart = again.groupBy("fp", "check").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return clean.unionByName(workspace.keep(apart, "apart"))
-
-
-def materialised(docs: DataFrame, found: DataFrame, pointers: DataFrame, n: int) -> DataFrame:
-    """(lang, phrase, a): the frequent phrases, read at their pointers and held against their fingerprints."""
-    bits = PRINT_BITS
+    again = rows.where("row >= 0").join(shared.select("fp"), "fp", "left_semi")
+    apart = again.groupBy("fp", "check").agg(F.sum("n").alias("n"), F.min("row").alias("row"))
+    return clean.unionByName(workspace.keep(apart.where(F.col("n") >= least), "apart")), totals
+
+
+def spelled(data: np.ndarray, seed: int, wanted: dict[tuple[int, int], int], n: int, stretch: int, bits: int) -> dict[tuple[int, int], bytes]:
+    """The words of a text whose n-grams have the wanted fingerprints and checks, one space apart."""
+    found: dict[tuple[int, int], bytes] = {}
+    listed = np.array([fp for fp, _ in wanted], np.int64)
+    for start, end, _ in stretches(data, n, stretch):
+        words = Words(data[start:end], np.array([seed], np.uint64), np.zeros(1, np.int64), bits, start)
+        first = words.whole(n)
+        fp, check = (words.prints(first, n, k).view(np.int64) for k in (0, 1))
+        for i in np.flatnonzero(np.isin(fp, listed)).tolist():
+            key = int(fp[i]), int(check[i])
+            if key in wanted and key not in found:
+                at = range(int(first[i]), int(first[i]) + n)
+                parts = (data[start + words.starts[w] : start + words.ends[w]] for w in at)
+                found[key] = b" ".join(LOWER[x].tobytes() for x in parts)
+    return found
+
+
+def materialised(docs: DataFrame, found: DataFrame, n: int) -> DataFrame:
+    """(lang, phrase, a): the frequent phrases, as documents that hold them spell them."""
+    stretch, bits = STRETCH, PRINT_BITS
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, phrases, counts, wanted = [], [], [], []
+            langs, phrases, counts = [], [], []
             for lang, text, listed in zip(strings(batch.column(0)), raw(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                lower = text.lower()
-                for x in listed:
-                    begin, size = x["at"] >> 31, x["at"] & (1 << 31) - 1
-                    phrases.append(b" ".join(filter(None, lower[begin : begin + size].replace(b"\t", b" ").split(b" "))))
-                    langs.append(lang)
-                    counts.append(x["n"])
-                    wanted.append((x["fp"], x["check"]))
-            verify(langs, phrases, wanted, n, bits)
-            columns = [pa.array(langs, pa.string()), pa.array([x.decode() for x in phrases], pa.string()), pa.array(counts, pa.int64())]
+                wanted = {(x["fp"], x["check"]): x["n"] for x in listed}
+                own = spelled(np.frombuffer(text, np.uint8), xxhash.xxh64_intdigest(lang), wanted, n, stretch, bits)
+                if len(own) < len(wanted):
+                    raise ValueError("a document doesn't hold an n-gram that points to it")
+                langs += [lang] * len(own)
+                phrases += [x.decode() for x in own.values()]
+                counts += [wanted[key] for key in own]
+            columns = [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "a"])
 
-    both = found.join(pointers, ["fp", "check"])
-    listed = both.groupBy("row").agg(F.collect_list(F.struct("fp", "check", "n", "at")).alias("listed"))
+    listed = found.groupBy("row").agg(F.collect_list(F.struct("fp", "check", "n")).alias("listed"))
     held = docs.join(listed, "row").select("lang", "text", "listed")
     return held.mapInArrow(read, "lang string, phrase string, a long")
 
 
-def verify(langs: list[str], phrases: list[bytes], wanted: list[tuple[int, int]], n: int, bits: int) -> None:
-    """Raise unless each phrase has n words and its fingerprint and check."""
-    if not phrases:
-        return
-    sizes = np.fromiter(map(len, phrases), np.int64, len(phrases))
-    starts = np.cumsum(sizes + 1) - sizes - 1
-    seeds = np.array([xxhash.xxh64_intdigest(x) for x in langs], np.uint64)
-    words = Words(np.frombuffer(b"\n".join(phrases), np.uint8), seeds, starts, bits)
-    first = words.whole(n)
-    own = [words.prints(first, n, k).view(np.int64) for k in (0, 1)]
-    expected = np.array(wanted, np.int64).T
-    if len(words.starts) != n * len(phrases) or len(first) != len(phrases) or any((a != b).any() for a, b in zip(own, expected, strict=True)):
-        raise ValueError("a pointer's text has another fingerprint than its n-gram")
-
-
 def phrases(
     docs: DataFrame, workspace: Workspace, lang: str = "lang", text: str = "text", least: int = LEAST, longest: int = LONGEST
 ) -> tuple[DataFrame, DataFrame]:
@@ -356,18 +321,16 @@ def phrases(
     the number of words of each language (lang, n)."""
     row = F.monotonically_increasing_id().alias("row")
     docs = workspace.keep(docs.select(row, F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text")), "numbered")
-    found, bitmap, sums, before = [], None, None, None
-    for n in range(1, longest + 2):
-        rows = partials(docs, n, bitmap, longest).withColumn("own", F.when(F.col("row").isNotNull(), F.col("check")))
-        sent = added(rows, ["fp", "lang", "own"], workspace, least)
-        if before is None:
-            sums = sent.where("lang is not null").select("lang", "n")
-        else:
-            pointers = sent.where("row is not null").select("fp", F.col("low").alias("check"), "row", "at")
-            found.append(materialised(docs, before, pointers, n - 1).withColumn("words", F.lit(n - 1)))
-        if n <= longest:
-            before = counted(rows, sent, least, workspace)
-            bitmap = bitmap_of(before)
+    found, bitmap, sums = [], None, None
+    for n in range(1, longest + 1):
+        own, totals = counted(partials(docs, n, bitmap), least, workspace)
+        if n == 1:
+            named = docs.select("row", "lang")
+            sums = totals.select((-1 - F.col("row")).alias("row"), "n").join(named, "row").select("lang", "n")
+            sums = workspace.keep(sums, "sums")
+        if n < longest:
+            bitmap = bitmap_of(own)
+        found.append(materialised(docs, own, n).withColumn("words", F.lit(n)))
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)

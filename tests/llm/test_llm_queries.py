@@ -76,9 +76,13 @@ def test_simhash(rows, texts):
 
 
 def test_suffix_arrays(rows, texts):
-    found = {r.doc_id: tuple(r)[1:] for r in rows("op6_suffix_array_dedup")}
+    every = rows("op6_suffix_array_dedup")
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in every}
     wanted = brute.substrings([t for _, t in texts])
     assert found == {doc: w for (doc, _), w in zip(texts, wanted, strict=True)}
+    whole = {doc: text or "" for doc, text in texts}
+    assert all(r.text == whole[r.doc_id] for r in every if not r.n_removed)
+    assert all(len(r.text.encode()) <= r.n_bytes - r.n_removed + 4 * 3 * r.n_spans for r in every)
 
 
 def test_packing(rows, texts):

@@ -76,10 +76,11 @@ def test_exact_scores_beyond_64_bits(spark):
     assert found.score == 1_000_000 * big * big // ((big + 7) * (big + 1)) == 999_999
 
 
-def test_wrong_pointers_are_noticed():
-    own = (0, 0)
-    with pytest.raises(ValueError):
-        collocations.verify(["en"], [b"a b"], [own], 2, 64)
+def test_wrong_pointers_are_noticed(docs):
+    frame = docs(["a b", "c d"], ["en", "en"]).select(F.col("doc_id").alias("row"), "lang", "text")
+    found = collocations.partials(frame, 1).where("row >= 0").select("fp", "check", "n", (1 - F.col("row")).alias("row"))
+    with pytest.raises(Exception, match="doesn't hold"):
+        collocations.materialised(frame, found, 1).collect()
 
 
 # --- chat ------------------------------------------------------------------------------
