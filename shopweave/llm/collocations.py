@@ -37,6 +37,8 @@ LONGEST = 3
 COVER_PCT = 50
 SCALE = 1_000_000
 TOP = 2000
+#: Shares of a language's phrases that are ranked by themselves first.
+SHARES = 64
 UNKNOWN = "und"
 
 #: Bytes of text worked on at once, and rows that a task adds up before it sends them on.
@@ -381,6 +383,11 @@ def collocations(
     found, sums = phrases(docs, workspace, lang, text, least)
     kept = scored(found).join(within(found), ["lang", "phrase"], "left")
     kept = kept.where(F.col("around").isNull() | (100 * F.col("around") < COVER_PCT * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # a language may hold most phrases: each share of it sends its first ones, and those are ranked
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    first = F.row_number().over(Window.partitionBy("lang", share).orderBy(*order))
+    kept = kept.withColumn("rank", first).where(F.col("rank") <= top).drop("rank")
+    whole = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    ranked = kept.withColumn("rank", whole).where(F.col("rank") <= top)
     return ranked.join(sums, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
