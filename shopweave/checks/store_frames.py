@@ -8,6 +8,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keysets import only_keys
 from ..plans.store import Store
 from ..sources.snapshots import snapshot_tables
 from ..sources.tables import scan_table
@@ -179,7 +180,7 @@ class DerivedStore:
 
     def _with_dst_post(self, frame: DataFrame, column: str) -> DataFrame:
         known = self.dst_posts().select(F.col("id").alias(column))
-        return frame.join(known, column, "left_semi").select(*frame.columns)
+        return only_keys(frame, known, column)
 
     def dst_options(self) -> DataFrame:
         names = ["option_id", "option_name", "option_value", "autoload"]

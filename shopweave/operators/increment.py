@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import Workspace
+from .keysets import only_keys, without_keys
 from .merge import one_per_key
 
 
@@ -55,12 +56,12 @@ def present_keys(dst: DataFrame, new: Increment) -> DataFrame:
     keys = dst.select(new.key)
     if new.low is None:
         return keys.limit(0)
-    return keys.where(new.in_range()).join(new.keys(), new.key, "left_semi")
+    return only_keys(keys.where(new.in_range()), new.keys(), new.key)
 
 
 def absent_rows(dst: DataFrame, new: Increment) -> DataFrame:
     """The incoming rows whose key the destination lacks; a null key is in no destination."""
-    return new.rows.join(present_keys(dst, new), new.key, "left_anti").select(*new.rows.columns)
+    return without_keys(new.rows, present_keys(dst, new), new.key)
 
 
 def insert_increment(dst: DataFrame, new: Increment) -> DataFrame:
@@ -72,4 +73,4 @@ def insert_increment(dst: DataFrame, new: Increment) -> DataFrame:
 
 def increment_rejects(dst: DataFrame, new: Increment) -> DataFrame:
     """The incoming rows that the destination's own keep out."""
-    return new.rows.join(present_keys(dst, new), new.key, "left_semi").select(*new.rows.columns)
+    return only_keys(new.rows, present_keys(dst, new), new.key)

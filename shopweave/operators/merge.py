@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .keysets import without_keys
+
 
 def one_per_key(rows: DataFrame, key: str) -> DataFrame:
     """One row per key; of several the smallest, so that a rerun chooses alike.
@@ -24,14 +26,14 @@ def one_per_key(rows: DataFrame, key: str) -> DataFrame:
 def new_rows(dst: DataFrame, src: DataFrame, key: str, unique: bool = False) -> DataFrame:
     """Source rows whose key the destination lacks. ``unique``: the source has no repeated key."""
     candidates = src if unique else one_per_key(src, key)
-    return candidates.join(dst.select(key), key, "left_anti").select(*src.columns)
+    return without_keys(candidates, dst, key).select(*src.columns)
 
 
 def insert_ignore(dst: DataFrame, src: DataFrame, key: str, unique: bool = False) -> DataFrame:
     """Destination plus the source rows with new keys; existing rows win.
 
-    The destination rows pass through without a shuffle; only its keys are shuffled. A column that
-    only one side has is kept, and null in the other side's rows.
+    The destination rows pass through without a shuffle; its keys are packed, or shuffled where they are too
+    scattered. A column that only one side has is kept, and null in the other side's rows.
     """
     return dst.unionByName(new_rows(dst, src, key, unique), allowMissingColumns=True)
 

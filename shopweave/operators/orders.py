@@ -29,6 +29,7 @@ from ..functions import (
 from .counting import counted, labelled_counts
 from .eav import core_values, pivot_addresses, pivot_first, pivot_operational
 from .filters import is_order, order_ids, orders_only
+from .keysets import only_keys, without_keys
 
 # --- exports ---------------------------------------------------------------------------
 
@@ -38,16 +39,15 @@ def export_orders(posts: DataFrame) -> DataFrame:
 
 
 def export_order_meta(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
-    return postmeta.join(order_ids(posts, "post_id"), "post_id", "left_semi").select(*postmeta.columns)
+    return only_keys(postmeta, order_ids(posts, "post_id"), "post_id")
 
 
 def export_order_items(items: DataFrame, posts: DataFrame) -> DataFrame:
-    return items.join(order_ids(posts, "order_id"), "order_id", "left_semi").select(*items.columns)
+    return only_keys(items, order_ids(posts, "order_id"), "order_id")
 
 
 def export_order_itemmeta(itemmeta: DataFrame, items: DataFrame, posts: DataFrame) -> DataFrame:
-    exported = export_order_items(items, posts).select("order_item_id")
-    return itemmeta.join(exported, "order_item_id", "left_semi").select(*itemmeta.columns)
+    return only_keys(itemmeta, export_order_items(items, posts), "order_item_id")
 
 
 def copy_order_meta(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
@@ -269,6 +269,4 @@ def posts_without_orders(posts: DataFrame) -> DataFrame:
 
 def meta_without_orders(postmeta: DataFrame, posts: DataFrame) -> DataFrame:
     """Metadata that belongs to no order."""
-    return postmeta.join(order_ids(posts, "post_id"), "post_id", "left_anti").select(
-        *postmeta.columns
-    )
+    return without_keys(postmeta, order_ids(posts, "post_id"), "post_id")
