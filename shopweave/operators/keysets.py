@@ -3,8 +3,9 @@
 The other keys are packed: one row holds which of 256 neighbouring keys there are, as four words of 64 bits.
 Ids that are handed out one after the other pack well (54 million are 210,000 rows), so the set is broadcast
 where a plain one would be far too large, and the rows stay where they are. The packed rows are counted
-first. Keys that are too scattered are looked at within the range of the rows' own keys; where that is too
-much as well, both sides are shuffled.
+first, then written to the shared folder: a plan that meets them often reads a small table. Keys that are
+too scattered are looked at within the range of the rows' own keys; where that is too much as well, both
+sides are shuffled.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
+from ..session import Workspace
+
 #: Most packed rows that are broadcast: 48 MB.
 MOST_BLOCKS = 1 << 20
 WORDS = 4
@@ -48,6 +51,15 @@ def _fits(keys: DataFrame, key: str) -> bool:
     return blocks <= MOST_BLOCKS
 
 
+def _stored(blocks: DataFrame) -> DataFrame:
+    """The packed keys, written; a cluster without a shared folder plans them where they are needed."""
+    try:
+        workspace = Workspace(blocks.sparkSession)
+    except ValueError:
+        return blocks
+    return workspace.keep(blocks, "keys")
+
+
 def _can_pack(rows: DataFrame, keys: DataFrame, key: str) -> bool:
     """Whole numbers, and a session that allows broadcasts."""
     kinds = {type(frame.schema[key].dataType) for frame in (rows, keys)}
@@ -64,7 +76,7 @@ def _joined(rows: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
             keys = keys.limit(0) if low is None else keys.where(F.col(key).between(low, high))
             fits = _fits(keys, key)
         if fits:
-            return rows.join(F.broadcast(packed(keys, key)), _is_in(F.col(key).cast("bigint")), how).select(*columns)
+            return rows.join(F.broadcast(_stored(packed(keys, key))), _is_in(F.col(key).cast("bigint")), how).select(*columns)
     return rows.join(keys, key, how).select(*columns)
 
 
