@@ -25,9 +25,15 @@ def to_unsigned(text: Column) -> Column:
 
 
 def to_decimal(text: Column) -> Column:
-    """Leading number as money; 0 where there is none."""
+    """Leading number as money; 0 where there is none.
+
+    Most metadata doesn't begin like a number, which its first character tells: neither the pattern nor the
+    cast, whose failure costs more than all else here, sees such a text.
+    """
+    first = F.substring(F.ltrim(text), 1, 1)
     head = F.regexp_extract(text, DECIMAL_HEAD, 1)
-    return F.coalesce(head.try_cast(MONEY_TYPE), F.lit(0).cast(MONEY_TYPE))
+    number = F.when(first.between("+", "9"), F.nullif(head, F.lit("")).try_cast(MONEY_TYPE))
+    return F.coalesce(number, F.lit(0).cast(MONEY_TYPE))
 
 
 def from_unixtime(text: Column) -> Column:
