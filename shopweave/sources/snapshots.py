@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.digest import digest_of
 from ..plans.store import Store
+from ..session import CODEC
 
 MANIFEST = "manifest"
 MANIFEST_COLUMNS = "table_name string, n_rows bigint, digest string, columns string"
@@ -83,7 +84,7 @@ def restore_snapshot(
     differs = []
     for name, frame in read_snapshot(spark, folder, stamp, lines).tables().items():
         measured = Measured(name, frame)
-        measured.frame.write.mode("overwrite").parquet(f"{destination}/{name}")
+        measured.frame.write.mode("overwrite").option("compression", CODEC).parquet(f"{destination}/{name}")
         if measured.row()[1:3] != lines[name][1:3]:
             differs.append(name)
     if differs:
