@@ -105,14 +105,17 @@ WIDE_TABLES = ("wc_orders", "wc_orders_meta", "wc_order_addresses", "wc_order_op
 
 def job_convert_wide(dst: Store, workspace: Workspace) -> tuple[Store, DataFrame]:
     """The four wide tables rebuilt from posts and metadata and written, their settings, and the check
-    of what is stored."""
-    after = dst.having(
-        wc_orders=orders_wide(dst.posts, dst.postmeta),
-        wc_orders_meta=copy_order_meta(dst.postmeta, dst.posts),
-        wc_order_addresses=order_addresses(dst.postmeta, dst.posts),
-        wc_order_operational_data=order_operational(dst.postmeta, dst.posts),
+    of what is stored. The orders' metadata is written first, and the other tables are built from what is
+    stored of it: all metadata is read once."""
+    copied = dst.having(wc_orders_meta=copy_order_meta(dst.postmeta, dst.posts)).written(workspace, "wc_orders_meta")
+    own = copied.wc_orders_meta.withColumnRenamed("order_id", "post_id")
+    after = copied.having(
+        wc_orders=orders_wide(dst.posts, own),
+        wc_order_addresses=order_addresses(own, dst.posts),
+        wc_order_operational_data=order_operational(own, dst.posts),
         options=upsert_options(dst.options, WIDE_TABLE_OPTIONS),
-    ).written(workspace, *WIDE_TABLES, "options")
+    )
+    after = after.written(workspace, *(n for n in (*WIDE_TABLES, "options") if n != "wc_orders_meta"))
     return after, wide_reconciliation(after.posts, after.wc_orders)
 
 

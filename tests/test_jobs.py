@@ -118,6 +118,34 @@ def test_wide_conversion(dst, workspace):
     assert after.wc_order_operational_data.count() == 1 and after.wc_order_addresses.count() == 0
 
 
+def test_metadata_is_read_once_for_the_wide_tables(spark, dst, workspace):
+    """Its rows are counted where they are read; the wide tables are those of the orders alone."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [
+        (101, 1, "_order_total", "7.5"),
+        (102, 1, "_billing_city", "Rome"),
+        (103, 1, "_billing_city", "Pisa"),
+        (104, None, "_order_total", "1"),
+        (802, 8, "_shipping_city", "Bari"),
+    ]
+    meta = table(spark, "postmeta", rows)
+    watched = meta.mapInArrow(counted, meta.schema)
+    after, check = job_convert_wide(dst.having(postmeta=watched), workspace)
+    assert check.first().result == "complete"
+    assert read.value == len(rows)
+    assert values(after.wc_orders_meta) == [(1, "_billing_city", "Pisa"), (1, "_billing_city", "Rome"), (1, "_order_total", "7.5")]
+    assert [(r.order_id, r.address_type, r.city) for r in after.wc_order_addresses.collect()] == [(1, "billing", "Rome")]
+    assert [(r.id, float(r.total_amount)) for r in after.wc_orders.collect()] == [(1, 7.5)]
+    assert after.wc_order_operational_data.count() == 1
+    assert set(after.folders) == {"wc_orders", "wc_orders_meta", "wc_order_addresses", "wc_order_operational_data", "options"}
+
+
 def test_fix_statuses(src):
     after, distribution = job_fix_statuses(src, NOW)
     assert dict(values(distribution)) == {"wc-completed": 1, "wc-cancelled": 1}
