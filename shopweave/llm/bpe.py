@@ -7,8 +7,7 @@ Distinct words of a batch, in sorted order, are the trie's leaves in depth-first
 up to the prefix shared with the word before stay on the stack and are never computed again. A state
 is computed when a longer prefix first asks for it.
 
-Spark deals out the rows; a task keeps a bounded cache of white-space separated chunks of text, so
-no shuffle is needed. Nulls are empty texts and have no tokens. Very long texts are encoded whole.
+Spark deals out the rows; a task keeps a bounded cache of words, so no shuffle is needed. Nulls are empty texts and have no tokens. Very long texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -30,9 +29,10 @@ from tokenizers import Tokenizer
 
 from .common import slices
 
-#: Cached chunks or words of a task, seams of tokens, and endings of words; beyond that a cache starts anew.
-#: They bound memory only.
-CACHED = 200_000
+#: Cached words of a task, words of uncommon chunks, seams of tokens, and endings of words; beyond that a cache
+#: starts anew. They bound memory only.
+CACHED = 400_000
+OTHERS = 100_000
 SEAMS = 200_000
 ENDINGS = 50_000
 #: Bytes of text whose chunks are held at once.
@@ -44,6 +44,11 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 END = "</w>"
 MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 CHUNKS = regex.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: What most chunks are: letters whose lower case is another or the same single letter, and perhaps marks after them.
+#: Arrow splits those.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+COMMON = rf"\A[{LETTERS}]+[{''.join(chr(92) + x for x in MARKS)}]*\z"
+LOWER = "".join(c for c in map(chr, range(0x61, 0x100)) if c.isalpha() and c not in "\u00aa\u00b5\u00ba" and c == c.lower())
 #: Letters by which the tokens that can end at a place are looked up.
 NEAR = 4
 #: Up to here Python and the library agree on letters and cases; chunks with characters beyond are
@@ -112,12 +117,14 @@ class Vocabulary:
             if self.is_whole(i):
                 final = token.endswith(END) and token != END
                 (self.last if final else self.inner).add(token.removesuffix(END), i)
+        self.split: dict[str, list[str]] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[str, tuple[int, ...]] = {x: (i,) for x, i in self.special.items()}
-        self.chunks: dict[str, int] = {}
-        self.sizes, self.starts, self.flat = [np.zeros(0, np.int64) for _ in range(3)]
+        self.words: dict[str, int] = {x: n for n, x in enumerate(self.special)}
+        self.flat = np.array([*self.special.values()], np.int32)
+        self.sizes = np.ones(len(self.special), np.int64)
+        self.starts = np.arange(len(self.special))
 
     def spine(self, token: int, side: int) -> list[tuple[int, int | float]]:
         """The token and its outermost parts on a side, the smallest first, each with the rank of
@@ -248,47 +255,79 @@ class Vocabulary:
     def as_bytes(self, word: str) -> str:
         return charmap_decode(word.encode(), "strict", self.letters)[0]
 
-    def learn(self, chunks: list[str]) -> None:
-        """Encode chunks not seen before: their distinct new words by the trie, then the chunks."""
-        if len(self.chunks) > CACHED or len(self.words) > CACHED:
+    def learn(self, words: list[str]) -> None:
+        """Encode the words not seen before, by the trie."""
+        if len(self.words) > CACHED:
             self.clear()
         if len(self.seams) > SEAMS:
             self.seams.clear()
-        known = self.words
-        new = [x for x in chunks if x not in self.chunks]
-        parts = list(map(self.words_of, new))
-        words = sorted(set(chain.from_iterable(parts)).difference(known))
-        known.update(zip(words, self.encode_words(words), strict=True))
-        ids = [
-            known[part[0]] if len(part) == 1 else tuple(chain.from_iterable([known[w] for w in part]))
-            for part in parts
-        ]
-        first = len(self.chunks)
-        self.chunks.update(zip(new, range(first, first + len(new)), strict=True))
+        new = sorted(set(words).difference(self.words))
+        ids = self.encode_words(new)
+        first = len(self.words)
+        self.words.update(zip(new, range(first, first + len(new)), strict=True))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         starts = len(self.flat) + np.cumsum(sizes) - sizes
-        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
         self.sizes = np.concatenate([self.sizes, sizes])
         self.starts = np.concatenate([self.starts, starts])
         self.flat = np.concatenate([self.flat, flat])
 
+    def split_others(self, chunks: list[str]) -> list[list[str]]:
+        """The words of chunks that aren't common ones."""
+        if len(self.split) > OTHERS:
+            self.split.clear()
+        for chunk in chunks:
+            if chunk not in self.split:
+                self.split[chunk] = self.words_of(chunk)
+        return list(map(self.split.__getitem__, chunks))
+
+    def chunk_ids(self, chunks: pa.StringArray) -> pa.ListArray:
+        """The ids of each chunk. Common chunks are split into letters and marks by Arrow, and Python sees
+        their distinct words; it splits the others itself."""
+        common = pc.and_not(pc.match_substring_regex(chunks, COMMON), pc.match_substring(chunks, "<|"))
+        lower = pc.utf8_lower(chunks.filter(common))
+        letters = pc.ascii_rtrim(lower, characters=MARKS)
+        marked = pc.not_equal(pc.binary_length(letters), pc.binary_length(lower))
+        marks = pc.utf8_ltrim(lower.filter(marked), characters=LOWER)
+        parts = pa.concat_arrays([letters, marks]).dictionary_encode()
+        names = [x if x.isascii() else self.as_bytes(x) for x in parts.dictionary.to_pylist()]
+        others = self.split_others(chunks.filter(pc.invert(common)).to_pylist())
+        other_words = list(chain.from_iterable(others))
+        self.learn(names + other_words)
+
+        # the number of words of each chunk, then all words in the order of chunks
+        is_common, has_marks = common.to_numpy(zero_copy_only=False), marked.to_numpy(zero_copy_only=False)
+        counts = np.empty(len(chunks), np.int64)
+        counts[is_common] = 1 + has_marks
+        other_counts = np.fromiter(map(len, others), np.int64, len(others))
+        counts[~is_common] = other_counts
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        first = edges[:-1]
+        own = np.fromiter(map(self.words.__getitem__, names), np.int64, len(names))[parts.indices.to_numpy()]
+        words = np.empty(edges[-1], np.int64)
+        words[first[is_common]] = own[: len(letters)]
+        words[first[is_common][has_marks] + 1] = own[len(letters) :]
+        within = np.arange(len(other_words)) - np.repeat(np.cumsum(other_counts) - other_counts, other_counts)
+        at = np.repeat(first[~is_common], other_counts) + within
+        words[at] = np.fromiter(map(self.words.__getitem__, other_words), np.int64, len(other_words))
+
+        sizes = self.sizes[words]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.repeat(self.starts[words] - ends[:-1], sizes) + np.arange(ends[-1])]
+        return pa.ListArray.from_arrays(pa.array(ends[edges].astype(np.int32)), pa.array(ids))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids, one after another, and the number of ids of each text; a null is empty.
 
-        Arrow splits the texts at ASCII white space and finds the distinct chunks; Python sees those.
+        Arrow splits the texts at ASCII white space and finds the distinct chunks.
         """
         parts = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
         chunks = parts.flatten().dictionary_encode()
-        distinct = chunks.dictionary.to_pylist()
-        self.learn(distinct)
-        own = np.fromiter(map(self.chunks.__getitem__, distinct), np.int64, len(distinct))
-        at = own[chunks.indices.to_numpy()]
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(sizes.sum())]
+        found = self.chunk_ids(chunks.dictionary).take(chunks.indices)
+        ends = np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy(), dtype=np.int64)])
         counts = parts.value_lengths().to_numpy()
-        edge = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
-        return ids, np.diff(edge)
+        edge = ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
+        return found.flatten().to_numpy(), np.diff(edge)
 
     def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by spaces, as this kind of tokenizer has no decoder; specials stay."""

@@ -83,6 +83,30 @@ def test_bpe_of_random_words():
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == wanted
 
 
+def test_bpe_splits_common_chunks_by_arrow():
+    """Words with marks reach Python once each, whatever marks follow them and in whatever case; results are the library's."""
+    known, seen = bpe.Vocabulary(TOKENIZER), []
+    plain_words = known.plain_words
+    known.plain_words = lambda chunk: seen.append(chunk) or plain_words(chunk)
+    words = ["Wort", "wort", "WORT", "Über", "über", "ß", "ÿÝ", "naïve", "x"]
+    texts = [" ".join(w + m for w in words) for m in ("", ",", ".", "!?", "<|", ")]}~", "^_`")]
+    odd = ["it's, it's' a\\b a\\ '", "don't' ×÷ ªµº ÿÿ€ ſt ŉ", "a<|endoftext|>b, <|endoftext|>", "", None, "e\u0301, İx."]
+    for some in (texts, odd, texts + odd):
+        ids, counts = known.encode(pa.array(some, pa.string()))
+        wanted = [x.ids for x in known.tokenizer.encode_batch([x or "" for x in some], add_special_tokens=False)]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == wanted
+        if some is texts:  # "<|" may begin a special token, which is looked for in Python
+            assert all(x.endswith("<|") for x in seen)
+
+
+def test_bpe_caches_start_anew(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED", 3)
+    monkeypatch.setattr(bpe, "OTHERS", 1)
+    known = bpe.Vocabulary(TOKENIZER)
+    for text in ("eins, zwei drei 4 5x", "vier fünf 6 <|endoftext|>", "eins Zwei. 5x 4", ""):
+        assert known.encode(pa.array([text]))[0].tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_language(docs, workspace):
     texts = [*(prose(k, 30) for k in range(20)), *(prose(k, 30).replace("e", "ö") for k in range(20)), *ODD, "123 !!"]
     frame = docs(texts, ["x"] * 20 + ["y"] * 20 + [None] * 11)
