@@ -20,15 +20,16 @@ import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from .common import raw
 
 END = b""
 CLASSES = SIZE = 64
@@ -40,29 +41,38 @@ LANES = 512
 WINDOW = 16
 SCORE_WINDOW = 64
 RATE = 0.05
-#: Tokens that a task holds at once, and words that it counts before it sends the counts on.
-HELD, COUNTED = 1_500_000, 300_000
+#: Tokens that a task holds at once.
+HELD = 1_500_000
 SMOOTH = 0.1
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Lower-cased words, then the end."""
-    return [*text.lower().split(), END]
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of all texts, one after another, and how many each text has; its end is not among them."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words = parts.flatten()
+    real = pc.greater(pc.binary_length(words), 0)  # white space at an edge leaves an empty piece
+    edges = np.concatenate([[0], np.cumsum(parts.value_lengths().to_numpy(), dtype=np.int64)])
+    seen = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return words.filter(real).cast(pa.binary()), np.diff(seen[edges])
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows(counts: Counter) -> pa.RecordBatch:
-        columns = [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())]
+    def rows(parts: list[pa.Array], texts: int) -> pa.RecordBatch:
+        counts = pc.value_counts(pa.concat_arrays(parts))
+        columns = [pa.concat_arrays([counts.field(0), pa.array([END], pa.binary())])]
+        columns += [pa.concat_arrays([counts.field(1), pa.array([texts], pa.int64())])]
         return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
 
-    counts: Counter = Counter()
+    parts, held, texts = [], 0, 0
     for batch in batches:
-        for text in raw(batch.column(0)):
-            counts.update(words_of(text))
-        if len(counts) > COUNTED:
-            yield rows(counts)
-            counts = Counter()
-    yield rows(counts)
+        words, _ = words_of(batch.column(0))
+        parts.append(words)
+        held, texts = held + len(words), texts + len(batch)
+        if held > HELD:
+            yield rows(parts, texts)
+            parts, held, texts = [], 0, 0
+    if texts:
+        yield rows(parts, texts)
 
 
 class Words:
@@ -127,10 +137,11 @@ class Network:
     def run(self, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool):
         """States of a window's steps, and what the way back needs. ``fresh``: texts that begin."""
         steps, past = [], []
-        for step, words in enumerate(inputs):
+        rows = self.rows[inputs]
+        for step, given in enumerate(rows):
             if fresh[step].any():
                 state = np.where(fresh[step][:, None], np.float32(0), state)
-            given, turned = self.rows[words], state @ self.turn
+            turned = state @ self.turn
             gates = sigmoid(given[:, : 2 * STATE] + turned[:, : 2 * STATE])
             hold, reset = gates[:, :STATE], gates[:, STATE:]
             inner = turned[:, 2 * STATE :]
@@ -143,19 +154,20 @@ class Network:
 
     def back(self, inputs: np.ndarray, fresh: np.ndarray, past: list, wanted: np.ndarray) -> None:
         """Backpropagation through the window's steps; ``wanted``: gradients by the states."""
-        turn = np.zeros_like(self.turn)
         rows = np.empty((*inputs.shape, 3 * STATE), np.float32)
+        turn = np.zeros_like(self.turn)
         later = np.zeros_like(wanted[0])
         for step in range(len(inputs) - 1, -1, -1):
             state, hold, reset, inner, new = past[step]
             own = wanted[step] + later
-            d_hold = own * (state - new) * hold * (1 - hold)
             d_new = own * (1 - hold) * (1 - new * new)
-            d_reset = d_new * inner * reset * (1 - reset)
-            d_turned = np.concatenate([d_hold, d_reset, d_new * reset], axis=1)
-            rows[step] = np.concatenate([d_hold, d_reset, d_new], axis=1)
-            turn += state.T @ d_turned
-            later = own * hold + d_turned @ self.turn.T
+            rows[step, :, :STATE] = own * (state - new) * hold * (1 - hold)
+            rows[step, :, STATE : 2 * STATE] = d_new * inner * reset * (1 - reset)
+            rows[step, :, 2 * STATE :] = d_new
+            turned = rows[step].copy()
+            turned[:, 2 * STATE :] *= reset
+            turn += state.T @ turned
+            later = own * hold + turned @ self.turn.T
             later[fresh[step]] = 0
         words = inputs.ravel()
         order = np.argsort(words, kind="stable")
@@ -181,30 +193,35 @@ class Network:
             wanted = shares @ self.to_class.T
             self.learn("to_class", states.T @ shares)
             self.learn("class_bias", shares.sum(axis=0))
+        # tokens in the order of their classes: the products are by class, all else is done for all at once
         order = np.argsort(kinds, kind="stable")
-        edges = np.searchsorted(kinds[order], np.arange(CLASSES + 1))
-        present = np.flatnonzero(np.diff(edges))
-        to_word, word_bias = [], []
-        for kind in present:
-            own = order[edges[kind] : edges[kind + 1]]
-            part = states[own]
-            logits = part @ self.to_word[kind]
-            logits += self.word_bias[kind]
-            logits -= logits.max(axis=1, keepdims=True)
-            pick = np.arange(len(own)), targets[own] % SIZE
-            hit = logits[pick]
-            shares = np.exp(logits, out=logits)
-            sums = shares.sum(axis=1, keepdims=True)
-            found[own] += hit - np.log(sums[:, 0])
-            if learn:
-                shares /= sums
-                shares[pick] -= 1
-                wanted[own] += shares @ self.to_word[kind].T
-                to_word.append(part.T @ shares)
-                word_bias.append(shares.sum(axis=0))
-        if to_word:
-            self.learn("to_word", np.stack(to_word), present)
-            self.learn("word_bias", np.stack(word_bias), present)
+        edges = np.searchsorted(kinds[order], np.arange(CLASSES + 1)).tolist()
+        own = order[: edges[-1]]
+        spans = [(kind, slice(*edge)) for kind, edge in enumerate(pairwise(edges)) if edge[0] < edge[1]]
+        part = states[own]
+        logits = np.empty((len(own), SIZE), np.float32)
+        for kind, span in spans:
+            np.matmul(part[span], self.to_word[kind], out=logits[span])
+        logits += self.word_bias[kinds[own]]
+        logits -= logits.max(axis=1, keepdims=True)
+        pick = np.arange(len(own)), targets[own] % SIZE
+        hit = logits[pick]
+        shares = np.exp(logits, out=logits)
+        sums = shares.sum(axis=1, keepdims=True)
+        found[own] += hit - np.log(sums[:, 0])
+        if learn and spans:
+            shares /= sums
+            shares[pick] -= 1
+            by_state = np.empty((len(own), STATE), np.float32)
+            to_word, word_bias = np.empty((len(spans), STATE, SIZE), np.float32), np.empty((len(spans), SIZE), np.float32)
+            for i, (kind, span) in enumerate(spans):
+                np.matmul(shares[span], self.to_word[kind].T, out=by_state[span])
+                np.matmul(part[span].T, shares[span], out=to_word[i])
+                shares[span].sum(axis=0, out=word_bias[i])
+            wanted[own] += by_state
+            present = [kind for kind, _ in spans]
+            self.learn("to_word", to_word, present)
+            self.learn("word_bias", word_bias, present)
         return found, wanted
 
 
@@ -270,18 +287,24 @@ def score(network: Network, texts: list[np.ndarray], end: int) -> np.ndarray:
 def gathered(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[tuple[pa.Table, list[np.ndarray], list[list[bytes]]]]:
     """The rows of batches of about ``HELD`` tokens, with each text's known numbers (-1: not known) and
     unknown words. The texts are the first column."""
-    number = words.number
+    number, end = words.number, words.number.get(END, -1)
     rows: list[pa.RecordBatch] = []
     texts: list[np.ndarray] = []
     others: list[list[bytes]] = []
     held = 0
     for batch in batches:
-        for text in raw(batch.column(0)):
-            parts = words_of(text)
-            ids = np.fromiter([number.get(w, -1) for w in parts], np.int32, len(parts))
-            texts.append(ids)
-            others.append([parts[i] for i in np.flatnonzero(ids < 0).tolist()])
-            held += len(ids)
+        parts, counts = words_of(batch.column(0))
+        coded = parts.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = np.fromiter((number.get(w, -1) for w in distinct), np.int32, len(distinct))
+        ids = known[coded.indices.to_numpy()]
+        ends = np.cumsum(counts)
+        texts += np.split(np.insert(ids, ends, end), np.cumsum(counts + 1))[:-1]
+        unknown = np.flatnonzero(ids < 0)
+        names = parts.take(pa.array(unknown)).to_pylist()
+        edges = np.searchsorted(unknown, np.concatenate([[0], ends])).tolist()
+        others += [[*names[a:b], *([END] if end < 0 else [])] for a, b in pairwise(edges)]
+        held += len(ids) + len(batch)
         rows.append(batch)
         if held > HELD:
             yield pa.Table.from_batches(rows), texts, others

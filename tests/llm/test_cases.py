@@ -1,6 +1,8 @@
 """Edge cases of every operator: nulls, empty and long texts, ties, repeats, empty tables, clashing names."""
 
 import random
+from collections import Counter
+from itertools import chain
 
 import brute
 import numpy as np
@@ -205,6 +207,33 @@ def test_plan_of_large_items():
     assert max(fill.values()) <= 100 and max(items.values()) <= 2
 
 
+def test_language_model_words():
+    """Words and counts as bytes.lower().split() gives them, the end after each text, whatever the batches."""
+    texts = [" A b\tB\x0b\x0cc\r\n", "", None, "Ä É\x1cx \x85 \u00a0", "end", "   "]
+    plain = [[*(t or "").encode().lower().split(), b""] for t in texts]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.string())], ["text"]) for x in (texts[:2], texts[2:])]
+    counted = Counter()
+    for batch in language_model.count_words(iter(batches)):
+        counted.update(dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)))
+    assert counted == Counter(chain.from_iterable(plain))
+    for known in ([(b"", 6), (b"b", 2)], [(b"a", 1)], []):
+        words = language_model.Words(known, 20, 10)
+        [(_, ids, others)] = language_model.gathered(iter(batches), words)
+        assert [x.tolist() for x in ids] == [[words.number.get(w, -1) for w in x] for x in plain]
+        assert others == [[w for w in x if w not in words.number] for x in plain]
+
+
+def test_language_model_takes_classes_together(monkeypatch):
+    """The exponentials of a window are two calls, one over classes and one over words, not one for each class."""
+    words = language_model.Words([(b"w%d" % k, 1) for k in range(4000)], 4000, 4000)
+    network, calls = language_model.Network(words), []
+    exp = np.exp
+    monkeypatch.setattr(np, "exp", lambda *a, **k: calls.append(1) or exp(*a, **k))
+    states = np.random.default_rng(1).normal(size=(500, language_model.STATE)).astype(np.float32)
+    found, _ = network.outcome(states, np.arange(0, 4000, 8), True)
+    assert len(calls) == 2 and np.isfinite(found).all()
+
+
 def test_language_model(docs, workspace):
     texts = [*ODD, *(prose(k, 80) for k in range(15, 30))]
     frame = docs(texts).withColumn("training", crc32_of("doc_id") % 10 != 0)
