@@ -18,8 +18,8 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property
 from itertools import pairwise
 
 import numpy as np
@@ -79,13 +79,18 @@ class Words:
     """The known words with their counts, most frequent first, and the sums over all words."""
 
     def __init__(self, rows: list[tuple[bytes, int]], tokens: int, distinct: int):
-        self.number = {word: i for i, (word, _) in enumerate(rows)}
+        self.known = pa.array([word for word, _ in rows], pa.binary())
+        self.end = pc.index(self.known, END).as_py()  # -1 if not known
         self.counts = np.array([n for _, n in rows], np.float64)
         self.tokens, self.distinct = tokens, distinct
         head = self.counts[:HEAD]
         self.tail_tokens = tokens - int(head.sum())
         self.tail_distinct = distinct - len(head)
 
+    @cached_property
+    def number(self) -> dict[bytes, int]:
+        return {word: i for i, word in enumerate(self.known.to_pylist())}
+
     def base(self, count: float | np.ndarray):
         return np.log10((count + SMOOTH) / (self.tokens + SMOOTH * (self.distinct + 1)))
 
@@ -284,26 +289,48 @@ def score(network: Network, texts: list[np.ndarray], end: int) -> np.ndarray:
     return sums
 
 
-def gathered(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[tuple[pa.Table, list[np.ndarray], list[list[bytes]]]]:
-    """The rows of batches of about ``HELD`` tokens, with each text's known numbers (-1: not known) and
-    unknown words. The texts are the first column."""
-    number, end = words.number, words.number.get(END, -1)
+OTHERS = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
+
+
+def listed(names: pa.Array, codes: np.ndarray, owner: np.ndarray, texts: int) -> list[list[bytes]]:
+    """The words of each text, which are numbers of ``names``, in order."""
+    words, edges = names.take(pa.array(codes)).to_pylist(), np.searchsorted(owner, np.arange(texts + 1))
+    return [words[a:b] for a, b in pairwise(edges.tolist())]
+
+
+def counted(names: pa.Array, codes: np.ndarray, owner: np.ndarray, texts: int) -> list[pa.ListArray]:
+    """One array: the different words of each text, and how often it has each."""
+    pairs, times = np.unique(owner * len(names) + codes, return_counts=True)
+    edges = np.searchsorted(pairs, np.arange(texts + 1) * len(names)).astype(np.int32)
+    fields = [names.take(pa.array(pairs % max(1, len(names)))), pa.array(times, pa.int64())]
+    return [pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays(fields, fields=list(OTHERS.value_type)))]
+
+
+def gathered(
+    batches: Iterator[pa.RecordBatch], words: Words, others_of: Callable[..., list] | None = listed
+) -> Iterator[tuple[pa.Table, list[np.ndarray], list]]:
+    """The rows of batches of about ``HELD`` tokens, with each text's known numbers (-1: not known) and what
+    ``others_of`` makes of each batch's unknown words. The texts are the first column."""
+    end = words.end
     rows: list[pa.RecordBatch] = []
     texts: list[np.ndarray] = []
-    others: list[list[bytes]] = []
+    others: list = []
     held = 0
     for batch in batches:
         parts, counts = words_of(batch.column(0))
         coded = parts.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        known = np.fromiter((number.get(w, -1) for w in distinct), np.int32, len(distinct))
-        ids = known[coded.indices.to_numpy()]
+        codes = coded.indices.to_numpy()
+        ids = pc.fill_null(pc.index_in(coded.dictionary, value_set=words.known), -1).to_numpy()[codes]
         ends = np.cumsum(counts)
         texts += np.split(np.insert(ids, ends, end), np.cumsum(counts + 1))[:-1]
-        unknown = np.flatnonzero(ids < 0)
-        names = parts.take(pa.array(unknown)).to_pylist()
-        edges = np.searchsorted(unknown, np.concatenate([[0], ends])).tolist()
-        others += [[*names[a:b], *([END] if end < 0 else [])] for a, b in pairwise(edges)]
+        if others_of:
+            names, unknown = coded.dictionary, ids < 0
+            codes, owner = codes[unknown], np.repeat(np.arange(len(batch)), counts)[unknown]
+            if end < 0:  # each text's end is unknown as well; no word is empty
+                names = pa.concat_arrays([names, pa.array([END], pa.binary())])
+                at = np.searchsorted(owner, np.arange(len(batch)), side="right")
+                codes, owner = np.insert(codes, at, len(names) - 1), np.insert(owner, at, np.arange(len(batch)))
+            others += others_of(names, codes, owner, len(batch))
         held += len(ids) + len(batch)
         rows.append(batch)
         if held > HELD:
@@ -320,11 +347,11 @@ def in_model(ids: np.ndarray) -> np.ndarray:
 
 def fit(training: DataFrame, text: str, words: Words, workspace: Workspace) -> np.ndarray:
     """The parameters of the networks that the tasks train, averaged by tokens."""
-    end = words.number.get(END, HEAD)
+    end = words.end if words.end >= 0 else HEAD
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, seen = Network(words), 0
-        for _, texts, _ in gathered(batches, words):
+        for _, texts, _ in gathered(batches, words, None):
             train(network, [in_model(x) for x in texts], end)
             seen += sum(map(len, texts))
         if seen:
@@ -362,12 +389,12 @@ def score_documents(
     known = sorted(zip(top.column("word").to_pylist(), top.column("n").to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
     words = Words(known, *sums)
     flat = fit(docs.where(training), text, words, workspace)
-    end = words.number.get(END, HEAD)
+    end = words.end if words.end >= 0 else HEAD
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, row = Network(words).load(flat), TaskContext.get().partitionId() << 33
         base, tail = words.base(words.counts), words.in_tail(words.counts)
-        for rows, texts, others in gathered(batches, words):
+        for rows, texts, others in gathered(batches, words, counted):
             models = score(network, [in_model(x) for x in texts], end) / math.log(10)
             out: dict[str, list] = {"n_tokens": [len(x) for x in texts], "n_known": [], "base": [], "model": []}
             for ids, model in zip(texts, models.tolist(), strict=True):
@@ -375,9 +402,7 @@ def score_documents(
                 out["n_known"].append(len(known))
                 out["base"].append(float(base[known].sum()))
                 out["model"].append(model + float(tail[known[known >= HEAD]].sum()))
-            pairs = [[{"word": w, "times": n} for w, n in Counter(x).items()] for x in others]
-            kinds = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
-            own = {"row": row + np.arange(len(texts)), **out, "others": pa.array(pairs, kinds)}
+            own = {"row": row + np.arange(len(texts)), **out, "others": pa.chunked_array(others, OTHERS)}
             row += len(texts)
             table = pa.table({"key": rows.column("key"), "training": rows.column("training"), **own})
             yield from table.combine_chunks().to_batches()

@@ -521,3 +521,16 @@ def test_pipeline(spark, docs, tmp_path):
     assert SECRET in cut[12] and SECRET not in masked[12] and secrets.MASK in masked[12]
     assert {r.doc_id for r in kept.collect()} == set(masked)
     assert corpus_pipeline.run(spark, folder).count() == kept.count()
+
+
+def test_language_model_numbers_words_by_arrow():
+    """Training and scoring number words without a look-up of each in Python, and count unknown ones of a text once."""
+    texts = ["a b b c c c", None, "c d", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    for known, ends in (([(b"", 4), (b"a", 1)], []), ([(b"a", 1)], [(b"", 1)]), ([], [(b"", 1)])):
+        words = language_model.Words(known, 20, 10)
+        [(_, ids, others)] = language_model.gathered(iter([batch]), words, language_model.counted)
+        found = [sorted((x["word"], x["times"]) for x in row) for row in pa.chunked_array(others).to_pylist()]
+        first = [] if known else [(b"a", 1)]
+        assert found == [sorted(x + ends) for x in (first + [(b"b", 2), (b"c", 3)], [], [(b"c", 1), (b"d", 1)], [])]
+        assert "number" not in vars(words)
