@@ -39,7 +39,6 @@ KNOWN = 1 << 18
 LONGEST = 64
 LANES = 512
 WINDOW = 16
-SCORE_WINDOW = 64
 RATE = 0.05
 #: Tokens that a task holds at once.
 HELD = 1_500_000
@@ -99,14 +98,14 @@ class Words:
         return np.log10((count + SMOOTH) / (self.tail_tokens + SMOOTH * (self.tail_distinct + 1)))
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 class Network:
-    """Gated recurrent units over word rows, classes and words of classes."""
+    """Gated recurrent units over word rows, classes and words of classes.
+
+    Within a window the features stand in rows and the lanes or tokens in columns, so that every step is over long
+    rows. The last row of ``to_class`` and of each ``to_word`` is the bias.
+    """
 
-    NAMES = ("rows", "turn", "to_class", "class_bias", "to_word", "word_bias")
+    NAMES = ("rows", "turn", "to_class", "to_word")
 
     def __init__(self, words: Words):
         random = np.random.default_rng(0)
@@ -116,10 +115,10 @@ class Network:
         mass = np.append(head.reshape(CLASSES, SIZE).sum(axis=1), words.tail_tokens)
         self.rows = random.normal(0, 0.3, (HEAD + 1, 3 * STATE)).astype(np.float32)
         self.turn = random.normal(0, 0.2, (STATE, 3 * STATE)).astype(np.float32)
-        self.to_class = np.zeros((STATE, CLASSES + 1), np.float32)
-        self.class_bias = np.log(mass + SMOOTH).astype(np.float32)
-        self.to_word = np.zeros((CLASSES, STATE, SIZE), np.float32)
-        self.word_bias = np.where(known, np.log(head + SMOOTH), -1e4).reshape(CLASSES, SIZE).astype(np.float32)
+        self.to_class = np.zeros((STATE + 1, CLASSES + 1), np.float32)
+        self.to_class[STATE] = np.log(mass + SMOOTH)
+        self.to_word = np.zeros((CLASSES, STATE + 1, SIZE), np.float32)
+        self.to_word[:, STATE] = np.where(known, np.log(head + SMOOTH), -1e4).reshape(CLASSES, SIZE)
         self.squares = {name: np.full(getattr(self, name).shape, 1e-6, np.float32) for name in self.NAMES}
 
     def flat(self) -> np.ndarray:
@@ -135,108 +134,148 @@ class Network:
 
     def learn(self, name: str, gradient: np.ndarray, at=slice(None)) -> None:
         """A step against a gradient, shorter for parameters that have moved much."""
-        squares = self.squares[name]
-        squares[at] += gradient * gradient
-        getattr(self, name)[at] -= RATE * gradient / np.sqrt(squares[at])
+        step = self.squares[name][at] + gradient * gradient
+        self.squares[name][at] = step
+        np.sqrt(step, out=step)
+        np.divide(gradient, step, out=step)
+        step *= RATE
+        getattr(self, name)[at] -= step
 
     def run(self, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool):
         """States of a window's steps, and what the way back needs. ``fresh``: texts that begin."""
-        steps, past = [], []
-        rows = self.rows[inputs]
-        for step, given in enumerate(rows):
-            if fresh[step].any():
-                state = np.where(fresh[step][:, None], np.float32(0), state)
-            turned = state @ self.turn
-            gates = sigmoid(given[:, : 2 * STATE] + turned[:, : 2 * STATE])
-            hold, reset = gates[:, :STATE], gates[:, STATE:]
-            inner = turned[:, 2 * STATE :]
-            new = np.tanh(given[:, 2 * STATE :] + reset * inner)
+        # of each step the rows become its gates, hold and reset, and the new state
+        gates = np.ascontiguousarray(self.rows[inputs].transpose(0, 2, 1))
+        turn, state = np.ascontiguousarray(self.turn.T), np.ascontiguousarray(state.T, gates.dtype)
+        states = np.empty((len(inputs), STATE, inputs.shape[1]), gates.dtype)
+        before, inner = (np.empty_like(states), np.empty_like(states)) if keep else (None, None)
+        for step, begins in enumerate(fresh.any(axis=1).tolist()):
+            if begins:
+                state = np.where(fresh[step], gates.dtype.type(0), state)
+            turned = turn @ state
+            both, new = gates[step, : 2 * STATE], gates[step, 2 * STATE :]
+            both += turned[: 2 * STATE]
+            np.negative(both, out=both)
+            np.exp(both, out=both)
+            both += 1
+            np.reciprocal(both, out=both)
             if keep:
-                past.append((state, hold, reset, inner, new))
-            state = new + hold * (state - new)
-            steps.append(state)
-        return np.stack(steps), past
-
-    def back(self, inputs: np.ndarray, fresh: np.ndarray, past: list, wanted: np.ndarray) -> None:
+                before[step], inner[step] = state, turned[2 * STATE :]
+            added = turned[2 * STATE :]
+            added *= both[STATE:]
+            new += added
+            np.tanh(new, out=new)
+            out = states[step]
+            np.subtract(state, new, out=out)
+            out *= both[:STATE]
+            out += new
+            state = out
+        return states.transpose(0, 2, 1), (gates, before, inner)
+
+    def back(self, inputs: np.ndarray, fresh: np.ndarray, past: tuple, wanted: np.ndarray) -> None:
         """Backpropagation through the window's steps; ``wanted``: gradients by the states."""
-        rows = np.empty((*inputs.shape, 3 * STATE), np.float32)
-        turn = np.zeros_like(self.turn)
-        later = np.zeros_like(wanted[0])
+        gates, before, inner = past
+        hold, reset, new = (gates[:, at : at + STATE] for at in (0, STATE, 2 * STATE))
+        # by the state's gradient: those of what is turned, and of the new state's own sum
+        by_new = (1 - hold) * (1 - new * new)
+        turned = np.empty_like(gates)
+        turned[:, :STATE] = (before - new) * hold * (1 - hold)
+        turned[:, STATE : 2 * STATE] = by_new * inner * reset * (1 - reset)
+        turned[:, 2 * STATE :] = by_new * reset
+        owns = np.ascontiguousarray(wanted.transpose(0, 2, 1))
+        later = np.zeros_like(owns[0])
         for step in range(len(inputs) - 1, -1, -1):
-            state, hold, reset, inner, new = past[step]
-            own = wanted[step] + later
-            d_new = own * (1 - hold) * (1 - new * new)
-            rows[step, :, :STATE] = own * (state - new) * hold * (1 - hold)
-            rows[step, :, STATE : 2 * STATE] = d_new * inner * reset * (1 - reset)
-            rows[step, :, 2 * STATE :] = d_new
-            turned = rows[step].copy()
-            turned[:, 2 * STATE :] *= reset
-            turn += state.T @ turned
-            later = own * hold + turned @ self.turn.T
-            later[fresh[step]] = 0
-        words = inputs.ravel()
-        order = np.argsort(words, kind="stable")
-        starts = np.flatnonzero(np.diff(words[order], prepend=-1))
-        self.learn("rows", np.add.reduceat(rows.reshape(-1, 3 * STATE)[order], starts), words[order][starts])
-        self.learn("turn", turn)
+            own = owns[step]
+            own += later
+            parts = turned[step].reshape(3, STATE, -1)
+            parts *= own
+            later = self.turn @ turned[step]
+            later += own * hold[step]
+            if fresh[step].any():
+                later[:, fresh[step]] = 0
+        parts = by_feature(turned)
+        self.learn("turn", by_feature(before) @ parts.T)
+        parts[2 * STATE :] = by_feature(owns * by_new)
+        # a word's gradient is the sum over its tokens
+        seen = np.bincount(inputs.ravel(), minlength=HEAD + 1) > 0
+        words, own = np.flatnonzero(seen), (np.cumsum(seen) - 1)[inputs.ravel()]
+        rows = np.empty((len(words), 3 * STATE), parts.dtype)
+        for i, part in enumerate(parts):
+            rows[:, i] = np.bincount(own, part, len(words))
+        self.learn("rows", rows, words)
 
     def outcome(self, states: np.ndarray, targets: np.ndarray, learn: bool):
         """Log probabilities of targets, of the model's other class for HEAD; gradients if asked."""
-        kinds = np.minimum(targets // SIZE, CLASSES)
-        logits = states @ self.to_class
-        logits += self.class_bias
-        logits -= logits.max(axis=1, keepdims=True)
-        at = np.arange(len(targets))
-        found = logits[at, kinds]
-        shares = np.exp(logits, out=logits)
-        sums = shares.sum(axis=1, keepdims=True)
-        found -= np.log(sums[:, 0])
-        wanted = None
-        if learn:
-            shares /= sums
-            shares[at, kinds] -= 1
-            wanted = shares @ self.to_class.T
-            self.learn("to_class", states.T @ shares)
-            self.learn("class_bias", shares.sum(axis=0))
         # tokens in the order of their classes: the products are by class, all else is done for all at once
+        kinds = np.minimum(targets // SIZE, CLASSES).astype(np.uint8)
         order = np.argsort(kinds, kind="stable")
         edges = np.searchsorted(kinds[order], np.arange(CLASSES + 1)).tolist()
-        own = order[: edges[-1]]
         spans = [(kind, slice(*edge)) for kind, edge in enumerate(pairwise(edges)) if edge[0] < edge[1]]
-        part = states[own]
-        logits = np.empty((len(own), SIZE), np.float32)
+        part = np.ones((STATE + 1, len(order)), states.dtype)
+        part[:STATE] = np.take(states.T, order, axis=1)
+        to_class, deep = lowered(self.to_class)
+        found, shares, sums = softmax(to_class.T @ part, kinds[order], deep)
+        own = slice(edges[-1])
+        logits = np.empty((SIZE, edges[-1]), states.dtype)
+        to_word, deep = lowered(self.to_word)
         for kind, span in spans:
-            np.matmul(part[span], self.to_word[kind], out=logits[span])
-        logits += self.word_bias[kinds[own]]
-        logits -= logits.max(axis=1, keepdims=True)
-        pick = np.arange(len(own)), targets[own] % SIZE
-        hit = logits[pick]
-        shares = np.exp(logits, out=logits)
-        sums = shares.sum(axis=1, keepdims=True)
-        found[own] += hit - np.log(sums[:, 0])
-        if learn and spans:
-            shares /= sums
-            shares[pick] -= 1
-            by_state = np.empty((len(own), STATE), np.float32)
-            to_word, word_bias = np.empty((len(spans), STATE, SIZE), np.float32), np.empty((len(spans), SIZE), np.float32)
+            np.matmul(to_word[kind].T, part[:, span], out=logits[:, span])
+        words = targets[order[own]] % SIZE
+        hit, word_shares, word_sums = softmax(logits, words, deep)
+        found[own] += hit
+        places = np.empty_like(order)
+        places[order] = np.arange(len(order))
+        result = found[places]
+        if not learn:
+            return result, None
+        # the shares are left undivided: what they are multiplied by is smaller
+        shares[kinds[order], np.arange(len(order))] -= sums
+        by_state = self.to_class[:STATE] @ shares
+        by_state /= sums
+        to_class = (part / sums) @ shares.T
+        if spans:
+            word_shares[words, np.arange(len(words))] -= word_sums
+            scaled = part[:, own] / word_sums
+            by_word = np.empty((STATE, len(words)), states.dtype)
+            to_word = np.empty((len(spans), STATE + 1, SIZE), states.dtype)
             for i, (kind, span) in enumerate(spans):
-                np.matmul(shares[span], self.to_word[kind].T, out=by_state[span])
-                np.matmul(part[span].T, shares[span], out=to_word[i])
-                shares[span].sum(axis=0, out=word_bias[i])
-            wanted[own] += by_state
-            present = [kind for kind, _ in spans]
-            self.learn("to_word", to_word, present)
-            self.learn("word_bias", word_bias, present)
-        return found, wanted
+                np.matmul(self.to_word[kind, :STATE], word_shares[:, span], out=by_word[:, span])
+                np.matmul(scaled[:, span], word_shares[:, span].T, out=to_word[i])
+            by_word /= word_sums
+            by_state[:, own] += by_word
+            self.learn("to_word", to_word, [kind for kind, _ in spans])
+        self.learn("to_class", to_class)
+        return result, np.take(by_state, places, axis=1).T
+
+
+def by_feature(window: np.ndarray) -> np.ndarray:
+    """(feature, token) of a window's (step, feature, lane)."""
+    return np.ascontiguousarray(window.transpose(1, 0, 2)).reshape(window.shape[1], -1)
+
+
+def lowered(weights: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Weights of the same shares whose products with any state, which is within -1 and 1, are at most 0, so that no
+    exponential overflows; and whether all of a state's might be too far below 0 for their exponentials."""
+    spread = np.abs(weights[..., :STATE, :]).sum(axis=-2)
+    result = weights.copy()
+    result[..., STATE, :] -= (weights[..., STATE, :] + spread).max(axis=-1, keepdims=True)
+    return result, bool(spread.max() > 40)
+
+
+def softmax(logits: np.ndarray, picked: np.ndarray, deep: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log probabilities of the picked row of each column; all shares, which take the logits' place, and their sums."""
+    if deep:
+        logits -= logits.max(axis=0, initial=-np.inf)
+    found = logits[picked, np.arange(len(picked))]
+    shares = np.exp(logits, out=logits)
+    sums = shares.sum(axis=0)
+    return found - np.log(sums), shares, sums
 
 
 class Lanes:
     """Texts end to end in lanes of about equal length, the longest lane first."""
 
     def __init__(self, texts: list[np.ndarray], end: int):
-        # as many lanes as keep the longest text from being most of the steps
-        sizes = [len(x) for x in texts]
-        heap = [(0, lane) for lane in range(min(LANES, len(texts), max(1, 2 * sum(sizes) // max(sizes))))]
+        heap = [(0, lane) for lane in range(min(LANES, len(texts)))]
         held: list[list[int]] = [[] for _ in heap]
         for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
             size, lane = heapq.heappop(heap)
@@ -244,47 +283,54 @@ class Lanes:
             heapq.heappush(heap, (size + len(texts[i]), lane))
         held.sort(key=lambda lane: -sum(len(texts[i]) for i in lane))
         self.sizes = np.array([sum(len(texts[i]) for i in lane) for lane in held])
-        shape = (int(self.sizes.max()), len(held))
-        self.targets = np.full(shape, -1, np.int32)
-        self.owner = np.zeros(shape, np.int32)
-        self.fresh = np.zeros(shape, bool)
-        for lane, own in enumerate(held):
-            self.targets[: self.sizes[lane], lane] = np.concatenate([texts[i] for i in own])
-            self.owner[: self.sizes[lane], lane] = np.repeat(own, [len(texts[i]) for i in own])
-            self.fresh[np.cumsum([0, *(len(texts[i]) for i in own[:-1])]), lane] = True
-        self.inputs = np.vstack([np.full((1, len(held)), end, np.int32), self.targets[:-1]])
-        self.inputs[self.inputs < 0] = HEAD
-
-    def windows(self, steps: int):
-        """(inputs, fresh, targets, owners) of each window, for the lanes that still have texts."""
-        for start in range(0, len(self.targets), steps):
-            lanes = int((self.sizes > start).sum())
-            rows = slice(start, start + steps)
-            yield self.inputs[rows, :lanes], self.fresh[rows, :lanes], self.targets[rows, :lanes], self.owner[rows, :lanes]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        order = [i for lane in held for i in lane]
+        lengths = np.array([len(texts[i]) for i in order])
+        # one lane after the other: a lane may be many times as long as most
+        self.targets = np.concatenate([texts[i] for i in order]).astype(np.int32)
+        self.owner = np.repeat(np.array(order, np.int32), lengths)
+        self.inputs = np.concatenate([[np.int32(end)], self.targets[:-1]])
+        self.inputs[self.starts] = end
+        self.fresh = np.zeros(len(self.targets), bool)
+        self.fresh[np.cumsum(lengths) - lengths] = True
+
+    def windows(self, steps: int, tokens: int):
+        """(inputs, fresh, targets, owners) of each window, for the lanes that still have texts: of ``steps``
+        steps, or of up to 16 times as many if so few lanes are left that it has less than ``tokens``."""
+        start = 0
+        while lanes := int((self.sizes > start).sum()):
+            size = min(max(steps, tokens // lanes), 16 * steps, int(self.sizes[0]) - start)
+            at = np.arange(start, start + size)[:, None]
+            real = at < self.sizes[:lanes]
+            place = np.where(real, self.starts[:lanes] + at, 0)
+            inputs, targets = np.where(real, self.inputs[place], HEAD), np.where(real, self.targets[place], -1)
+            yield inputs, self.fresh[place] & real, targets, self.owner[place]
+            start += size
 
 
 def train(network: Network, texts: list[np.ndarray], end: int) -> None:
     lanes = Lanes(texts, end)
     state = np.zeros((len(lanes.sizes), STATE), np.float32)
-    for inputs, fresh, targets, _ in lanes.windows(WINDOW):
+    for inputs, fresh, targets, _ in lanes.windows(WINDOW, 32 * WINDOW):
         states, past = network.run(inputs, fresh, state[: inputs.shape[1]], True)
         state = states[-1]
-        real = targets.ravel() >= 0
-        flat = states.reshape(-1, STATE)
+        real = np.flatnonzero(targets >= 0)
+        flat = by_feature(states.transpose(0, 2, 1))
         wanted = np.zeros_like(flat)
-        wanted[real] = network.outcome(flat[real], targets.ravel()[real], True)[1]
-        network.back(inputs, fresh, past, wanted.reshape(states.shape))
+        wanted[:, real] = network.outcome(np.take(flat, real, axis=1).T, targets.ravel()[real], True)[1].T
+        network.back(inputs, fresh, past, wanted.reshape(STATE, *inputs.shape).transpose(1, 2, 0))
 
 
 def score(network: Network, texts: list[np.ndarray], end: int) -> np.ndarray:
     """Natural log probability of each text, its words beyond the model's only by their class."""
     lanes, sums = Lanes(texts, end), np.zeros(len(texts))
     state = np.zeros((len(lanes.sizes), STATE), np.float32)
-    for inputs, fresh, targets, owner in lanes.windows(SCORE_WINDOW):
+    for inputs, fresh, targets, owner in lanes.windows(WINDOW, 32 * WINDOW):
         states, _ = network.run(inputs, fresh, state[: inputs.shape[1]], False)
         state = states[-1]
-        real = targets.ravel() >= 0
-        found, _ = network.outcome(states.reshape(-1, STATE)[real], targets.ravel()[real], False)
+        real = np.flatnonzero(targets >= 0)
+        flat = by_feature(states.transpose(0, 2, 1))
+        found, _ = network.outcome(np.take(flat, real, axis=1).T, targets.ravel()[real], False)
         sums += np.bincount(owner.ravel()[real], found, len(texts))
     return sums
 
@@ -345,6 +391,18 @@ def in_model(ids: np.ndarray) -> np.ndarray:
     return np.where((ids < 0) | (ids >= HEAD), HEAD, ids)
 
 
+def split_as(
+    texts: list[np.ndarray], made: Callable[[np.ndarray], np.ndarray], wanted: Callable[[np.ndarray], np.ndarray] | None = None
+) -> list[np.ndarray]:
+    """What is made of the numbers of all texts at once, of the wanted ones if asked, by text."""
+    ids, edges = np.concatenate(texts), np.cumsum([0, *map(len, texts)])
+    if wanted:
+        taken = wanted(ids)
+        ids, edges = ids[taken], np.concatenate([[0], np.cumsum(taken)])[edges]
+    values = made(ids)
+    return [values[a:b] for a, b in pairwise(edges.tolist())]
+
+
 def fit(training: DataFrame, text: str, words: Words, workspace: Workspace) -> np.ndarray:
     """The parameters of the networks that the tasks train, averaged by tokens."""
     end = words.end if words.end >= 0 else HEAD
@@ -352,7 +410,7 @@ def fit(training: DataFrame, text: str, words: Words, workspace: Workspace) -> n
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, seen = Network(words), 0
         for _, texts, _ in gathered(batches, words, None):
-            train(network, [in_model(x) for x in texts], end)
+            train(network, split_as(texts, in_model), end)
             seen += sum(map(len, texts))
         if seen:
             flat = network.flat()
@@ -395,13 +453,13 @@ def score_documents(
         network, row = Network(words).load(flat), TaskContext.get().partitionId() << 33
         base, tail = words.base(words.counts), words.in_tail(words.counts)
         for rows, texts, others in gathered(batches, words, counted):
-            models = score(network, [in_model(x) for x in texts], end) / math.log(10)
-            out: dict[str, list] = {"n_tokens": [len(x) for x in texts], "n_known": [], "base": [], "model": []}
-            for ids, model in zip(texts, models.tolist(), strict=True):
-                known = ids[ids >= 0]
-                out["n_known"].append(len(known))
-                out["base"].append(float(base[known].sum()))
-                out["model"].append(model + float(tail[known[known >= HEAD]].sum()))
+            models = score(network, split_as(texts, in_model), end) / math.log(10)
+            out: dict[str, list] = {"n_tokens": [len(x) for x in texts]}
+            known = split_as(texts, lambda ids: base[ids], lambda ids: ids >= 0)
+            rest = split_as(texts, lambda ids: tail[ids], lambda ids: ids >= HEAD)
+            out["n_known"] = [len(x) for x in known]
+            out["base"] = [float(x.sum()) for x in known]
+            out["model"] = [model + float(x.sum()) for model, x in zip(models.tolist(), rest, strict=True)]
             own = {"row": row + np.arange(len(texts)), **out, "others": pa.chunked_array(others, OTHERS)}
             row += len(texts)
             table = pa.table({"key": rows.column("key"), "training": rows.column("training"), **own})

@@ -259,6 +259,40 @@ def test_every_token_is_a_training_target(monkeypatch):
     assert sorted(targets) == list(range(100))
 
 
+def test_a_long_text_leaves_the_lanes_to_the_others():
+    """All lanes are used beside a text as long as all others, each token comes once, and the last lane's windows are few."""
+    texts = [np.arange(20_000) % 90, *(np.arange(k % 30 + 1) for k in range(1000))]
+    lanes, found = language_model.Lanes(texts, 99), [[] for _ in texts]
+    assert len(lanes.sizes) == language_model.LANES
+    windows = list(lanes.windows(16, 512))
+    for inputs, fresh, targets, owner in windows:
+        for lane, step in np.argwhere(targets.T >= 0):
+            own = found[owner[step, lane]]
+            assert fresh[step, lane] == (not own)
+            # a text that begins after another is given that one's last word
+            assert not own or inputs[step, lane] == own[-1]
+            own.append(targets[step, lane])
+        assert (inputs[targets < 0] == language_model.HEAD).all()
+    assert [list(x) for x in texts] == found
+    assert len(windows) < 20_000 / 16 / 10
+
+
+def test_outcomes_are_the_factored_softmax():
+    words = language_model.Words([(b"w%d" % k, 9) for k in range(4000)], 50_000, 5000)
+    rng, net = np.random.default_rng(3), language_model.Network(words)
+    net.to_class, net.to_word = (x + rng.normal(0, 0.3, x.shape) for x in (net.to_class, net.to_word))
+    states, targets = rng.uniform(-1, 1, (40, language_model.STATE)), rng.choice([*range(0, 4000, 57), language_model.HEAD], 40)
+    every = np.append(states, np.ones((40, 1)), axis=1)
+    for k, (found, target) in enumerate(zip(net.outcome(states, targets, False)[0], targets, strict=True)):
+        kind, word = divmod(target, language_model.SIZE)
+        logits = every[k] @ net.to_class
+        wanted = logits[kind] - np.log(np.exp(logits).sum())
+        if target < language_model.HEAD:
+            logits = every[k] @ net.to_word[kind]
+            wanted += logits[word] - np.log(np.exp(logits).sum())
+        assert found == pytest.approx(wanted)
+
+
 def test_gradients():
     words = language_model.Words([(b"w%d" % k, 9 - k) for k in range(9)], 60, 12)
     rng = np.random.default_rng(15)
