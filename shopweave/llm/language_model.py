@@ -38,6 +38,8 @@ STATE = 16
 KNOWN = 1 << 18
 LONGEST = 64
 LANES = 512
+#: Tokens of a lane in training, on average: with shorter ones a small table would be learned from in few steps.
+LANE_TOKENS = 2048
 WINDOW = 16
 RATE = 0.05
 #: Tokens that a task holds at once.
@@ -274,8 +276,8 @@ def softmax(logits: np.ndarray, picked: np.ndarray, deep: bool) -> tuple[np.ndar
 class Lanes:
     """Texts end to end in lanes of about equal length, the longest lane first."""
 
-    def __init__(self, texts: list[np.ndarray], end: int):
-        heap = [(0, lane) for lane in range(min(LANES, len(texts)))]
+    def __init__(self, texts: list[np.ndarray], end: int, most: int = LANES):
+        heap = [(0, lane) for lane in range(min(LANES, most, len(texts)))]
         held: list[list[int]] = [[] for _ in heap]
         for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
             size, lane = heapq.heappop(heap)
@@ -309,7 +311,7 @@ class Lanes:
 
 
 def train(network: Network, texts: list[np.ndarray], end: int) -> None:
-    lanes = Lanes(texts, end)
+    lanes = Lanes(texts, end, max(1, sum(map(len, texts)) // LANE_TOKENS))
     state = np.zeros((len(lanes.sizes), STATE), np.float32)
     for inputs, fresh, targets, _ in lanes.windows(WINDOW, 32 * WINDOW):
         states, past = network.run(inputs, fresh, state[: inputs.shape[1]], True)
