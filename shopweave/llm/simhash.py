@@ -176,7 +176,8 @@ def links(prints: DataFrame, workspace: Workspace, radius: int = RADIUS) -> Data
     rows = prints.select("fp", F.inline(bands))
     sizes = rows.groupBy("band", "bits").agg(F.count("*").alias("n")).where("n > 1")
     sizes = workspace.keep(sizes, "buckets")
-    members = deal(rows.join(sizes, ["band", "bits"]), ["band", "bits"], "fp", F.col("n"), TILE)
+    # merged: to the planner a fingerprint's rows are one, so that it would broadcast them all
+    members = deal(rows.join(sizes.hint("merge"), ["band", "bits"]), ["band", "bits"], "fp", F.col("n"), TILE)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(cells: Cells) -> pa.RecordBatch:
@@ -216,5 +217,6 @@ def near_duplicates(
     )
     rooted = workspace.keep(rooted, "rooted")
     least = workspace.keep(rooted.groupBy("root").agg(F.min("least").alias("component")), "least")
-    component = workspace.keep(rooted.join(least, "root").select("fp", "component"), "components")
+    # merged: of the written rows the planner expects these two columns to be far smaller than they are
+    component = workspace.keep(rooted.join(least.hint("merge"), "root").select("fp", "component"), "components")
     return prints.join(component, "fp").select(F.col("key").alias(key), "fp", "component")

@@ -143,6 +143,23 @@ def test_simhash(docs, workspace, monkeypatch):
     assert simhash.near_duplicates(docs([]), workspace).count() == 0
 
 
+def test_simhash_broadcasts_no_rows_of_all_documents(docs, workspace, monkeypatch):
+    """The planner sees one row for all tables of a fingerprint, and few bytes in two of a row's columns."""
+    plans, keep = {}, workspace.keep
+
+    def kept(frame, name):
+        plans.setdefault(name, frame._jdf.queryExecution().executedPlan().toString())
+        return keep(frame, name)
+
+    monkeypatch.setattr(workspace, "keep", kept)
+    base = prose(6, 100)
+    texts = [*(prose(k, 100) for k in range(20)), base + " end", None]
+    found = simhash.near_duplicates(docs(texts), workspace)
+    assert sorted((r[0], r[1] & (1 << 64) - 1, r[2]) for r in found.collect()) == sorted(brute.simhash(list(enumerate(texts))))
+    for name in ("links", "components"):
+        assert "SortMergeJoin" in plans[name] and "BroadcastHashJoin" not in plans[name]
+
+
 @pytest.mark.parametrize("radius", [0, 1, 4, 7])
 def test_bit_slices(radius):
     rng = np.random.default_rng(radius)
